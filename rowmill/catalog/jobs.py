@@ -1 +1,99 @@
-"""."""
+"""Whole jobs: layout, preparation, training."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rowmill.catalog.base import churn, query, rounded, table
+from rowmill.catalog.sampling import HASH
+from rowmill.catalog.scoring import PREPARED, features_sql
+from rowmill.operators import models
+from rowmill.operators.layout import partition_target, right_size
+from rowmill.plans import preparation, training
+from rowmill.plans.settings import Settings
+from rowmill.sources import workdir
+
+
+@query(
+    "lay_1_right_size",
+    "SELECT l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY l_returnflag",
+)
+def _(spark, d):
+    sized = right_size(table(spark, d, "lineitem"))
+    return sized.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity")
+    )
+
+
+@query(
+    "lay_1_partition_count",
+    "SELECT greatest(1, least(200, count(*) // 10000), count(*) // 1000000) AS target FROM lineitem",
+)
+def _(spark, d):
+    rows = table(spark, d, "lineitem").count()
+    return spark.createDataFrame([(partition_target(rows),)], "target bigint")
+
+
+ALL = Settings(fit_on="all")
+
+SPLIT = f"""CASE WHEN row_number() OVER (PARTITION BY Exited ORDER BY {HASH.format(key='CustomerId')}, CustomerId)
+  <= floor(0.2 * count(*) OVER (PARTITION BY Exited)) THEN 'test' ELSE 'train' END AS split"""
+
+
+@query("cmp_1_prepare", PREPARED + f"SELECT CustomerId, Exited, {SPLIT}, " + features_sql("fine", ""))
+def _(spark, d):
+    prepared, _ = preparation.prepare(churn(spark, d), ALL)
+    return rounded(prepared, 9)
+
+
+@query(
+    "cmp_1_summary",
+    PREPARED
+    + f""", dealt AS (SELECT fine.*, {SPLIT} FROM fine)
+    SELECT count(*) AS total_rows, count(*) FILTER (split = 'train') AS train_rows,
+      count(*) FILTER (split = 'test') AS test_rows, 16 AS num_features,
+      count(*) FILTER (CreditScore < 300 OR CreditScore > 850) AS missing_values,
+      (SELECT count(*) FROM kept) - count(*) AS outliers_removed, '0.2' AS test_size,
+      '42' AS random_state, 'iqr' AS outlier_method, 'minmax' AS scaling FROM dealt""",
+)
+def _(spark, d):
+    path = workdir.new_path(spark, "cmp1")
+    summary, _ = preparation.run(churn(spark, d), path, ALL, "both")
+    return summary
+
+
+@query("cmp_1_prepare_on_train")
+def _(spark, d):
+    prepared, _ = preparation.prepare(churn(spark, d), Settings(), stage_rows=True)
+    return rounded(prepared, 9)
+
+
+@query("cmp_2_train")
+def _(spark, d):
+    path = workdir.new_path(spark, "cmp2")
+    preparation.run(churn(spark, d), path, ALL)
+    summary, _ = training.run(
+        spark, path, model="random_forest", n_estimators=20, max_depth=5,
+        model_path=workdir.new_path(spark, "cmp2-model"),
+    )
+    return rounded(summary.drop("seconds"))
+
+
+@query("cmp_2_tune")
+def _(spark, d):
+    prepared, _ = preparation.prepare(churn(spark, d), ALL, stage_rows=True)
+    grid = {"max_depth": [3, 6], "criterion": ["gini", "entropy"]}
+    summary, _ = training.train(prepared, "decision_tree", grid=grid, folds=5)
+    return rounded(summary.drop("seconds"))
+
+
+@query("cmp_3_settings")
+def _(spark, d):
+    """The preparation under other settings: predicted gender, sigma bounds,
+    capping, standard scaling and a random split."""
+    settings = Settings().with_options(
+        predict_labels={"Gender": ("Firstname",)}, detection_method="sigma", outlier_method="cap",
+        scaling="standard", split_method="random", fill_methods={"Age": "median"},
+    )
+    prepared, _ = preparation.prepare(churn(spark, d), settings)
+    return rounded(prepared)

@@ -1 +1,275 @@
-"""."""
+"""Models, cross-validation, grids and evaluation.
+
+The grids registered here are small versions of the default grids in
+``operators.models.GRIDS``, so that a check run ends in reasonable time; every
+row of the table takes part in every fit.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from rowmill.catalog.base import CHURN, KEPT, churn, filled, kept, query, rounded, table
+from rowmill.functions.columns import col
+from rowmill.operators import evaluate, models, tuning
+from rowmill.operators.score import score
+from rowmill.operators.split import stratified_folds, stratified_split
+from rowmill.operators.vectors import assemble
+from rowmill.sources import workdir
+
+FEATURES = [
+    "CreditScore", "Age", "Tenure", "Balance", "NumOfProducts", "HasCrCard", "IsActiveMember",
+    "EstimatedSalary",
+]
+
+
+def vectors(spark, d, folds: int | None = None):
+    """(CustomerId, label, features) and, with folds, a fold per row."""
+    rows = filled(spark, d)
+    keep = ["CustomerId", "label"]
+    if folds:
+        rows = stratified_folds(rows, "CustomerId", "Exited", folds)
+        keep.append("fold")
+    return assemble(rows.withColumn("label", F.col("Exited").cast("double")), FEATURES, keep)
+
+
+def _fitted(spark, d, name, **params):
+    """One row: the model's training accuracy and its size."""
+    data = vectors(spark, d).persist()
+    try:
+        rows = data.count()
+        model, accuracy = tuning.fit(data, models.build_model(name, rows, **params))
+    finally:
+        data.unpersist()
+    stage = model.stages[-1]
+    trees = getattr(stage, "getNumTrees", None)
+    out = [(name, rows, stage.numFeatures, trees if isinstance(trees, int) else 1, accuracy)]
+    return spark.createDataFrame(
+        out, "model string, rows bigint, num_features int, num_trees int, train_accuracy double"
+    )
+
+
+@query("mod_1_logistic_regression")
+def _(spark, d):
+    return _fitted(spark, d, "logistic_regression")
+
+
+@query("mod_2_decision_tree")
+def _(spark, d):
+    return _fitted(spark, d, "decision_tree", max_depth=12, criterion="log_loss")
+
+
+@query("mod_3_random_forest")
+def _(spark, d):
+    return _fitted(spark, d, "random_forest")
+
+
+@query("mod_4_boosted_trees")
+def _(spark, d):
+    return _fitted(
+        spark, d, "boosted_trees", n_estimators=15, max_depth=5, learning_rate=0.1, subsample=0.8,
+        colsample_bytree=0.8,
+    )
+
+
+@query("mod_5_linear_svm")
+def _(spark, d):
+    return _fitted(spark, d, "svm", max_iter=50)
+
+
+@query("mod_5_gradient_boosting")
+def _(spark, d):
+    return _fitted(spark, d, "gradient_boosting", n_estimators=10)
+
+
+@query("mod_6_models_by_name")
+def _(spark, d):
+    """Rows of the table per training part, beside every model's defaults."""
+    rows = churn(spark, d).agg(F.count(F.lit(1)).alias("rows"))
+    known = [(m, str(models.DEFAULTS[m])) for m in models.available_models()]
+    named = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(p).alias("defaults")) for m, p in known]))
+    return rows.select("rows", named.alias("m")).select("m.model", "m.defaults", "rows")
+
+
+@query("trn_1_fit_accuracy")
+def _(spark, d):
+    return _fitted(spark, d, "decision_tree", max_depth=5).select("model", "rows", "train_accuracy")
+
+
+@query("trn_2_cross_validation")
+def _(spark, d):
+    result = tuning.cross_validate(vectors(spark, d, 6), "logistic_regression", params={"max_iter": 100})
+    return rounded(result.score_table(spark))
+
+
+@query("trn_3_best_fold")
+def _(spark, d):
+    result = tuning.cross_validate(
+        vectors(spark, d, 6), "decision_tree", params={"max_depth": 5}, keep_fold_models=True
+    )
+    fold, model = tuning.best_fold_model(result)
+    scores = [(f, s["f1"], f == fold, model.depth) for f, s in enumerate(result.scores[0])]
+    return rounded(spark.createDataFrame(scores, "fold int, f1 double, best boolean, best_depth int"))
+
+
+@query("trn_4_compare_models")
+def _(spark, d):
+    data = vectors(spark, d, 6)
+    chosen = {
+        "logistic_regression": {"max_iter": 100},
+        "decision_tree": {"max_depth": 5},
+        "random_forest": {"n_estimators": 10, "max_depth": 5},
+    }
+    results = tuning.compare_models(data, chosen)
+    tables = [r.score_table(spark) for r in results]
+    return rounded(tables[0].unionByName(tables[1]).unionByName(tables[2]))
+
+
+@query("trn_5_grid_search")
+def _(spark, d):
+    grid = {"max_depth": [4, 8], "criterion": ["gini", "entropy", "log_loss"]}
+    result = tuning.grid_search(vectors(spark, d, 6), "decision_tree", grid, scoring="f1")
+    best = [(str(result.best_params), result.best_score, len(result.combinations))]
+    return rounded(spark.createDataFrame(best, "best_params string, best_score double, tried int"))
+
+
+@query("trn_6_boosted_grid")
+def _(spark, d):
+    grid = {"n_estimators": [3], "max_depth": [3], "learning_rate": [0.1, 0.2], "subsample": [0.8, 1.0]}
+    result = tuning.grid_search(
+        vectors(spark, d, 5), "boosted_trees", grid, scoring="accuracy", parallelism=8, refit=False
+    )
+    return result.table(spark).select("params", "mean_test_score", "std_test_score", "rank_test_score")
+
+
+@query("trn_7_result_table")
+def _(spark, d):
+    grid = {"max_depth": [2, 4, 6], "criterion": ["gini", "entropy"]}
+    data = vectors(spark, d, 5)
+    return tuning.grid_search(data, "decision_tree", grid, scoring="accuracy", refit=False).table(spark)
+
+
+@query("trn_8_saved_model")
+def _(spark, d):
+    data = vectors(spark, d)
+    model, _ = tuning.fit(data, models.build_model("decision_tree", max_depth=4))
+    path = workdir.new_path(spark, "trn8")
+    tuning.save_model(model, path)
+    loaded = tuning.load_model(path)
+    a = model.transform(data).select("CustomerId", F.col("prediction").alias("before"))
+    b = loaded.transform(data).select("CustomerId", F.col("prediction").alias("after"))
+    return a.join(b, "CustomerId").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("before") == F.col("after")).alias("equal")
+    )
+
+
+# ---- evaluation with a fixed rule as the model ---------------------------
+
+RULE = CHURN + """, p AS (SELECT Exited AS y, CASE WHEN coalesce(Age, 40) > 45 THEN 1 ELSE 0 END AS yhat,
+  1.0 / (1.0 + exp(-(coalesce(Age, 40) - 45) / 10.0)) AS q FROM churn),
+n AS (SELECT count(*) FILTER (y = 1 AND yhat = 1)::DOUBLE AS tp, count(*) FILTER (y = 0 AND yhat = 1)::DOUBLE AS fp,
+  count(*) FILTER (y = 1 AND yhat = 0)::DOUBLE AS fn, count(*) FILTER (y = 0 AND yhat = 0)::DOUBLE AS tn FROM p)
+"""
+
+
+def _rule(spark, d):
+    age = F.coalesce("Age", F.lit(40.0))
+    return churn(spark, d).select(
+        F.col("Exited").alias("y"),
+        F.when(age > 45, 1).otherwise(0).alias("yhat"),
+        (1.0 / (1.0 + F.exp(-(age - 45) / 10.0))).alias("q"),
+    )
+
+
+@query(
+    "evl_1_confusion_matrix",
+    "SELECT toxic AS label, quality AS prediction, count(*) AS count FROM labels GROUP BY ALL",
+)
+def _(spark, d):
+    return evaluate.confusion_matrix(table(spark, d, "labels"), "toxic", "quality")
+
+
+@query(
+    "evl_1_absent_cells",
+    "SELECT a AS label, b AS prediction, CASE WHEN a = b THEN (SELECT count(*) FROM labels WHERE toxic = a) ELSE 0 END AS count "
+    "FROM (VALUES (0), (1)) t(a), (VALUES (0), (1)) u(b)",
+)
+def _(spark, d):
+    labels = table(spark, d, "labels").withColumn("said", F.col("toxic"))
+    return evaluate.confusion_matrix(labels, "toxic", "said")
+
+
+@query(
+    "evl_2_metrics",
+    RULE
+    + """SELECT round((tp + tn) / (tp + fp + fn + tn), 9) AS accuracy, round(tp / (tp + fp), 9) AS precision,
+    round(tp / (tp + fn), 9) AS recall, round(2 * tp / (2 * tp + fp + fn), 9) AS f1 FROM n""",
+)
+def _(spark, d):
+    return rounded(evaluate.classification_metrics(_rule(spark, d), "y", "yhat"), 9)
+
+
+@query(
+    "evl_2_metrics_no_positives",
+    """SELECT round(avg(CASE WHEN toxic = 0 THEN 1.0 ELSE 0.0 END), 9) AS accuracy, 0.0::DOUBLE AS precision,
+    0.0::DOUBLE AS recall, 0.0::DOUBLE AS f1 FROM labels""",
+)
+def _(spark, d):
+    labels = table(spark, d, "labels").withColumn("said", F.lit(0))
+    return rounded(evaluate.classification_metrics(labels, "toxic", "said"), 9)
+
+
+@query(
+    "evl_3_extended",
+    RULE
+    + """, r AS (SELECT y, q, avg(rn) OVER (PARTITION BY q) AS place FROM
+      (SELECT y, q, row_number() OVER (ORDER BY q) AS rn FROM p)),
+    auc AS (SELECT (sum(place) FILTER (y = 1) - count(*) FILTER (y = 1) * (count(*) FILTER (y = 1) + 1) / 2.0)
+      / (count(*) FILTER (y = 1) * count(*) FILTER (y = 0)) AS area FROM r),
+    ll AS (SELECT -avg(CASE WHEN y = 1 THEN ln(q) ELSE ln(1 - q) END) AS loss FROM p)
+    SELECT round((tp / (tp + fp) * (tp + fn) + tn / (tn + fn) * (tn + fp)) / (tp + fp + fn + tn), 6) AS weighted_precision,
+      round((tp + tn) / (tp + fp + fn + tn), 6) AS weighted_recall,
+      round((2 * tp / (2 * tp + fp + fn) * (tp + fn) + 2 * tn / (2 * tn + fp + fn) * (tn + fp))
+        / (tp + fp + fn + tn), 6) AS weighted_f1,
+      round(loss, 6) AS log_loss, round(area, 6) AS roc_auc FROM n, auc, ll""",
+)
+def _(spark, d):
+    return rounded(evaluate.extended_metrics(_rule(spark, d), "y", "yhat", "q"))
+
+
+@query("evl_4_training_summary")
+def _(spark, d):
+    from rowmill.plans.training import train
+
+    rows = stratified_split(filled(spark, d), "CustomerId", "Exited").select(
+        "CustomerId", *[col(f) for f in FEATURES], "Exited", "split"
+    )
+    summary, _ = train(rows, "decision_tree", max_depth=5)
+    path = workdir.new_path(spark, "evl4")
+    summary.write.json(path)
+    return spark.read.schema(summary.schema).json(path).drop("seconds")
+
+
+@query(
+    "sco_1_status",
+    CHURN
+    + """SELECT CustomerId, CASE WHEN coalesce(Age, 40) > 45 THEN 'Churn' ELSE 'Retain' END AS status,
+      round(1.0 / (1.0 + exp(-(coalesce(Age, 40) - 45) / 10.0)) * 100.0, 2)::VARCHAR || '%' AS confidence FROM churn""",
+)
+def _(spark, d):
+    from rowmill.operators.score import with_status
+
+    age = F.coalesce("Age", F.lit(40.0))
+    given = churn(spark, d).select(
+        "CustomerId",
+        F.when(age > 45, 1).otherwise(0).alias("prediction"),
+        (1.0 / (1.0 + F.exp(-(age - 45) / 10.0))).alias("probability"),
+    )
+    return with_status(given).select("CustomerId", "status", "confidence")
+
+
+@query("sco_1_model_scores")
+def _(spark, d):
+    rows = filled(spark, d)
+    model, _ = tuning.fit(vectors(spark, d), models.build_model("random_forest", n_estimators=20, max_depth=5))
+    return rounded(score(rows, model, FEATURES, ["CustomerId", "Exited"]))
