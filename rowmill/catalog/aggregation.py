@@ -38,9 +38,9 @@ def _(spark, d):
 @query(
     "agg_4_exact_quantiles",
     "\nUNION ALL ".join(
-        f"SELECT '{c}' AS column, round(quantile_cont({c}, 0.1), 4) AS p10, "
-        f"round(quantile_cont({c}, 0.25), 4) AS p25, round(quantile_cont({c}, 0.5), 4) AS p50, "
-        f"round(quantile_cont({c}, 0.99), 4) AS p99 FROM lineitem"
+        f"SELECT '{c}' AS column, round(quantile_cont({c}, 0.1), 6) AS p10, "
+        f"round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50, "
+        f"round(quantile_cont({c}, 0.99), 6) AS p99 FROM lineitem"
         for c in ("l_quantity", "l_extendedprice", "l_discount")
     ),
 )
@@ -49,7 +49,7 @@ def _(spark, d):
     found = exact_quantiles(table(spark, d, "lineitem"), columns, [0.1, 0.25, 0.5, 0.99])
     rows = [(c, *q) for c, q in found.items()]
     return rounded(
-        spark.createDataFrame(rows, "column string, p10 double, p25 double, p50 double, p99 double"), 4
+        spark.createDataFrame(rows, "column string, p10 double, p25 double, p50 double, p99 double"), 6
     )
 
 

@@ -100,12 +100,12 @@ def _(spark, d):
     """WITH q AS (SELECT quantile_cont(o_totalprice, 0.25) AS q1, quantile_cont(o_totalprice, 0.75) AS q3 FROM orders),
     b AS (SELECT q1 - 0.3 * (q3 - q1) AS lo, q3 + 0.3 * (q3 - q1) AS hi FROM q)
     SELECT o_orderkey, round(CASE WHEN o_totalprice < lo THEN lo WHEN o_totalprice > hi THEN hi
-      ELSE o_totalprice END, 4) AS o_totalprice FROM orders, b""",
+      ELSE o_totalprice END, 6) AS o_totalprice FROM orders, b""",
 )
 def _(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
     bounds = outliers.fit_iqr(orders, ["o_totalprice"], 0.3)
-    return rounded(outliers.handle_outliers(orders, ["o_totalprice"], "cap", bounds=bounds), 4)
+    return rounded(outliers.handle_outliers(orders, ["o_totalprice"], "cap", bounds=bounds), 6)
 
 
 @query(

@@ -113,12 +113,13 @@ def _(spark, d):
     """SELECT 'l_extendedprice' AS column, 0 AS null_count, 0.0::DOUBLE AS null_percentage,
     round(avg(l_extendedprice), 4) AS mean, round(stddev_samp(l_extendedprice), 4) AS stddev,
     round(min(l_extendedprice), 4) AS min, round(max(l_extendedprice), 4) AS max,
-    round(quantile_cont(l_extendedprice, 0.25), 4) AS q1,
-    round(quantile_cont(l_extendedprice, 0.5), 4) AS median,
-    round(quantile_cont(l_extendedprice, 0.75), 4) AS q3 FROM lineitem""",
+    round(quantile_cont(l_extendedprice, 0.25), 6) AS q1,
+    round(quantile_cont(l_extendedprice, 0.5), 6) AS median,
+    round(quantile_cont(l_extendedprice, 0.75), 6) AS q3 FROM lineitem""",
 )
 def _(spark, d):
-    return rounded(profile.numeric_stats(table(spark, d, "lineitem"), "l_extendedprice", True), 4)
+    stats = profile.numeric_stats(table(spark, d, "lineitem"), "l_extendedprice", True)
+    return rounded(rounded(stats, 4, ["mean", "stddev", "min", "max"]), 6, ["q1", "median", "q3"])
 
 
 @query("prf_6_numeric_stats_approx")
@@ -211,10 +212,10 @@ BOX_COLUMNS = ["Age", "Tenure", "CreditScore", "Balance", "EstimatedSalary", "Nu
     "prf_13_box_plot",
     KEPT
     + _union(
-        f"""SELECT '{c}' AS column, round(q1, 4) AS q1, round(q2, 4) AS median, round(q3, 4) AS q3,
-      round(min({c}) FILTER ({c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))::DOUBLE, 4)
+        f"""SELECT '{c}' AS column, round(q1, 6) AS q1, round(q2, 6) AS median, round(q3, 6) AS q3,
+      round(min({c}) FILTER ({c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))::DOUBLE, 6)
         AS whisker_low,
-      round(max({c}) FILTER ({c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))::DOUBLE, 4)
+      round(max({c}) FILTER ({c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))::DOUBLE, 6)
         AS whisker_high,
       count(*) FILTER ({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS outliers
     FROM kept, (SELECT quantile_cont({c}::DOUBLE, 0.25) AS q1, quantile_cont({c}::DOUBLE, 0.5) AS q2,
@@ -223,7 +224,7 @@ BOX_COLUMNS = ["Age", "Tenure", "CreditScore", "Balance", "EstimatedSalary", "Nu
     ),
 )
 def _(spark, d):
-    return rounded(profile.box_plot(kept(spark, d), BOX_COLUMNS), 4)
+    return rounded(profile.box_plot(kept(spark, d), BOX_COLUMNS))
 
 
 @query(

@@ -55,16 +55,15 @@ def _(spark, d):
     "scl_4_bounds",
     """WITH q AS (SELECT quantile_cont(l_extendedprice, 0.25) AS q1, quantile_cont(l_extendedprice, 0.75) AS q3,
       avg(l_extendedprice) AS m, stddev_samp(l_extendedprice) AS s FROM lineitem)
-    SELECT 'iqr' AS rule, round(q1 - 1.5 * (q3 - q1), 4) AS low, round(q3 + 1.5 * (q3 - q1), 4) AS high FROM q
+    SELECT 'iqr' AS rule, round(q1 - 1.5 * (q3 - q1), 6) AS low, round(q3 + 1.5 * (q3 - q1), 6) AS high FROM q
     UNION ALL SELECT 'sigma', round(m - 3 * s, 4), round(m + 3 * s, 4) FROM q""",
 )
 def _(spark, d):
     lineitem, c = table(spark, d, "lineitem"), "l_extendedprice"
-    rows = [
-        ("iqr", *outliers.fit_iqr(lineitem, [c])[c]),
-        ("sigma", *outliers.fit_sigma(lineitem, [c])[c]),
-    ]
-    return rounded(spark.createDataFrame(rows, "rule string, low double, high double"), 4)
+    schema = "rule string, low double, high double"
+    iqr = spark.createDataFrame([("iqr", *outliers.fit_iqr(lineitem, [c])[c])], schema)
+    sigma = spark.createDataFrame([("sigma", *outliers.fit_sigma(lineitem, [c])[c])], schema)
+    return rounded(iqr, 6).unionByName(rounded(sigma, 4))
 
 
 @query(

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from rowmill.functions.columns import col, require
 
 HASH_BITS = 32
+FIRST_BITS = 8
 PREFIX_BITS = 12
 FETCH_ROWS = 20_000
 MAX_STRATA = 64
@@ -74,8 +75,8 @@ def hash_cuts(
     s = col(strata) if strata else F.lit(0)
     keyed = df.select(s.alias("s"), key_hash(col(key), seed).alias("h"), col(key).alias("k"))
 
-    shift = HASH_BITS - PREFIX_BITS
-    most = MAX_STRATA * 2**PREFIX_BITS
+    shift = HASH_BITS - FIRST_BITS
+    most = MAX_STRATA * 2**FIRST_BITS
     counts = _count_prefixes(keyed, shift, most + 1)
     totals: dict = {}
     for (value, _), n in counts.items():

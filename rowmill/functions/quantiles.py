@@ -69,14 +69,15 @@ def exact_quantiles(
             searches[i, j] = _Search(i, k, min(k + 1, n - 1), position - k, left, right)
 
     if max((n for n, _, _ in limits.values()), default=0) * 2 * margin > FETCH_VALUES:
-        _narrow(values, searches, limits)
+        _narrow(values, searches, limits, _count(values, searches))
     while searches:
+        sizes = _count(values, searches)
         histogram = _bracket_values(values, searches)
         if histogram is None:
-            _narrow(values, searches, limits)
+            _narrow(values, searches, limits, sizes)
             continue
         for (i, j), s in list(searches.items()):
-            below, held = histogram[i, j]
+            below, held = sizes[i, j][0], histogram[i, j]
             a, b = _nth(held, s.first - below), _nth(held, s.second - below)
             if a is None or b is None:
                 # the sketch missed: fall back to the column's own range
@@ -97,54 +98,50 @@ def _nth(held: list[tuple[float, int]], rank: int) -> float | None:
     return None
 
 
+def _inside(s: _Search):
+    v = F.col(f"v{s.column}")
+    return F.when((v >= F.lit(s.low)) & (v <= F.lit(s.high)), v)
+
+
+def _count(values: DataFrame, searches) -> dict[tuple[int, int], tuple[int, int]]:
+    """Per search: rows below the bracket and rows inside it."""
+    counts = []
+    for s in searches.values():
+        counts += [F.count_if(F.col(f"v{s.column}") < F.lit(s.low)), F.count(_inside(s))]
+    row = values.agg(*counts).collect()[0]
+    return {key: (row[2 * t], row[2 * t + 1]) for t, key in enumerate(searches)}
+
+
 def _bracket_values(values: DataFrame, searches) -> dict | None:
-    """Per search: rows below the bracket, and value counts inside it."""
+    """Per search the values inside its bracket with their counts, in order;
+    None when they are too many to fetch."""
     order = list(searches)
-    picks = []
-    for t, key in enumerate(order):
-        s = searches[key]
-        v = F.col(f"v{s.column}")
-        picks.append(
-            F.when(
-                v <= F.lit(s.high),
-                F.struct(F.lit(t).alias("t"), F.when(v >= F.lit(s.low), v).alias("v")),
-            )
-        )
-    cap = FETCH_VALUES * len(order)
+    inside = [_inside(searches[key]) for key in order]
+    any_inside = F.coalesce(*inside).isNotNull()
+    cells = [F.struct(F.lit(t).alias("t"), v.alias("v")) for t, v in enumerate(inside)]
+    most = FETCH_VALUES * len(order)
     rows = (
-        values.select(F.explode(F.array_compact(F.array(*picks))).alias("x"))
+        values.filter(any_inside)
+        .select(F.explode(F.array(*cells)).alias("x"))
+        .filter(F.col("x.v").isNotNull())
         .groupBy("x.t", "x.v")
         .count()
-        .limit(cap + 1)
+        .limit(most + 1)
         .collect()
     )
-    if len(rows) > cap:
+    if len(rows) > most:
         return None
-    result = {key: [0, []] for key in order}
+    held: dict = {key: [] for key in order}
     for t, v, n in rows:
-        if v is None:
-            result[order[t]][0] = n
-        else:
-            result[order[t]][1].append((v, n))
-    return {key: (below, sorted(held)) for key, (below, held) in result.items()}
+        held[order[t]].append((v, n))
+    return {key: sorted(pairs) for key, pairs in held.items()}
 
 
-def _narrow(values: DataFrame, searches, limits) -> None:
+def _narrow(values: DataFrame, searches, limits, sizes) -> None:
     """Tighten every bracket by a sketch of the rows inside it."""
-    order = list(searches)
-
-    def inside(s):
-        v = F.col(f"v{s.column}")
-        return F.when((v >= F.lit(s.low)) & (v <= F.lit(s.high)), v)
-
-    counts = []
-    for key in order:
-        s = searches[key]
-        counts += [F.count_if(F.col(f"v{s.column}") < F.lit(s.low)), F.count(inside(s))]
-    sizes = values.agg(*counts).collect()[0]
     sketches, narrowed = [], []
-    for t, key in enumerate(order):
-        s, below, held = searches[key], sizes[2 * t], sizes[2 * t + 1]
+    for key, s in searches.items():
+        below, held = sizes[key]
         if s.first < below or s.second >= below + held:
             _, s.low, s.high = limits[s.column]
             continue
@@ -153,7 +150,7 @@ def _narrow(values: DataFrame, searches, limits) -> None:
             min(1.0, max(0.0, (s.second - below + 1) / held + 2.0 / ACCURACY)),
         ]
         narrowed.append((s, ends))
-        sketches.append(F.percentile_approx(inside(s), ends, ACCURACY))
+        sketches.append(F.percentile_approx(_inside(s), ends, ACCURACY))
     if not narrowed:
         return
     for (s, ends), (low, high) in zip(narrowed, values.agg(*sketches).collect()[0]):

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from rowmill.functions.ordering import unit_hash
 from rowmill.sources.workdir import stage
 
-MAX_CELLS = 65_536
+MAX_CELLS = 16_384
+PART_ROWS = 2_000
 SAMPLES_PER_CELL = 16
 VISITORS_PER_TASK = 50_000
 BLOCK_PAIRS = 2_000_000
@@ -73,36 +74,92 @@ class CellTree:
         return -1 - node
 
 
-def _squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    total = np.zeros((len(a), len(b)))
-    for j in range(a.shape[1]):
-        total += (a[:, j, None] - b[None, :, j]) ** 2
+def _boxes(points: np.ndarray, cells: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    low = np.stack([points[cells == c].min(axis=0) for c in range(count)])
+    high = np.stack([points[cells == c].max(axis=0) for c in range(count)])
+    return low, high
+
+
+def _gap(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of every query to every box, added up by dimension."""
+    total = np.zeros((len(queries), len(low)))
+    for j in range(queries.shape[1]):
+        x = queries[:, j, None]
+        total += np.maximum(0.0, np.maximum(low[None, :, j] - x, x - high[None, :, j])) ** 2
     return total
 
 
+def _nearest_in(q: np.ndarray, p: np.ndarray, itself: np.ndarray, k: int):
+    """Distances and positions of the k nearest points, equal distances in
+    order of position; ``itself`` is a query's own position, or -1."""
+    d = np.zeros((len(q), len(p)))
+    for j in range(q.shape[1]):
+        d += (q[:, j, None] - p[None, :, j]) ** 2
+    rows = np.arange(len(q))
+    own = itself >= 0
+    d[rows[own], itself[own]] = np.inf
+    dist, place = np.full((len(q), k), np.inf), np.full((len(q), k), -1)
+    for t in range(min(k, len(p))):
+        at = d.argmin(axis=1)
+        dist[:, t], place[:, t] = d[rows, at], at
+        d[rows, at] = np.inf
+    return dist, place
+
+
 def _best(queries: pd.DataFrame, points: pd.DataFrame, k: int, reach=None) -> list[list[tuple]]:
-    """Per query the k nearest other points as (distance, id, vector, copies)."""
+    """Per query the k nearest other points as (distance, id, vector, copies).
+
+    A large cell is cut again inside the task, so that a query is compared with
+    the few parts that its best distance reaches.
+    """
     if points.empty:
         return [[] for _ in range(len(queries))]
     points = points.sort_values("id", kind="stable")
+    ids, copies = points["id"].tolist(), points["copies"].tolist()
     q, p = np.stack(queries["vec"].to_numpy()), np.stack(points["vec"].to_numpy())
-    ids, copies = points["id"].to_numpy(), points["copies"].to_numpy()
-    own = queries["id"].to_numpy()
-    rows = max(1, BLOCK_PAIRS // len(p))
-    found = []
-    for start in range(0, len(q), rows):
-        d = _squared_distances(q[start : start + rows], p)
-        d[own[start : start + rows, None] == ids[None, :]] = np.inf
-        take = min(k, len(p))
-        # all points at the k-th distance stay candidates, ids break the tie
-        edge = np.partition(d, take - 1, axis=1)[:, take - 1]
-        for i, row in enumerate(d):
-            limit = edge[i] if reach is None else min(edge[i], reach[start + i])
-            near = np.flatnonzero((row <= limit) & np.isfinite(row))
-            near = near[np.argsort(row[near], kind="stable")][:k]
-            found.append([(float(row[j]), ids[j].item() if hasattr(ids[j], "item") else ids[j],
-                           p[j].tolist(), int(copies[j])) for j in near])
-    return found
+    itself = pd.Index(points["id"]).get_indexer(queries["id"])
+
+    parts = max(1, len(p) // PART_ROWS)
+    tree = CellTree(p[:: max(1, len(p) // (parts * SAMPLES_PER_CELL))], parts)
+    part_of = tree.cell_of(p)
+    low, high = _boxes(p, part_of, tree.cells)
+    members = [np.flatnonzero(part_of == c) for c in range(tree.cells)]
+
+    dist, place = np.full((len(q), k), np.inf), np.full((len(q), k), -1)
+    limit = np.full(len(q), np.inf) if reach is None else reach.astype(float)
+
+    def visit(rows: np.ndarray, held: np.ndarray) -> None:
+        step = max(1, BLOCK_PAIRS // len(held))
+        for s in range(0, len(rows), step):
+            r = rows[s : s + step]
+            local = np.searchsorted(held, itself[r])
+            found = (local < len(held)) & (held[np.minimum(local, len(held) - 1)] == itself[r])
+            d, at = _nearest_in(q[r], p[held], np.where(found, local, -1), k)
+            d = np.concatenate([dist[r], d], axis=1)
+            at = np.concatenate([place[r], np.where(at >= 0, held[at], -1)], axis=1)
+            order = np.lexsort((at, d), axis=1)[:, :k]
+            dist[r] = np.take_along_axis(d, order, axis=1)
+            place[r] = np.take_along_axis(at, order, axis=1)
+
+    step = max(1, BLOCK_PAIRS // len(members))
+    nearest_part = np.concatenate(
+        [_gap(q[s : s + step], low, high).argmin(axis=1) for s in range(0, len(q), step)]
+    )
+    for c, held in enumerate(members):
+        visit(np.flatnonzero(nearest_part == c), held)
+    for c, held in enumerate(members):
+        gap = _gap(q, low[c : c + 1], high[c : c + 1])[:, 0]
+        visit(np.flatnonzero((gap <= np.minimum(dist[:, -1], limit)) & (nearest_part != c)), held)
+
+    vectors = p.tolist()
+    return [
+        [
+            (float(x), ids[j], vectors[j], copies[j])
+            for x, j in zip(dist[i], place[i])
+            if np.isfinite(x) and x <= limit[i]
+        ]
+        for i in range(len(q))
+    ]
 
 
 def nearest_points(
@@ -164,10 +221,7 @@ def _visit_other_cells(local, cells, k, kind, near_type, visitors) -> DataFrame:
         q, r, own = np.stack(vec.to_numpy()), reach.to_numpy(), cell.to_numpy()
         rows, out = max(1, BLOCK_PAIRS // len(numbers)), []
         for s in range(0, len(q), rows):
-            gap = np.zeros((len(q[s : s + rows]), len(numbers)))
-            for j in range(dims):
-                x = q[s : s + rows, j, None]
-                gap += np.maximum(0.0, np.maximum(low[None, :, j] - x, x - high[None, :, j])) ** 2
+            gap = _gap(q[s : s + rows], low, high)
             hit = (gap <= r[s : s + rows, None]) & (numbers[None, :] != own[s : s + rows, None])
             out += [numbers[row].tolist() for row in hit]
         return pd.Series(out)

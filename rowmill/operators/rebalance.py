@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rowmill.functions.columns import col, is_missing, require
 from rowmill.functions.ordering import hash_cuts, key_hash, unit_hash
 from rowmill.operators.neighbors import nearest_points
+from rowmill.sources.workdir import stage
 
 BLOCK = 10_000
 
@@ -38,22 +39,28 @@ def synthetic_rows(
     """
     features = list(features)
     require(df, [key, label, *features])
-    rows = df.filter(col(label) == F.lit(minority))
     incomplete = F.lit(False)
     for f in features:
         incomplete = incomplete | is_missing(df, f)
-    size, bad = rows.agg(F.count(F.lit(1)), F.count_if(incomplete)).collect()[0]
+    vec = F.array(*[col(f).cast("double") for f in features])
+    # written once: the minority is read several times below
+    rows = stage(
+        df.filter(col(label) == F.lit(minority)).select(
+            col(key).alias("id"), vec.alias("vec"), incomplete.alias("incomplete")
+        ),
+        "minority",
+    )
+    size, bad = rows.agg(F.count(F.lit(1)), F.count_if("incomplete")).collect()[0]
     if size < 2:
         raise ValueError("oversampling needs at least two rows of the minority class")
     if bad:
         raise ValueError(f"{bad} minority rows have a missing feature: impute first")
 
     each, extra = divmod(need, size)
-    cut = hash_cuts(rows, key, lambda n: [extra], seed=seed)[0].cuts[0]
-    again = F.lit(False) if cut is None else cut.reaches(key_hash(col(key), seed), col(key))
-    vec = F.array(*[col(f).cast("double") for f in features])
+    cut = hash_cuts(rows, "id", lambda n: [extra], seed=seed)[0].cuts[0]
+    again = F.lit(False) if cut is None else cut.reaches(key_hash(F.col("id"), seed), F.col("id"))
     points = (
-        rows.select(col(key).alias("id"), vec.alias("vec"), again.alias("again"))
+        rows.select("id", "vec", again.alias("again"))
         .groupBy("vec")
         .agg(
             F.min("id").alias("id"),

@@ -46,9 +46,12 @@ def apply_stratified_split(
     test = F.lit(False)
     for s in strata:
         if s.cuts[0] is not None:
-            reached = s.cuts[0].reaches(key_hash(col(key), seed), col(key))
+            reached = s.cuts[0].reaches(F.col("_h"), col(key))
             test = test | (col(label).eqNullSafe(F.lit(s.value)) & reached)
-    return df.withColumn(output, F.when(test, F.lit("test")).otherwise(F.lit("train")))
+    hashed = df.withColumn("_h", key_hash(col(key), seed))
+    return hashed.withColumn(
+        output, F.when(test, F.lit("test")).otherwise(F.lit("train"))
+    ).drop("_h")
 
 
 def stratified_split(
@@ -115,20 +118,20 @@ def stratified_folds(
             extra + F.floor((rank0 - wide) / F.greatest(small, F.lit(1)))
         )
         return ranked.withColumn(output, fold.cast("int")).drop("_rank", "_rows")
-    return df.withColumn(output, _fold(strata, key, label, seed).cast("int"))
+    hashed = df.withColumn("_h", key_hash(col(key), seed))
+    return hashed.withColumn(output, _fold(strata, key, label)).drop("_h")
 
 
-def _fold(strata: list[Stratum], key: str, label: str, seed: int) -> Column:
-    """Number of fold ends that lie before the row."""
-    h, k = key_hash(col(key), seed), col(key)
+def _fold(strata: list[Stratum], key: str, label: str) -> Column:
+    """The first fold whose end the row does not pass."""
     fold = F.lit(0)
     for s in strata:
-        passed = F.lit(0)
-        for cut in s.cuts:
-            after = F.lit(1) if cut is None else (~cut.reaches(h, k)).cast("int")
-            passed = passed + after
-        fold = F.when(col(label).eqNullSafe(F.lit(s.value)), passed).otherwise(fold)
-    return fold
+        inside = F.lit(len(s.cuts))
+        for i, cut in reversed(list(enumerate(s.cuts))):
+            if cut is not None:
+                inside = F.when(cut.reaches(F.col("_h"), col(key)), F.lit(i)).otherwise(inside)
+        fold = F.when(col(label).eqNullSafe(F.lit(s.value)), inside).otherwise(fold)
+    return fold.cast("int")
 
 
 def sample_fraction(

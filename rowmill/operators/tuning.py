@@ -26,8 +26,15 @@ SCORES = ("accuracy", "precision", "recall", "f1")
 def fit(df: DataFrame, estimator: Estimator) -> tuple[PipelineModel, float]:
     """The fitted model and its accuracy on the rows it was fitted to."""
     use_checkpoints(df.sparkSession)
-    model = Pipeline(stages=[estimator]).fit(df)
-    cells = _confusion(model.transform(df), estimator.getLabelCol())
+    # a trainer reads its rows several times before its own cache is filled
+    held = df.storageLevel.useMemory or df.storageLevel.useDisk
+    data = df if held else df.persist()
+    try:
+        model = Pipeline(stages=[estimator]).fit(data)
+        cells = _confusion(model.transform(data), estimator.getLabelCol())
+    finally:
+        if not held:
+            data.unpersist()
     return model, metrics_of(cells)["accuracy"]
 
 
@@ -157,6 +164,7 @@ def grid_search(
     use_checkpoints(df.sparkSession)
     combinations = grid_of(model, grid)
     data = df.select("features", "label", fold).persist()
+    with_session = inheritable_thread_target(df.sparkSession)
     pool = ThreadPool(parallelism)
     try:
         sizes = {r[0]: r[1] for r in data.groupBy(col(fold)).count().collect()}
@@ -175,7 +183,7 @@ def grid_search(
             return task, metrics_of(cells), spent, fitted if keep_fold_models else None
 
         tasks = [(key, f) for key in distinct for f in folds]
-        for task, scores, spent, fitted in pool.imap_unordered(inheritable_thread_target(run), tasks):
+        for task, scores, spent, fitted in pool.imap_unordered(with_session(run), tasks):
             results[task] = (scores, spent, fitted)
         result = SearchResult(
             model,
