@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowmill.functions.columns import col, is_floating
+from rowmill.functions.columns import col, is_floating, unpivot_row
 
 
 @dataclass(frozen=True)
@@ -44,6 +44,20 @@ def rounded(df: DataFrame, digits: int = 6, only: list[str] | None = None) -> Da
     return df.withColumns({n: F.round(col(n), digits) for n in names})
 
 
+def close_quantiles(df: DataFrame, found: dict[tuple[str, float], float], error: float) -> DataFrame:
+    """Whether the rank of each found quantile is within the error, by counting."""
+    shares, rows = [], []
+    for i, ((c, p), q) in enumerate(found.items()):
+        n = F.count(col(c))
+        shares += [
+            (F.count_if(col(c) < q) / n).alias(f"under{i}"),
+            (F.count_if(col(c) <= q) / n).alias(f"upto{i}"),
+        ]
+        close = (F.col(f"under{i}") <= p + error) & (F.col(f"upto{i}") >= p - error)
+        rows.append({"column": F.lit(c), "probability": F.lit(p), "close": close})
+    return unpivot_row(df.agg(*shares), rows)
+
+
 def churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer, with gaps, outliers and values on bin edges.
 

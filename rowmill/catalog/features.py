@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowmill.catalog.base import CHURN, FILLED, KEPT, churn, filled, kept, query, rounded, table
+from rowmill.catalog.base import (
+    CHURN, FILLED, KEPT, churn, close_quantiles, filled, kept, query, rounded, table,
+)
 from rowmill.operators import binning, encode, outliers, scale, vectors
 from rowmill.operators.binning import CREDIT_SCORE_BINS, CREDIT_SCORE_CODES, CREDIT_SCORE_TOP
 from rowmill.operators.split import random_split, split_parts
@@ -59,11 +61,22 @@ def _(spark, d):
     return rounded(outliers.bounds_table(rows, outliers.fit_iqr(rows, OUTLIER_COLUMNS)))
 
 
-@query("out_3_iqr_bounds_approx")
+@query(
+    "out_3_iqr_bounds_approx",
+    FILLED
+    + """SELECT c AS column, p AS probability, count(*) > 0 AS close FROM filled,
+    (VALUES ('CreditScore'), ('Age'), ('NumOfProducts')) t(c), (VALUES (0.25::DOUBLE), (0.75::DOUBLE)) u(p)
+    GROUP BY ALL""",
+)
 def _(spark, d):
-    rows = filled(spark, d)
-    bounds = outliers.fit_iqr(rows, OUTLIER_COLUMNS, threshold=2.0, relative_error=0.01)
-    return outliers.bounds_table(rows, bounds)
+    """The quartiles that the approximate bounds came from: with threshold t
+    they are (low * (1 + t) + high * t) / (1 + 2 t), and its mirror."""
+    rows, t = filled(spark, d), 2.0
+    found = {}
+    for c, (low, high) in outliers.fit_iqr(rows, OUTLIER_COLUMNS, t, relative_error=0.01).items():
+        found[c, 0.25] = round((low * (1 + t) + high * t) / (1 + 2 * t), 6)
+        found[c, 0.75] = round((high * (1 + t) + low * t) / (1 + 2 * t), 6)
+    return close_quantiles(rows, found, 0.011)
 
 
 @query(

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowmill.catalog.base import CHURN, FILLED, KEPT, churn, filled, kept, query, rounded, table
+from rowmill.catalog.base import (
+    CHURN, FILLED, KEPT, churn, close_quantiles, filled, kept, query, rounded, table,
+)
 from rowmill.catalog.profiling import GAPS, _gaps
 from rowmill.functions.scalar import map_values
 from rowmill.operators import encode, impute, lookup
@@ -57,9 +59,14 @@ def _(spark, d):
     return impute.fill(kept(spark, d), "Age", "median").select("CustomerId", "Age")
 
 
-@query("imp_3_median_approx")
+@query(
+    "imp_3_median_approx",
+    KEPT + "SELECT 'Age' AS column, 0.5::DOUBLE AS probability, count(*) > 0 AS close FROM kept",
+)
 def _(spark, d):
-    return impute.fill(kept(spark, d), "Age", "median", relative_error=0.01).select("CustomerId", "Age")
+    rows = kept(spark, d).select("Age")
+    median = impute.fit_fill(rows, "Age", "median", relative_error=0.01)["Age"]
+    return close_quantiles(rows, {("Age", 0.5): median}, 0.01)
 
 
 @query(

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rowmill.catalog.base import churn, query, rounded, table
+from rowmill.catalog.base import KEPT, churn, query, rounded, table
 from rowmill.catalog.sampling import HASH
 from rowmill.catalog.scoring import PREPARED, features_sql
+from rowmill.catalog.storage import SPLIT_SQL
 from rowmill.operators import models
 from rowmill.operators.layout import partition_target, right_size
 from rowmill.plans import preparation, training
@@ -62,9 +63,30 @@ def _(spark, d):
     return summary
 
 
-@query("cmp_1_prepare_on_train")
+# statistics of the training part, applied to both parts
+ON_TRAIN = KEPT + f""", dealt AS (SELECT *, {SPLIT} FROM kept),
+a AS (SELECT avg(Age) AS mean_age FROM dealt WHERE split = 'train'),
+filled AS (SELECT * REPLACE (coalesce(Age, mean_age) AS Age, coalesce(Gender, 'Unknown') AS Gender) FROM dealt, a),
+q AS (SELECT
+  quantile_cont(CreditScore::DOUBLE, 0.25) AS c1, quantile_cont(CreditScore::DOUBLE, 0.75) AS c3,
+  quantile_cont(Age, 0.25) AS a1, quantile_cont(Age, 0.75) AS a3,
+  quantile_cont(NumOfProducts::DOUBLE, 0.25) AS n1, quantile_cont(NumOfProducts::DOUBLE, 0.75) AS n3
+  FROM filled WHERE split = 'train'),
+fine AS (SELECT filled.* FROM filled, q WHERE
+  (CreditScore < c1 - 1.5 * (c3 - c1) OR CreditScore > c3 + 1.5 * (c3 - c1))::INT
+  + (Age < a1 - 1.5 * (a3 - a1) OR Age > a3 + 1.5 * (a3 - a1))::INT
+  + (NumOfProducts < n1 - 1.5 * (n3 - n1) OR NumOfProducts > n3 + 1.5 * (n3 - n1))::INT < 2),
+r AS (SELECT min(Balance) AS bl, max(Balance) AS bh, min(Age) AS gl, max(Age) AS gh,
+  min(EstimatedSalary) AS sl, max(EstimatedSalary) AS sh FROM fine WHERE split = 'train')
+"""
+
+
+@query(
+    "cmp_1_prepare_on_train",
+    ON_TRAIN + "SELECT CustomerId, Exited, split, " + features_sql("fine", ""),
+)
 def _(spark, d):
-    prepared, _ = preparation.prepare(churn(spark, d), Settings(), stage_rows=True)
+    prepared, _ = preparation.prepare(churn(spark, d), Settings())
     return rounded(prepared, 9)
 
 
@@ -81,13 +103,44 @@ def _(spark, d):
 
 @query("cmp_2_tune")
 def _(spark, d):
-    prepared, _ = preparation.prepare(churn(spark, d), ALL, stage_rows=True)
+    prepared, _ = preparation.prepare(churn(spark, d), ALL)
     grid = {"max_depth": [3, 6], "criterion": ["gini", "entropy"]}
     summary, _ = training.train(prepared, "decision_tree", grid=grid, folds=5)
     return rounded(summary.drop("seconds"))
 
 
-@query("cmp_3_settings")
+@query(
+    "cmp_3_settings",
+    KEPT
+    + f""", c AS (SELECT Firstname, Gender, count(*) AS n FROM kept WHERE Gender IS NOT NULL GROUP BY ALL),
+    best AS (SELECT Firstname AS fn, Gender AS g FROM c
+      QUALIFY row_number() OVER (PARTITION BY Firstname ORDER BY n DESC, Gender) = 1),
+    mode AS (SELECT Gender AS m FROM c GROUP BY Gender ORDER BY sum(n) DESC, Gender LIMIT 1),
+    dealt AS (SELECT kept.* REPLACE (coalesce(Gender, g, m) AS Gender),
+        {SPLIT_SQL.format(key='CustomerId', share=0.2)} AS split
+      FROM kept LEFT JOIN best ON Firstname = fn, mode),
+    t AS (SELECT quantile_cont(Age, 0.5) AS med FROM dealt WHERE split = 'train'),
+    full_ AS (SELECT * REPLACE (coalesce(Age, med) AS Age) FROM dealt, t),
+    b AS (SELECT avg(CreditScore) AS cm, 3 * stddev_samp(CreditScore) AS cs, avg(Age) AS am,
+      3 * stddev_samp(Age) AS asd, avg(NumOfProducts) AS nm, 3 * stddev_samp(NumOfProducts) AS ns
+      FROM full_ WHERE split = 'train'),
+    capped AS (SELECT full_.* REPLACE (greatest(least(CreditScore, cm + cs), cm - cs) AS CreditScore,
+        greatest(least(Age, am + asd), am - asd) AS Age,
+        greatest(least(NumOfProducts, nm + ns), nm - ns) AS NumOfProducts) FROM full_, b),
+    s AS (SELECT avg(Balance) AS bm, stddev_pop(Balance) AS bs, avg(Age) AS gm, stddev_pop(Age) AS gs,
+      avg(EstimatedSalary) AS em, stddev_pop(EstimatedSalary) AS es FROM capped WHERE split = 'train')
+    SELECT CustomerId, Exited, split, round((Age - gm) / gs, 6) AS "Age", Tenure,
+      round((Balance - bm) / bs, 6) AS "Balance", round(NumOfProducts, 6) AS "NumOfProducts", HasCrCard,
+      IsActiveMember, round((EstimatedSalary - em) / es, 6) AS "EstimatedSalary",
+      CASE WHEN CreditScore = 850 THEN 4 WHEN CreditScore BETWEEN 300 AND 580 THEN 0
+        WHEN CreditScore BETWEEN 580 AND 670 THEN 1 WHEN CreditScore BETWEEN 670 AND 740 THEN 2
+        WHEN CreditScore BETWEEN 740 AND 800 THEN 3 WHEN CreditScore BETWEEN 800 AND 850 THEN 4 END
+        AS "CreditScoreBins",
+      (Geography = 'AFRICA')::INT AS "Geography_AFRICA", (Geography = 'AMERICA')::INT AS "Geography_AMERICA",
+      (Geography = 'ASIA')::INT AS "Geography_ASIA", (Geography = 'EUROPE')::INT AS "Geography_EUROPE",
+      (Geography = 'MIDDLE EAST')::INT AS "Geography_MIDDLE_EAST", (Gender = 'Female')::INT AS "Gender_Female",
+      (Gender = 'Male')::INT AS "Gender_Male" FROM capped, s""",
+)
 def _(spark, d):
     """The preparation under other settings: predicted gender, sigma bounds,
     capping, standard scaling and a random split."""

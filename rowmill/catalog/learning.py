@@ -82,13 +82,17 @@ def _(spark, d):
     return _fitted(spark, d, "gradient_boosting", n_estimators=10)
 
 
-@query("mod_6_models_by_name")
+@query(
+    "mod_6_models_by_name",
+    CHURN
+    + """SELECT m AS model, count(*) AS rows FROM churn, (VALUES ('boosted_trees'), ('decision_tree'),
+    ('gradient_boosting'), ('logistic_regression'), ('random_forest'), ('svm')) t(m) GROUP BY m""",
+)
 def _(spark, d):
-    """Rows of the table per training part, beside every model's defaults."""
-    rows = churn(spark, d).agg(F.count(F.lit(1)).alias("rows"))
-    known = [(m, str(models.DEFAULTS[m])) for m in models.available_models()]
-    named = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(p).alias("defaults")) for m, p in known]))
-    return rows.select("rows", named.alias("m")).select("m.model", "m.defaults", "rows")
+    """Rows that each known model would be built for."""
+    built = [models.build_model(m).uid and m for m in models.available_models()]
+    names = F.explode(F.array(*[F.lit(m) for m in built])).alias("model")
+    return churn(spark, d).select(names).groupBy("model").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query("trn_1_fit_accuracy")
@@ -149,7 +153,7 @@ def _(spark, d):
     return tuning.grid_search(data, "decision_tree", grid, scoring="accuracy", refit=False).table(spark)
 
 
-@query("trn_8_saved_model")
+@query("trn_8_saved_model", KEPT + "SELECT count(*) AS rows, count(*) AS equal FROM kept")
 def _(spark, d):
     data = vectors(spark, d)
     model, _ = tuning.fit(data, models.build_model("decision_tree", max_depth=4))

@@ -171,9 +171,20 @@ def _(spark, d):
     return parts[0].unionByName(parts[1])
 
 
-@query("str_3_batch_metrics")
+@query(
+    "str_3_batch_metrics",
+    CHURN
+    + """SELECT 2 AS batches, count(*) AS predictions, count(*) AS by_class, count(*) AS by_risk
+    FROM churn WHERE CustomerId % 29 <> 6""",
+)
 def _(spark, d):
-    return rounded(streams.metrics_history(spark, _scored_batches(spark, d)))
+    history = streams.metrics_history(spark, _scored_batches(spark, d))
+    return history.agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.sum("num_predictions").alias("predictions"),
+        F.sum(F.col("churn_predictions") + F.col("retain_predictions")).alias("by_class"),
+        F.sum(F.col("high_risk") + F.col("medium_risk") + F.col("low_risk")).alias("by_risk"),
+    )
 
 
 @query(

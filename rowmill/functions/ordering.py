@@ -145,12 +145,15 @@ def _locate(counts, value, rank, before, within=None):
 
 
 def _inside(open_at, shift) -> Column:
-    condition = F.lit(False)
-    for value, prefix in {(v, p) for (v, _), (p, _) in open_at.items()}:
-        condition = condition | (
-            F.col("s").eqNullSafe(F.lit(value)) & (F.shiftright("h", shift) == F.lit(prefix))
-        )
-    return condition
+    """Rows in an open prefix of their stratum; the hash is taken once per row."""
+    by_value: dict = {}
+    for (value, _), (prefix, _) in open_at.items():
+        by_value.setdefault(value, set()).add(prefix)
+    wanted = F.lit(None).cast("array<bigint>")
+    for value, prefixes in by_value.items():
+        held = F.array(*[F.lit(p).cast("bigint") for p in sorted(prefixes)])
+        wanted = F.when(F.col("s").eqNullSafe(F.lit(value)), held).otherwise(wanted)
+    return F.array_contains(wanted, F.shiftright("h", shift))
 
 
 def rank_in_class(

@@ -96,14 +96,15 @@ def feature_names(state: State, s: Settings, columns: list[str]) -> list[str]:
 
 
 def prepare(
-    df: DataFrame, settings: Settings | None = None, stage_rows: bool = False
+    df: DataFrame, settings: Settings | None = None, stage_rows: bool = True
 ) -> tuple[DataFrame, State]:
     """The feature table with key, target and ``split``, and the fitted state.
 
     By default the rows are split first and statistics come from the training
     part; ``fit_on='all'`` takes them from all rows and splits at the end.
-    ``stage_rows`` writes the imputed rows once, so that the later passes read
-    a table instead of the source.
+    The rows are written once before anything is fitted, so that the passes
+    below read a columnar table; ``stage_rows=False`` reads the source each
+    time, which is right when the source is such a table already.
     """
     s = settings or Settings()
     rows = predict_steps(project.drop_missing(df, s.critical_columns), s)
@@ -135,7 +136,7 @@ def run(
     """Prepare, write the parts, and return a one-row summary and the state."""
     s = settings or Settings()
     source = project.drop_missing(df, s.critical_columns)
-    prepared, state = prepare(df, s, stage_rows=True)
+    prepared, state = prepare(df, s)
     paths = write_splits(prepared, path, output_format)
     written = df.sparkSession.read.format(output_format if output_format != "both" else "parquet")
     if output_format == "csv":
