@@ -1,9 +1,11 @@
 """Exact quantiles without gathering a column's values into one task.
 
 The built-in ``percentile`` keeps every distinct value of a group in one
-aggregation buffer.  Here a sketch of fixed size brackets each quantile, rows
-outside the bracket are only counted, and the bracket is narrowed until the
-values left in it are few.  Each round is one scan with a map-side aggregate.
+aggregation buffer.  Here each wanted rank is searched for: a sketch of fixed
+size proposes two values close to it, counting says on which side of them the
+rank lies, and so on until few rows are left in between.  Each step is one scan
+with a map-side aggregate.  A value that fills the table cannot stall the
+search, because a proposed value either is the answer or is left behind.
 """
 
 from __future__ import annotations
@@ -12,25 +14,59 @@ import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowmill.functions.columns import present, require
 
 ACCURACY = 10_000
-FETCH_VALUES = 50_000
+FETCH_ROWS = 50_000
 
 
 @dataclass
 class _Search:
-    """One quantile of one column: two neighbouring ranks and their bracket."""
+    """A 0-based rank of a column, known to lie strictly between two values."""
 
     column: int
-    first: int  # 0-based ranks
-    second: int
-    weight: float
-    low: float
-    high: float
+    rank: int
+    below: int  # rows up to and including ``low``
+    held: int  # rows strictly between
+    low: float | None = None
+    high: float | None = None
+    found: float | None = None
+
+    def value(self) -> Column:
+        return F.col(f"v{self.column}")
+
+    def inside(self) -> Column:
+        """The value when it lies between the two ends, else null."""
+        v, condition = self.value(), F.lit(True)
+        if self.low is not None:
+            condition = condition & (v > F.lit(self.low))
+        if self.high is not None:
+            condition = condition & (v < F.lit(self.high))
+        return F.when(condition, v)
+
+    def around(self) -> list[float]:
+        """Two probabilities inside the interval that enclose the rank."""
+        at = (self.rank - self.below + 0.5) / self.held
+        return [min(1.0, max(0.0, at + d)) for d in (-2.0 / ACCURACY, 2.0 / ACCURACY)]
+
+    def settle(self, left: float, right: float, counts: Sequence[int]) -> None:
+        """Go on where the rank lies, given the rows <, <= left and <, <= right."""
+        under_left, to_left, under_right, to_right = counts
+        end = self.below + self.held
+        if self.rank < under_left:
+            self.high, self.held = left, under_left - self.below
+        elif self.rank < to_left:
+            self.found = left
+        elif self.rank < under_right:
+            self.low, self.high = left, right
+            self.below, self.held = to_left, under_right - to_left
+        elif self.rank < to_right:
+            self.found = right
+        else:
+            self.low, self.below, self.held = right, to_right, end - to_right
 
 
 def exact_quantiles(
@@ -42,117 +78,94 @@ def exact_quantiles(
     values = df.select(
         *[present(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]
     )
-    margin = 2.0 / ACCURACY
-    around = [
-        min(1.0, max(0.0, p + d)) for p in probabilities for d in (-margin, margin)
-    ]
+    # the first proposals: one sketch per column serves all probabilities
+    margin = 3.0 / ACCURACY
+    around = [min(1.0, max(0.0, p + d)) for p in probabilities for d in (-margin, margin)]
     aggregates = []
     for i in range(len(columns)):
         v = F.col(f"v{i}")
-        aggregates += [F.count(v), F.min(v), F.max(v), F.percentile_approx(v, around, ACCURACY)]
+        aggregates += [F.count(v), F.percentile_approx(v, around, ACCURACY)]
     first = values.agg(*aggregates).collect()[0]
 
-    found: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
     searches: dict[tuple[int, int], _Search] = {}
-    limits = {}
-    for i, c in enumerate(columns):
-        n, low, high, sketch = first[4 * i : 4 * i + 4]
-        if n == 0:
-            continue
-        limits[i] = (n, low, high)
+    proposals: dict[tuple[int, int], tuple[float, float]] = {}
+    positions: dict[tuple[int, int], tuple[int, int, float]] = {}
+    for i in range(len(columns)):
+        n, sketch = first[2 * i], first[2 * i + 1]
         for j, p in enumerate(probabilities):
-            position = p * (n - 1)
-            k = math.floor(position)
-            # the two ends of the column are known exactly
-            left = low if around[2 * j] == 0.0 else sketch[2 * j]
-            right = high if around[2 * j + 1] == 1.0 else sketch[2 * j + 1]
-            searches[i, j] = _Search(i, k, min(k + 1, n - 1), position - k, left, right)
-
-    if max((n for n, _, _ in limits.values()), default=0) * 2 * margin > FETCH_VALUES:
-        _narrow(values, searches, limits, _count(values, searches))
-    while searches:
-        sizes = _count(values, searches)
-        histogram = _bracket_values(values, searches)
-        if histogram is None:
-            _narrow(values, searches, limits, sizes)
-            continue
-        for (i, j), s in list(searches.items()):
-            below, held = sizes[i, j][0], histogram[i, j]
-            a, b = _nth(held, s.first - below), _nth(held, s.second - below)
-            if a is None or b is None:
-                # the sketch missed: fall back to the column's own range
-                _, s.low, s.high = limits[i]
+            if n == 0:
                 continue
-            found[columns[i]][j] = a + (b - a) * s.weight
-            del searches[i, j]
-    return found
-
-
-def _nth(held: list[tuple[float, int]], rank: int) -> float | None:
-    if rank < 0:
-        return None
-    for value, n in held:
-        if rank < n:
-            return value
-        rank -= n
-    return None
-
-
-def _inside(s: _Search):
-    v = F.col(f"v{s.column}")
-    return F.when((v >= F.lit(s.low)) & (v <= F.lit(s.high)), v)
-
-
-def _count(values: DataFrame, searches) -> dict[tuple[int, int], tuple[int, int]]:
-    """Per search: rows below the bracket and rows inside it."""
+            k = math.floor(p * (n - 1))
+            weight = p * (n - 1) - k
+            upper = k + 1 if weight else k
+            positions[i, j] = (k, upper, weight)
+            for rank in {k, upper}:
+                searches.setdefault((i, rank), _Search(i, rank, 0, n))
+                proposals.setdefault((i, rank), (sketch[2 * j], sketch[2 * j + 1]))
+
+    while True:
+        _settle(values, searches, proposals)
+        open_ = {key: s for key, s in searches.items() if s.found is None}
+        if all(s.held <= FETCH_ROWS for s in open_.values()):
+            break
+        proposals = _propose(values, open_)
+    _fetch(values, list(open_.values()))
+
+    result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    for (i, j), (k, upper, weight) in positions.items():
+        a, b = searches[i, k].found, searches[i, upper].found
+        result[columns[i]][j] = a + (b - a) * weight
+    return result
+
+
+def _settle(values: DataFrame, searches, proposals) -> None:
+    """Count the rows around the proposed values and move every open search."""
+    moving = [key for key in proposals if searches[key].found is None]
+    if not moving:
+        return
+    at = sorted({(searches[k].column, x) for k in moving for x in proposals[k]})
     counts = []
-    for s in searches.values():
-        counts += [F.count_if(F.col(f"v{s.column}") < F.lit(s.low)), F.count(_inside(s))]
+    for column, x in at:
+        v = F.col(f"v{column}")
+        counts += [F.count_if(v < F.lit(x)), F.count_if(v <= F.lit(x))]
     row = values.agg(*counts).collect()[0]
-    return {key: (row[2 * t], row[2 * t + 1]) for t, key in enumerate(searches)}
+    sizes = {pair: (row[2 * t], row[2 * t + 1]) for t, pair in enumerate(at)}
+    for key in moving:
+        s, (left, right) = searches[key], proposals[key]
+        s.settle(left, right, [*sizes[s.column, left], *sizes[s.column, right]])
 
 
-def _bracket_values(values: DataFrame, searches) -> dict | None:
-    """Per search the values inside its bracket with their counts, in order;
-    None when they are too many to fetch."""
-    order = list(searches)
-    inside = [_inside(searches[key]) for key in order]
-    any_inside = F.coalesce(*inside).isNotNull()
+def _propose(values: DataFrame, searches) -> dict[tuple[int, int], tuple[float, float]]:
+    """Two values near each rank, from a sketch of the rows still in question."""
+    sketches = [
+        F.percentile_approx(s.inside(), s.around(), ACCURACY) for s in searches.values()
+    ]
+    return dict(zip(searches, map(tuple, values.agg(*sketches).collect()[0])))
+
+
+def _fetch(values: DataFrame, searches: list[_Search]) -> None:
+    """Resolve searches that have few rows left, by counting their values."""
+    if not searches:
+        return
+    inside = [s.inside() for s in searches]
     cells = [F.struct(F.lit(t).alias("t"), v.alias("v")) for t, v in enumerate(inside)]
-    most = FETCH_VALUES * len(order)
     rows = (
-        values.filter(any_inside)
+        values.filter(F.coalesce(*inside).isNotNull())
         .select(F.explode(F.array(*cells)).alias("x"))
         .filter(F.col("x.v").isNotNull())
         .groupBy("x.t", "x.v")
         .count()
-        .limit(most + 1)
         .collect()
     )
-    if len(rows) > most:
-        return None
-    held: dict = {key: [] for key in order}
+    held: dict[int, list] = {}
     for t, v, n in rows:
-        held[order[t]].append((v, n))
-    return {key: sorted(pairs) for key, pairs in held.items()}
-
-
-def _narrow(values: DataFrame, searches, limits, sizes) -> None:
-    """Tighten every bracket by a sketch of the rows inside it."""
-    sketches, narrowed = [], []
-    for key, s in searches.items():
-        below, held = sizes[key]
-        if s.first < below or s.second >= below + held:
-            _, s.low, s.high = limits[s.column]
-            continue
-        ends = [
-            min(1.0, max(0.0, (s.first - below) / held - 2.0 / ACCURACY)),
-            min(1.0, max(0.0, (s.second - below + 1) / held + 2.0 / ACCURACY)),
-        ]
-        narrowed.append((s, ends))
-        sketches.append(F.percentile_approx(_inside(s), ends, ACCURACY))
-    if not narrowed:
-        return
-    for (s, ends), (low, high) in zip(narrowed, values.agg(*sketches).collect()[0]):
-        s.low = s.low if ends[0] == 0.0 else low
-        s.high = s.high if ends[1] == 1.0 else high
+        held.setdefault(t, []).append((v, n))
+    for t, s in enumerate(searches):
+        seen = s.below
+        for v, n in sorted(held.get(t, [])):
+            seen += n
+            if s.rank < seen:
+                s.found = v
+                break
+        if s.found is None:
+            raise ValueError("the table changed while it was read")

@@ -29,7 +29,7 @@ def tables():
 def test_exact_quantiles(spark, monkeypatch, name, values, accuracy, fetch):
     """With a coarse sketch and a small fetch the search takes many rounds."""
     monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
-    monkeypatch.setattr(quantiles, "FETCH_VALUES", fetch)
+    monkeypatch.setattr(quantiles, "FETCH_ROWS", fetch)
     df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(5)
     found = quantiles.exact_quantiles(df, ["x"], PROBABILITIES)["x"]
     np.testing.assert_allclose(found, np.quantile(values, PROBABILITIES), rtol=1e-12)
