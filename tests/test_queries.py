@@ -10,19 +10,7 @@ QUERIES = all_queries()
 OWN_FUNCTION = {"udf_1_two_column_function"}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query(spark, con, folder, name):
-    result, rows = compare(spark, con, folder, QUERIES[name].run, QUERIES[name].sql)
-    assert result in ("ok", "rows only")
-    assert rows > 0
-
-
-LIGHT = sorted(n for n in QUERIES if not n.startswith(("mod_", "trn_", "str_", "sco_", "cmp_2", "evl_4")))
-
-
-@pytest.mark.parametrize("name", LIGHT)
-def test_plan(spark, folder, name):
-    df = QUERIES[name].run(spark, folder)
+def check_plan(name, df):
     plan = df._jdf.queryExecution().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
         assert operator not in plan
@@ -30,6 +18,18 @@ def test_plan(spark, folder, name):
         assert "ArrowEvalPython" not in plan and "InPandas" not in plan
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, con, folder, name):
+    def run(spark, folder):
+        df = QUERIES[name].run(spark, folder)
+        check_plan(name, df)
+        return df
+
+    result, rows = compare(spark, con, folder, run, QUERIES[name].sql)
+    assert result in ("ok", "rows only")
+    assert rows > 0
+
+
 def test_names():
     import __spark_entry__ as e
 
