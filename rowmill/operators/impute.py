@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ def fit_fill(
 ) -> dict[str, object]:
     """The fill value of each column; a column without values has None.
 
-    ``digits`` rounds it; ``relative_error`` makes the median approximate.
+    ``digits`` rounds it half up; ``relative_error`` makes the median approximate.
     """
     columns = [columns] if isinstance(columns, str) else list(columns)
     require(df, columns)
@@ -46,10 +47,15 @@ def fit_fill(
     else:
         fills = {c: most_frequent(df, c) for c in columns}
     if digits is not None:
-        fills = {c: None if v is None else round(v, digits) for c, v in fills.items()}
+        fills = {c: None if v is None else _half_up(v, digits) for c, v in fills.items()}
     return fills
 
 
+def _half_up(value: float, digits: int) -> float:
+    """Rounded as Spark's ``round`` does."""
+    return float(Decimal(repr(value)).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
+
+
 def most_frequent(df: DataFrame, column: str) -> object:
     """The mode; missing values are no candidates, ties take the smallest."""
     counts = df.filter(~is_missing(df, column, empty_text=False)).groupBy(col(column).alias("v")).count()
