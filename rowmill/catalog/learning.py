@@ -90,7 +90,7 @@ def _(spark, d):
 )
 def _(spark, d):
     """Rows that each known model would be built for."""
-    built = [models.build_model(m).uid and m for m in models.available_models()]
+    built = {m: models.build_model(m) for m in models.available_models()}
     names = F.explode(F.array(*[F.lit(m) for m in built])).alias("model")
     return churn(spark, d).select(names).groupBy("model").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -132,7 +132,7 @@ def _(spark, d):
 @query("trn_5_grid_search")
 def _(spark, d):
     grid = {"max_depth": [4, 8], "criterion": ["gini", "entropy", "log_loss"]}
-    result = tuning.grid_search(vectors(spark, d, 6), "decision_tree", grid, scoring="f1")
+    result = tuning.grid_search(vectors(spark, d, 6), "decision_tree", grid, scoring="f1", parallelism=8)
     best = [(str(result.best_params), result.best_score, len(result.combinations))]
     return rounded(spark.createDataFrame(best, "best_params string, best_score double, tried int"))
 

@@ -174,6 +174,7 @@ def nearest_points(
     names = points.columns
 
     if cells > 1:
+        points = stage(points, "neighbors-points")
         share = min(1.0, cells * SAMPLES_PER_CELL / n)
         picked = points.filter(unit_hash(F.col("id"), "cells") < F.lit(share)).select("vec")
         sample = picked.limit(2 * MAX_CELLS * SAMPLES_PER_CELL).toPandas()["vec"]

@@ -13,6 +13,7 @@ from rowmill.operators import binning, encode, impute, outliers, project, scale
 from rowmill.operators.profile import preparation_summary
 from rowmill.operators.split import split, split_parts
 from rowmill.plans.settings import Settings
+from rowmill.sources.readers import read_splits
 from rowmill.sources.workdir import stage
 from rowmill.sources.writers import write_splits
 
@@ -135,13 +136,11 @@ def run(
 ) -> tuple[DataFrame, State]:
     """Prepare, write the parts, and return a one-row summary and the state."""
     s = settings or Settings()
-    source = project.drop_missing(df, s.critical_columns)
-    prepared, state = prepare(df, s)
-    paths = write_splits(prepared, path, output_format)
-    written = df.sparkSession.read.format(output_format if output_format != "both" else "parquet")
-    if output_format == "csv":
-        written = written.options(header="true").schema(prepared.schema)
-    table = written.load(paths[-1])
+    source = stage(project.drop_missing(df, s.critical_columns), "source")
+    prepared, state = prepare(source, s, stage_rows=bool(s.predict_labels))
+    write_splits(prepared, path, output_format)
+    held = "csv" if output_format == "csv" else "parquet"
+    table = read_splits(df.sparkSession, path, held, prepared.schema)
     features = [c for c in prepared.columns if c not in (s.key, s.target, "split")]
     summary = preparation_summary(
         table,
