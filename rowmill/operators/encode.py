@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 from rowmill.functions.columns import col, require
 from rowmill.functions.scalar import column_label, map_values
 from rowmill.operators.lookup import BROADCAST_ROWS
+from rowmill.sources.workdir import stage
 
 INLINE_LABELS = 64
+PARTITION_SHIFT = 33  # of monotonically_increasing_id
 MAX_INDICATORS = 2_000
 
 
@@ -66,28 +68,28 @@ def _code_table(df: DataFrame, column: str, codes: Mapping[object, int]) -> Data
     return df.sparkSession.createDataFrame(list(codes.items()), f"value {kind}, code int")
 
 
-def _number_many(labels: DataFrame, buckets: int = 256) -> DataFrame:
+def _number_many(labels: DataFrame) -> DataFrame:
     """Codes for a large vocabulary, without sorting it in one task.
 
-    A few sampled labels serve as bucket borders only; every label falls into
-    exactly one bucket, is numbered there and shifted by the buckets before.
+    Spark sorts by ranges; the generated id holds a row's partition and its
+    place there.  The sorted labels are written once, then each place is shifted
+    by the rows of the partitions before (one row per partition to look up).
     """
-    position = F.struct("rank", "value")
-    borders = (
-        labels.orderBy(F.xxhash64("value")).limit(buckets * 8).select(position.alias("p"))
-        .orderBy("p").collect()
-    )[::8]
-    held = F.array(
-        *[F.struct(F.lit(p["rank"]).alias("rank"), F.lit(p["value"]).alias("value")) for (p,) in borders]
+    numbered = stage(
+        labels.orderBy("rank", "value").select(
+            "value", F.monotonically_increasing_id().alias("id")
+        ),
+        "labels",
     )
-    placed = labels.withColumn("bucket", F.size(F.filter(held, lambda b: b <= position)))
-    counts = placed.groupBy(F.col("bucket").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("b", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("bucket").orderBy("rank", "value")
-    numbered = placed.withColumn("rn", F.row_number().over(inside))
-    return numbered.join(F.broadcast(offsets), F.col("bucket") == F.col("b")).select(
-        "value", (F.col("before") + F.col("rn") - 1).alias("code")
+    part = F.shiftright("id", PARTITION_SHIFT)
+    place = F.col("id").bitwiseAND(F.lit((1 << PARTITION_SHIFT) - 1))
+    counts = numbered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return (
+        numbered.select("value", part.alias("part"), place.alias("place"))
+        .join(F.broadcast(offsets), "part")
+        .select("value", (F.col("before") + F.col("place")).alias("code"))
     )
 
 
