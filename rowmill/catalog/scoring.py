@@ -93,18 +93,14 @@ def _(spark, d):
 def _landed(spark, d):
     """The churn records as files of a landing folder."""
     path = workdir.new_path(spark, "landing")
-    records = churn(spark, d).withColumn(
-        "Balance", F.when(F.col("CustomerId") % 29 != 6, F.col("Balance"))
-    )
+    records = churn(spark, d)
     save(records.repartition(4, "CustomerId"), path)
     return path, records.schema
 
 
 @query(
     "str_1_stream_equals_batch",
-    CHURN
-    + """, ok AS (SELECT * FROM churn WHERE CustomerId % 29 <> 6)
-    SELECT count(*) AS scored, count(*) AS equal_to_batch FROM ok""",
+    CHURN + "SELECT count(*) AS scored, count(*) AS equal_to_batch FROM churn",
 )
 def _(spark, d):
     state, features, model = _trained(spark, d)
@@ -147,7 +143,7 @@ def _scored_batches(spark, d):
     streams.score_batches(
         records,
         lambda df: score_records(df, model, state, SETTINGS, features),
-        ["Balance"],
+        ["Age"],
         output,
         checkpoint,
     ).awaitTermination()
@@ -157,8 +153,8 @@ def _scored_batches(spark, d):
 @query(
     "str_2_stream_rejects",
     CHURN
-    + """SELECT 'scored' AS output, count(*) AS rows FROM churn WHERE CustomerId % 29 <> 6
-    UNION ALL SELECT 'rejected', count(*) FROM churn WHERE CustomerId % 29 = 6""",
+    + """SELECT 'scored' AS output, count(*) AS rows FROM churn WHERE Age IS NOT NULL
+    UNION ALL SELECT 'rejected', count(*) FROM churn WHERE Age IS NULL""",
 )
 def _(spark, d):
     output = _scored_batches(spark, d)
@@ -175,7 +171,7 @@ def _(spark, d):
     "str_3_batch_metrics",
     CHURN
     + """SELECT 2 AS batches, count(*) AS predictions, count(*) AS by_class, count(*) AS by_risk
-    FROM churn WHERE CustomerId % 29 <> 6""",
+    FROM churn WHERE Age IS NOT NULL""",
 )
 def _(spark, d):
     history = streams.metrics_history(spark, _scored_batches(spark, d))

@@ -19,7 +19,8 @@ def session(cores: int = 8) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("rowmill-tests")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")

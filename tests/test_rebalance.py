@@ -25,15 +25,15 @@ def point_table(spark, points, kind="bigint"):
 
 def clouds():
     rng = np.random.default_rng(3)
-    yield "normal", rng.normal(size=(700, 3))
-    grid = np.stack(np.meshgrid(range(20), range(20)), -1).reshape(-1, 2).astype(float)
+    yield "normal", rng.normal(size=(300, 3))
+    grid = np.stack(np.meshgrid(range(15), range(15)), -1).reshape(-1, 2).astype(float)
     yield "grid with ties", grid
-    yield "clusters", np.concatenate([rng.normal(size=(300, 2)) * 0.01, rng.normal(size=(300, 2)) * 50 + 100])
-    yield "line", np.stack([np.arange(500.0), np.zeros(500)], -1)
+    yield "clusters", np.concatenate([rng.normal(size=(120, 2)) * 0.01, rng.normal(size=(120, 2)) * 50 + 100])
+    yield "line", np.stack([np.arange(200.0), np.zeros(200)], -1)
 
 
 @pytest.mark.parametrize("name,cloud", list(clouds()))
-@pytest.mark.parametrize("cell_rows,part_rows,visitors", [(10_000, 2_000, 50_000), (40, 8, 15), (3, 2_000, 50_000)])
+@pytest.mark.parametrize("cell_rows,part_rows,visitors", [(10_000, 2_000, 50_000), (30, 8, 15)])
 def test_nearest_points(spark, monkeypatch, name, cloud, cell_rows, part_rows, visitors):
     monkeypatch.setattr(neighbors, "PART_ROWS", part_rows)
     points = [(i, tuple(map(float, v))) for i, v in enumerate(cloud)]
@@ -42,6 +42,12 @@ def test_nearest_points(spark, monkeypatch, name, cloud, cell_rows, part_rows, v
     assert got == brute(points, 5)
 
 
+def test_cells_smaller_than_k(spark):
+    points = [(i, (float(i * 7 % 53), float(i % 3))) for i in range(60)]
+    near = neighbors.nearest_points(point_table(spark, points), 5, cell_rows=3)
+    assert {r.id: [n.id for n in r.near] for r in near.collect()} == brute(points, 5)
+
+
 def test_few_points_and_text_ids(spark):
     points = [("a", (0.0,)), ("b", (1.0,)), ("c", (5.0,))]
     near = neighbors.nearest_points(point_table(spark, points, "string"), 5)
