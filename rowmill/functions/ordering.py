@@ -25,8 +25,9 @@ MAX_STRATA = 64
 
 
 def key_hash(key: Column, seed: int | str = 42) -> Column:
-    """First 32 bits of md5('seed:key') as a non-negative long."""
-    text = F.concat(F.lit(f"{seed}:"), key.cast("string"))
+    """First 32 bits of md5('seed:key') as a non-negative long; a null key has
+    the hash of the empty text, so that no row is lost."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit("")))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
 
 
@@ -174,24 +175,26 @@ def rank_in_class(
     require(df, [key, label])
     rows = df.count()
     bits = max(4, min(20, (max(rows, 1) // rows_per_bucket).bit_length() + 1))
+    # inside a struct a null class is a class like any other, and the join below
+    # finds the rows where the window has put them
     base = df.withColumns(
-        {"_h": key_hash(col(key), seed), "_b": F.shiftright(key_hash(col(key), seed), HASH_BITS - bits)}
-    )
-    counts = base.groupBy(col(label).alias("_l"), F.col("_b").alias("_cb")).agg(
-        F.count(F.lit(1)).alias("_n")
+        {
+            "_s": F.struct(col(label).alias("v")),
+            "_h": key_hash(col(key), seed),
+            "_b": F.shiftright(key_hash(col(key), seed), HASH_BITS - bits),
+        }
     )
-    before = Window.partitionBy("_l").orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
+    counts = base.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumns(
         {
             "_before": F.coalesce(F.sum("_n").over(before), F.lit(0)),
-            "_size": F.sum("_n").over(Window.partitionBy("_l")),
+            "_size": F.sum("_n").over(Window.partitionBy("_s")),
         }
     ).drop("_n")
-    inside = Window.partitionBy(col(label), "_b").orderBy("_h", col(key))
-    joined = base.withColumn("_rn", F.row_number().over(inside)).join(
-        offsets, col(label).eqNullSafe(F.col("_l")) & (F.col("_b") == F.col("_cb"))
-    )
+    inside = Window.partitionBy("_s", "_b").orderBy("_h", col(key))
+    joined = base.withColumn("_rn", F.row_number().over(inside)).join(offsets, ["_s", "_b"])
     result = joined.withColumn(output, F.col("_before") + F.col("_rn"))
     if size_output:
         result = result.withColumn(size_output, F.col("_size"))
-    return result.drop("_h", "_b", "_l", "_cb", "_before", "_size", "_rn")
+    return result.drop("_s", "_h", "_b", "_before", "_size", "_rn")

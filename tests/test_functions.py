@@ -107,6 +107,13 @@ def test_split_does_not_depend_on_partitions(spark):
     assert {r.y: r["count"] for r in one.groupBy("y").count().collect()} == {0: 320, 1: 80}
 
 
+def test_a_null_key_loses_no_row(spark):
+    df = spark.createDataFrame([(None, 1), (1, 1), (2, 1), (3, 1)], "k bigint, y int")
+    assert split.random_split(df, "k").count() == 4
+    assert split.stratified_folds(df, "k", "y", 2).filter("fold is not null").count() == 4
+    assert ordering.rank_in_class(df, "k", "y", "r").count() == 4
+
+
 def test_folds_are_even_and_cover_all(spark):
     df = spark.range(1003).withColumn("y", F.lit(1))
     sizes = [r["count"] for r in split.stratified_folds(df, "id", "y", 6).groupBy("fold").count().collect()]
