@@ -84,10 +84,18 @@ def _(spark, d):
     return rounded(spark.read.parquet(path))
 
 
-@query("sco_3_sampled_scores")
+@query(
+    "sco_3_sampled_scores",
+    CHURN
+    + """SELECT CustomerId, true AS scored FROM churn
+    ORDER BY ('0x' || substr(md5('42:' || CustomerId), 1, 8))::BIGINT, CustomerId LIMIT 100""",
+)
 def _(spark, d):
     state, features, model = _trained(spark, d)
-    return score_table(churn(spark, d), model, state, SETTINGS, features, sample_size=100, return_proba=False)
+    scored = score_table(
+        churn(spark, d), model, state, SETTINGS, features, sample_size=100, return_proba=False
+    )
+    return scored.select("CustomerId", F.col("status").isin("Churn", "Retain").alias("scored"))
 
 
 def _landed(spark, d):
