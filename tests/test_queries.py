@@ -34,7 +34,8 @@ def test_names():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
-    assert not any(n.startswith(("op", "llm")) or "pipeline" in n for n in e.queries())
+    assert set(QUERIES) <= set(e.queries())
+    assert not any(n.startswith(("op", "llm")) or "pipeline" in n for n in QUERIES)
 
 
 def test_entry(spark):
