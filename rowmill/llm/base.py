@@ -24,12 +24,11 @@ def words_of(text: Column, between: str = SPACE) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def small_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-               limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Join with a staged table: broadcast if its measured size is under the
-    limit, else shuffled.  Both ways give the same rows."""
+def small_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join with a staged table: broadcast if its measured size is within
+    BROADCAST_BYTES, else shuffled.  Both ways give the same rows."""
     size = small.agg(F.sum(F.length(F.to_json(F.struct("*"))) + 32)).first()[0] or 0
-    return big.join(F.broadcast(small) if size <= limit else small, on, how)
+    return big.join(F.broadcast(small) if size <= BROADCAST_BYTES else small, on, how)
 
 
 def crc_share(doc_id: Column, parts: int) -> Column:

@@ -21,15 +21,20 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, parts: int, r
                    most: int, name: str) -> DataFrame:
     """text, label and share (0 to 1, an even hash) of at most `most` labelled
     rows outside the held-out part, in the order of a hash of doc_id.  The rows
-    with one doc_id have their largest label."""
+    with one doc_id have their largest label; equal texts are one example with
+    the label of most of them, else a copied text would count as evidence again
+    and again."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(parts, remainder))
     sample = (
         known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
-    share = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1000)) / 1000
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    return stage(texts.select("text", "label", share.alias("share")), name)
+    one = texts.groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("key")).agg(
+        F.first("text").alias("text"), (F.avg("label") >= 0.5).cast("int").alias("label")
+    )
+    share = F.pmod(F.xxhash64(F.col("key"), F.lit(7)), F.lit(1000)) / 1000
+    return stage(one.select("text", "label", share.alias("share")), name)
 
 
 def scored(docs: DataFrame, score, parts: int, remainder: int) -> DataFrame:

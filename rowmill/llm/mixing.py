@@ -15,8 +15,9 @@ draw rounds.
 The reduction tree.  Documents are dealt by hash into small groups of one source
 and one size class.  Each group pairs its documents off in an array expression
 and hands on at most one fractional document; 64 groups form one of the next
-level, then the size classes of a source meet, largest first, so that the last
-one is small.  A source with a third of all rows is many groups on every level.
+level.  When a source has at most 64 groups of each size class left, all their
+documents meet and are settled largest first, against all that are smaller, so
+what is left of the mass is less than the smallest documents hold.  A source with a third of all rows is many groups on every level.
 Levels are written to the shared folder.
 
 Draws are hashes of the paired rows, so a rerun, or a task that runs again,
@@ -39,6 +40,7 @@ from rowmill.llm.base import WORD, small_join, stage
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 FAN_IN_BITS = 6
+DIRECT = 1 << 11
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -116,14 +118,39 @@ _HAND_ON = """concat(
     'extra', CASE WHEN state.p <= 0 THEN 0 WHEN state.p >= 1 THEN 1 END, 'fraction', state.p)))"""
 
 
-def _level(rows: DataFrame, keys: list[str], level: int) -> DataFrame:
-    """Pair off the documents of each group; extra is null for what goes on."""
+# The last group of a source, largest document first.  Each is settled by its own
+# draw, and the words that this moves come from, or go to, all that follow, each
+# giving or taking in proportion to what it can; up and down moves balance, so
+# every document's expected copies stay.  If those that follow are too small,
+# they move as far as they can.
+_SETTLE = """aggregate(
+  sequence(0, size(items) - 1),
+  transform(items, x -> x.fraction),
+  (ps, i) -> CASE WHEN ps[i] <= 0 OR ps[i] >= 1 THEN ps ELSE transform(
+    array(named_struct(
+      'p', ps[i],
+      'up', pmod(xxhash64(items[i].seed, {level}), 9007199254740992) / 9007199254740992D < ps[i],
+      'room', aggregate(sequence(0, size(items) - 1), 0D, (t, j) -> t + CASE WHEN j > i
+        THEN least(ps[j] / (1 - ps[i]), (1 - ps[j]) / ps[i]) * items[j].size ELSE 0D END))),
+    m -> transform(ps, (p, j) -> CASE
+      WHEN j = i THEN CASE WHEN m.up THEN 1D ELSE 0D END
+      WHEN j < i OR m.room <= 0 THEN p
+      ELSE greatest(0D, least(1D, p + (m.p - CASE WHEN m.up THEN 1D ELSE 0D END)
+        * least(p / (1 - m.p), (1 - p) / m.p) * least(1D, items[i].size / m.room))) END))[0] END)"""
+
+
+def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The documents of each group in an array, largest first."""
     item = F.struct(
         (-F.col("size")).alias("order"), "seed", "doc_id", "source", "size", "source_size", "target",
         "copies", "fraction",
     )
-    groups = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    paired = groups.select(F.expr(_PAIR_OFF.format(level=level)).alias("state"))
+    return rows.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
+
+
+def _level(rows: DataFrame, keys: list[str], level: int) -> DataFrame:
+    """Pair off the documents of each group; extra is null for what goes on."""
+    paired = _groups(rows, keys).select(F.expr(_PAIR_OFF.format(level=level)).alias("state"))
     return paired.select(F.inline(F.expr(_HAND_ON))).selectExpr(*_ITEM.split(", "), "extra", "fraction")
 
 
@@ -144,22 +171,24 @@ def copies(docs: DataFrame) -> DataFrame:
     open_ = (F.col("fraction") > 0) & (F.col("size") > 0)
     fixed = due.where(~open_).withColumn("extra", F.lit(0))
     todo = due.where(open_)
-    bits = max(0, (todo.count() >> FAN_IN_BITS).bit_length())
+    n = todo.count()
+    bits = max(0, (n >> FAN_IN_BITS).bit_length())
     done, level = [fixed], 0
-    size_class = F.length(F.bin("size"))
-    while True:
+    # a few documents need no tree
+    while n > DIRECT:
         bucket = F.col("seed").bitwiseAND(F.lit((1 << bits) - 1))
-        keys = ["source", "size_class", "bucket"] if level == 0 or bits else ["source", "size_class"]
-        keyed = todo.withColumn("size_class", size_class).withColumn("bucket", bucket)
-        out = stage(_level(keyed, keys, level), f"pairs-{level}")
+        keyed = todo.withColumn("size_class", F.length(F.bin("size"))).withColumn("bucket", bucket)
+        out = stage(_level(keyed, ["source", "size_class", "bucket"], level), f"pairs-{level}")
         done.append(out.where("extra IS NOT NULL"))
         todo, level = out.where("extra IS NULL"), level + 1
-        if not bits:
+        if bits <= FAN_IN_BITS:
             break
-        bits = max(0, bits - FAN_IN_BITS)
-    out = stage(_level(todo, ["source"], level), f"pairs-{level}")
-    draw = F.expr(f"pmod(xxhash64(seed, {level + 1}), 9007199254740992) / 9007199254740992D")
-    done.append(out.withColumn("extra", F.coalesce("extra", (draw < F.col("fraction")).cast("int"))))
+        bits -= FAN_IN_BITS
+    last = _groups(todo, ["source"]).select("items", F.expr(_SETTLE.format(level=level)).alias("ps"))
+    settled = F.transform(
+        "items", lambda x, k: F.struct(x.alias("item"), F.get("ps", k).cast("int").alias("extra"))
+    )
+    done.append(last.select(F.inline(settled)).selectExpr(*_ITEM.split(", "), "extra"))
     columns = ["doc_id", "source", "size", "source_size", "target", "seed"]
     parts = [p.select(*columns, (F.col("copies") + F.col("extra")).alias("copies")) for p in done]
     whole = parts[0]

@@ -4,7 +4,7 @@ Bayes log-count ratios.
 An n-gram's feature is whether a text holds it (white space as one space, letters
 in lower case), hashed into BUCKETS.  Over the labelled rows the log ratio of its
 smoothed shares in toxic and other texts is counted by Spark; the features whose
-ratio stands out most are kept, and a logistic regression is fitted on the
+ratio is surely not zero are kept, FEATURES of them at most, and a logistic regression is fitted on the
 features times their ratios.  A text's score adds up a table of weights.
 
 Learning takes at most SAMPLE labelled rows outside the held-out part (in the
@@ -32,10 +32,11 @@ PARTS, REMAINDER = 4, 2
 SAMPLE = 20_000
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 20
-FEATURES = 1 << 14
+FEATURES = 1 << 13
 MIN_TEXTS = 4
+MIN_EVIDENCE = 12.0  # likelihood ratio statistic of the two-by-two table
 SMOOTHING = 1.0
-PENALTY, STEPS = 1e-3, 300
+PENALTY, STEPS = 3e-4, 300
 CHUNK = 1 << 20
 
 
@@ -85,6 +86,20 @@ def _counts(sample: DataFrame) -> DataFrame:
     return partial.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
 
 
+def _evidence(n_toxic: int, n_other: int):
+    """Likelihood ratio statistic of a bucket's two-by-two table."""
+    a, b = F.col("toxic").cast("double"), F.col("other").cast("double")
+    cells = [
+        (a, n_toxic, a + b), (b, n_other, a + b),
+        (n_toxic - a, n_toxic, n_toxic + n_other - a - b), (n_other - b, n_other, n_toxic + n_other - a - b),
+    ]
+    parts = [
+        F.when(seen > 0, 2 * seen * F.log(seen * (n_toxic + n_other) / (row * column))).otherwise(0.0)
+        for seen, row, column in cells
+    ]
+    return parts[0] + parts[1] + parts[2] + parts[3]
+
+
 def _fit(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, float]:
     """Logistic regression on sparse rows of feature numbers, each worth its ratio."""
     n = len(y)
@@ -117,8 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     ratio = F.log((F.col("toxic") + SMOOTHING) / (n_toxic + 2 * SMOOTHING)) - F.log(
         (F.col("other") + SMOOTHING) / (n_other + 2 * SMOOTHING)
     )
-    error = F.sqrt(1 / (F.col("toxic") + SMOOTHING) + 1 / (F.col("other") + SMOOTHING))
-    best = counted.select("bucket", ratio.alias("ratio"), (F.abs(ratio) / error).alias("weight"))
+    best = counted.select("bucket", ratio.alias("ratio"), _evidence(n_toxic, n_other).alias("weight"))
+    best = best.where(F.col("weight") >= MIN_EVIDENCE)
     best = stage(best.orderBy(F.desc("weight"), "bucket").limit(FEATURES), "toxicity-features").toArrow()
     order = np.argsort(best["bucket"].to_numpy())
     buckets, ratios = best["bucket"].to_numpy()[order], best["ratio"].to_numpy()[order]
