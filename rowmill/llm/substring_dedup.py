@@ -23,8 +23,8 @@ words they cover are removed.
 Volume: about 0.055 blocks a word, and windows only at factor boundaries.
 Groupings are sums and minima, so a passage in a third of all documents is
 pre-aggregated; joins have one row per key on one side, written before, so that
-Spark can split a hot key.  Texts are read by scans, and shuffled only when the
-spans to be looked up are too many to broadcast.
+Spark can split a hot key.  Texts are shuffled twice, by doc_id, to meet the
+blocks to be looked up and the spans to be cut.
 
 Edge cases: a null or blank text has no words; a document shorter than a window
 keeps all words; an empty table gives an empty result; a row whose doc_id is
@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.base import small_join, stage
+from rowmill.llm.base import stage
 
 WINDOW, RUN = 50, 16
 BASE = 0x9E3779B97F4A7C15
@@ -161,7 +161,7 @@ def _boundary_windows(docs: DataFrame, spans: DataFrame, window: int) -> DataFra
                 )
 
     grouped = stage(_by_doc(spans, "anchor", "first", "last"), "boundary-blocks")
-    chosen = small_join(docs.select("doc_id", "text"), grouped, ["doc_id"])
+    chosen = docs.select("doc_id", "text").join(grouped, "doc_id")
     return chosen.select("doc_id", "text", "spans").mapInArrow(
         find, f"anchor long, content long, doc_id {id_type}, first int"
     )
@@ -233,7 +233,7 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, run: int = RUN) -> DataFr
                 ["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    joined = small_join(docs.select("doc_id", "text"), spans, ["doc_id"], "left")
+    joined = docs.select("doc_id", "text").join(spans, "doc_id", "left")
     return joined.select("doc_id", "text", "spans").mapInArrow(
         cut, f"doc_id {id_type}, n_words long, n_removed long, kept string"
     )
