@@ -25,7 +25,9 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
 import uuid
 import zlib
 
@@ -39,9 +41,12 @@ from pyspark.sql import Window as W
 from rowmill.llm.base import stage
 from rowmill.sources.workdir import new_path
 
-END_ID = 1
-CACHED_WORDS = 500_000
+END_ID, END = 1, b" "
+CACHED_WORDS = 800_000
 CHUNK = 2_000
+TEXT_BYTES = 4 << 20
+# between an ASCII letter and the ASCII punctuation that ends its word
+TAIL = re.compile(rb"(?<=[a-z])(?=[!-/:-@\[-`{-~]+(?:\s|\Z))")
 
 
 class WordEncoder:
@@ -49,9 +54,11 @@ class WordEncoder:
 
     Words are the stretches between ASCII white space.  For this tokenizer a
     text's ids are its words' ids in order: it normalizes white space, lower-cases
-    single characters and never joins across white space.  Two spellings are
-    brought together before a look-up, because they give the same ids: an ASCII
-    word and its lower case, and trailing commas and full stops cut from a letter.
+    single characters and never joins across white space.  Spellings are brought
+    together before a look-up where that gives the same ids: ASCII letters become
+    lower case, and ASCII punctuation after the last ASCII letter of a word is a
+    word of its own.  A text with combining marks, which composition may join to
+    an ASCII letter first, or with a special token's start is only cut.
     """
 
     def __init__(self, path: str):
@@ -67,9 +74,9 @@ class WordEncoder:
         self._clear()
 
     def _clear(self):
-        self.numbers: dict[bytes, int] = {}
-        self.flat, self.sizes = [np.empty(0, self.width)], [np.empty(0, np.int64)]
-        self._tables = None
+        # a space is no word; it stands for the end of a text
+        self.numbers = {END: 0}
+        self.flat, self.sizes = [np.array([END_ID], self.width)], [np.array([1])]
 
     def _encode(self, texts: list[str]):
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -78,9 +85,8 @@ class WordEncoder:
     def _learn(self, new: list[bytes]) -> None:
         """Number new words; their ids follow in the same order."""
         plain, other = [], []
-        for w in new:
-            text = w.decode()
-            (plain if text.isalpha() and text.lower().isalpha() else other).append(text)
+        for w in map(bytes.decode, new):
+            (plain if w.isalpha() and (w.isascii() or w.lower().isalpha()) else other).append(w)
         # plain words are one piece each, and a piece ends with an end-of-word id
         for at in range(0, len(plain), CHUNK):
             some = plain[at : at + CHUNK]
@@ -97,44 +103,55 @@ class WordEncoder:
 
     def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         base = len(self.numbers)
-        self.numbers.update((w.encode(), base + k) for k, w in enumerate(words))
+        self.numbers.update(zip(map(str.encode, words), range(base, base + len(words)), strict=True))
         self.flat.append(ids)
         self.sizes.append(sizes)
-        self._tables = None
 
-    def encode(self, text: bytes) -> np.ndarray:
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some texts in a row, each with the end id, and their numbers."""
         if len(self.numbers) > CACHED_WORDS:
             self._clear()
-        words = _pieces(text)
-        new = [w for w in dict.fromkeys(words) if w not in self.numbers]
+        words, ends = [], []
+        for text in texts:
+            words += _pieces(text)
+            words.append(END)
+            ends.append(len(words))
+        new = set(words).difference(self.numbers)
         if new:
-            self._learn(new)
-        if not words:
-            return np.empty(0, self.width)
-        if self._tables is None:
-            self.flat, self.sizes = [np.concatenate(self.flat)], [np.concatenate(self.sizes)]
-            starts = np.zeros(len(self.sizes[0]), np.int64)
-            np.cumsum(self.sizes[0][:-1], out=starts[1:])
-            self._tables = self.flat[0], self.sizes[0], starts
-        flat, sizes, starts = self._tables
+            self._learn(sorted(new))
+        self.flat, self.sizes = [np.concatenate(self.flat)], [np.concatenate(self.sizes)]
+        flat, sizes = self.flat[0], self.sizes[0]
+        starts = np.cumsum(sizes) - sizes
         numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
         n = sizes[numbers]
-        ends = np.cumsum(n)
-        return flat[np.repeat(starts[numbers] - ends + n, n) + np.arange(ends[-1])]
+        upto = np.cumsum(n)
+        ids = flat[np.repeat(starts[numbers] - upto + n, n) + np.arange(upto[-1])]
+        return ids, np.diff(upto[np.array(ends) - 1], prepend=0)
 
 
 def _pieces(text: bytes) -> list[bytes]:
-    out = []
-    for w in text.split():
-        if w.isascii() and b"<|" not in w:
-            w = w.lower()
-            if w[-1:] in b".,":
-                body = w.rstrip(b".,")
-                if body[-1:].isalpha():
-                    out += (body, w[len(body) :])
-                    continue
-        out.append(w)
-    return out
+    if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
+        return text.split()
+    return TAIL.sub(b" ", text.lower()).split()
+
+
+@functools.lru_cache(1)
+def _encoder(path: str) -> WordEncoder:
+    """One per Python worker, which serves many tasks."""
+    return WordEncoder(path)
+
+
+def _some_texts(column):
+    """The texts of a column in lists of about TEXT_BYTES."""
+    held, size = [], 0
+    for text in column:
+        held.append(text.as_py() or b"")
+        size += len(held[-1])
+        if size >= TEXT_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def _place(folder: str):
@@ -158,7 +175,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str) -> DataFrame:
     def run(batches):
         from pyspark import TaskContext
 
-        part, encoder = TaskContext.get().partitionId(), WordEncoder(tokenizer_path)
+        part, encoder = TaskContext.get().partitionId(), _encoder(tokenizer_path)
         fs, root = _place(folder)
         fs.create_dir(root, recursive=True)
         path, sizes, ids, nulls = f"{root}/{part:06d}", [], [], 0
@@ -167,22 +184,20 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str) -> DataFrame:
             for b in batches:
                 nulls += b.column(0).null_count
                 ids.append(b.column(0).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False))
-                end = np.array([END_ID], encoder.width)
-                for text in b.column(1).cast(pa.binary()):
-                    tokens = np.concatenate([encoder.encode(text.as_py() or b""), end])
-                    sizes.append(len(tokens))
+                for texts in _some_texts(b.column(1).cast(pa.binary())):
+                    tokens, n = encoder.encode(texts)
+                    sizes.append(n)
                     out.write(tokens.astype(tokens.dtype.newbyteorder("<")).tobytes())
         if not sizes:
             fs.delete_file(own)
             return
         fs.move(own, f"{path}.ids")
-        offsets = np.zeros(len(sizes) + 1, "<u8")
-        np.cumsum(sizes, out=offsets[1:])
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype("<u8")
         _put(fs, f"{path}.off", [offsets.tobytes()])
         _put(fs, f"{path}.doc", [np.concatenate(ids).astype("<i8").tobytes()])
         yield pa.RecordBatch.from_pydict(
             {
-                "part": pa.array([part], pa.int32()), "n_docs": pa.array([len(sizes)], pa.int64()),
+                "part": pa.array([part], pa.int32()), "n_docs": pa.array([len(offsets) - 1], pa.int64()),
                 "n_null": pa.array([nulls], pa.int64()), "n_ids": pa.array([int(offsets[-1])], pa.int64()),
                 "width": pa.array([np.dtype(encoder.width).itemsize], pa.int32()),
             }
