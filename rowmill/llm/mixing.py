@@ -203,11 +203,9 @@ def mixed(docs: DataFrame) -> DataFrame:
         copies(docs).groupBy("doc_id", "seed").agg(F.sum("copies").cast("int").alias("copies"))
         .where("copies > 0"), "taken",
     )
-    keyed = docs.withColumn("_seed", F.xxhash64("doc_id", "source", "text"))
-    # rows that repeat have one entry in taken, so they are one row here
-    one = keyed.dropDuplicates(["doc_id", "_seed"])
-    joined = one.join(
-        taken.withColumnRenamed("doc_id", "_id").withColumnRenamed("seed", "_key"),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_seed") == F.col("_key")),
-    )
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    # rows as one value, so that no column clashes; rows that repeat have one
+    # entry in taken and are one row here
+    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "source", "text").alias("key"))
+    one = keyed.withColumn("id", F.col("row.doc_id")).dropDuplicates(["id", "key"])
+    joined = one.join(taken, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("seed")))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
