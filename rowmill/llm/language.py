@@ -38,6 +38,7 @@ REJECT_BELOW = 0.2
 COVER = 0.9
 CELLS, PROBES = 1 << 16, 3
 GRAM_BITS = 18
+HELD_GRAMS = 1 << 20
 LETTERS = re.compile(r"[^\W\d_]+")
 # odd numbers of one multiplicative hash per probe
 FACTORS = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
@@ -80,16 +81,24 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         sums: dict[str, np.ndarray] = {}
         for b in batches:
             by: dict[str, list[np.ndarray]] = {}
+            held = 0
             for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 by.setdefault(lang, []).append(grams(text.as_py()))
-            for lang, found in by.items():
-                n = np.bincount(np.concatenate(found), minlength=1 << GRAM_BITS)
-                sums[lang] = sums[lang] + n if lang in sums else n
+                held += len(by[lang][-1])
+                if held > HELD_GRAMS:
+                    add(sums, by)
+                    by, held = {}, 0
+            add(sums, by)
             if len(sums) > 64:  # many languages: hand on and start again
                 yield from out(sums)
                 sums = {}
         yield from out(sums)
 
+    def add(sums, by):
+        for lang, found in by.items():
+            n = np.bincount(np.concatenate(found), minlength=1 << GRAM_BITS)
+            sums[lang] = sums[lang] + n if lang in sums else n
+
     def out(sums):
         for lang, n in sums.items():
             met = np.flatnonzero(n)
