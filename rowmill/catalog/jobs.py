@@ -112,13 +112,13 @@ def _(spark, d):
 @query(
     "cmp_3_settings",
     KEPT
-    + f""", c AS (SELECT Firstname, Gender, count(*) AS n FROM kept WHERE Gender IS NOT NULL GROUP BY ALL),
+    + f""", parts AS (SELECT *, {SPLIT_SQL.format(key='CustomerId', share=0.2)} AS split FROM kept),
+    c AS (SELECT Firstname, Gender, count(*) AS n FROM parts WHERE Gender IS NOT NULL AND split = 'train' GROUP BY ALL),
     best AS (SELECT Firstname AS fn, Gender AS g FROM c
       QUALIFY row_number() OVER (PARTITION BY Firstname ORDER BY n DESC, Gender) = 1),
     mode AS (SELECT Gender AS m FROM c GROUP BY Gender ORDER BY sum(n) DESC, Gender LIMIT 1),
-    dealt AS (SELECT kept.* REPLACE (coalesce(Gender, g, m) AS Gender),
-        {SPLIT_SQL.format(key='CustomerId', share=0.2)} AS split
-      FROM kept LEFT JOIN best ON Firstname = fn, mode),
+    dealt AS (SELECT parts.* REPLACE (coalesce(Gender, g, m) AS Gender)
+      FROM parts LEFT JOIN best ON Firstname = fn, mode),
     t AS (SELECT quantile_cont(Age, 0.5) AS med FROM dealt WHERE split = 'train'),
     full_ AS (SELECT * REPLACE (coalesce(Age, med) AS Age) FROM dealt, t),
     b AS (SELECT avg(CreditScore) AS cm, 3 * stddev_samp(CreditScore) AS cs, avg(Age) AS am,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rowmill.catalog.base import CHURN, KEPT, churn, kept, query, rounded, table
 from rowmill.operators import impute, models, score, tuning
-from rowmill.plans.preparation import prepare, prepare_records
+from rowmill.plans.preparation import prepare, prepare_records, split_records
 from rowmill.plans.scoring import score_records, score_table
 from rowmill.plans.settings import Settings
 from rowmill.plans.training import features_of, training_table
@@ -175,6 +175,43 @@ def _(spark, d):
     return parts[0].unionByName(parts[1])
 
 
+@query(
+    "str_2_complete",
+    CHURN
+    + """SELECT count(*) FILTER (Age IS NOT NULL AND CreditScore BETWEEN 300 AND 850) AS scored,
+      count(*) FILTER (Age IS NULL) AS missing,
+      count(*) FILTER (Age IS NOT NULL AND NOT CreditScore BETWEEN 300 AND 850) AS not_prepared,
+      count(*) AS total FROM churn""",
+)
+def _(spark, d):
+    """Under the default settings every record is scored or rejected."""
+    settings = Settings()
+    prepared, state = prepare(churn(spark, d), settings)
+    features = features_of(prepared, settings.key, settings.target)
+    data = training_table(prepared, settings.key, settings.target, features)
+    model, _ = tuning.fit(data, models.build_model("decision_tree", max_depth=5))
+    folder, schema = _landed(spark, d)
+    output, checkpoint = workdir.new_path(spark, "complete"), workdir.new_path(spark, "complete-checkpoint")
+    streams.score_batches(
+        streams.read_stream(spark, folder, schema, files_per_batch=2),
+        lambda df: score_records(df, model, state, settings, features),
+        ["Age"],
+        output,
+        checkpoint,
+        lambda df: split_records(df, state, settings, features, ["Age"]),
+    ).awaitTermination()
+    scored = spark.read.parquet(f"{output}/scored").select(F.lit("scored").alias("kind"))
+    reason = F.split(F.col("reject_reason"), ":")[0]
+    rejected = spark.read.parquet(f"{output}/rejected").select(reason.alias("kind"))
+    kind = F.col("kind")
+    return scored.unionByName(rejected).agg(
+        F.count_if(kind == "scored").alias("scored"),
+        F.count_if(kind.isin("missing", "empty record")).alias("missing"),
+        F.count_if(kind == "not prepared").alias("not_prepared"),
+        F.count(F.lit(1)).alias("total"),
+    )
+
+
 @query(
     "str_3_batch_metrics",
     CHURN

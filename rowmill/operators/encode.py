@@ -65,7 +65,7 @@ def fit_label_index(
 
 def _code_table(df: DataFrame, column: str, codes: Mapping[object, int]) -> DataFrame:
     kind = df.schema[column].dataType.simpleString()
-    return df.sparkSession.createDataFrame(list(codes.items()), f"value {kind}, code int")
+    return df.sparkSession.createDataFrame(list(codes.items()), f"value {kind}, code bigint")
 
 
 def _number_many(labels: DataFrame) -> DataFrame:
@@ -96,18 +96,19 @@ def _number_many(labels: DataFrame) -> DataFrame:
 def apply_label_index(
     df: DataFrame, index: LabelIndex, output: str | None = None, unseen: int | None = None
 ) -> DataFrame:
-    """Replace labels by codes (or add ``output``); unseen and null give
-    ``unseen``, by default null."""
+    """Replace labels by codes (or add ``output``), long integers whatever the
+    size of the vocabulary; unseen and null give ``unseen``, by default null."""
     require(df, [index.column])
     name = output or index.column
     if index.codes is not None and len(index.codes) <= INLINE_LABELS:
-        code = map_values(col(index.column), index.codes).cast("int")
-        return df.withColumn(name, F.coalesce(code, F.lit(unseen)))
+        code = map_values(col(index.column), index.codes).cast("bigint")
+        return df.withColumn(name, F.coalesce(code, F.lit(unseen)).cast("bigint"))
     table = index.table.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
     if index.codes is not None:
         table = F.broadcast(table)
     joined = df.join(table, col(index.column) == F.col("_value"), "left")
-    return joined.withColumn(name, F.coalesce("_code", F.lit(unseen))).drop("_value", "_code")
+    code = F.coalesce("_code", F.lit(unseen)).cast("bigint")
+    return joined.withColumn(name, code).drop("_value", "_code")
 
 
 def invert_label_index(df: DataFrame, index: LabelIndex, coded: str, output: str) -> DataFrame:

@@ -7,26 +7,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.functions.columns import col, require, unpivot_row
+from rowmill.functions.columns import col, require
 
 
 def confusion_matrix(
     df: DataFrame, label: str, prediction: str, classes: Sequence[int] = (0, 1)
 ) -> DataFrame:
-    """(label, prediction, count) for every pair of classes, absent cells 0."""
+    """(label, prediction, count) for every pair of the given classes and those
+    that occur, a missing value among them; absent cells are 0, and the counts
+    add up to the rows."""
     require(df, [label, prediction])
-    pairs = [(a, p) for a in classes for p in classes]
-    counted = df.agg(
-        *[
-            F.count_if((col(label) == a) & (col(prediction) == p)).alias(f"n{i}")
-            for i, (a, p) in enumerate(pairs)
-        ]
-    )
-    rows = [
-        {"label": F.lit(a), "prediction": F.lit(p), "count": F.col(f"n{i}")}
-        for i, (a, p) in enumerate(pairs)
-    ]
-    return unpivot_row(counted, rows)
+    counted = df.groupBy(col(label).cast("int"), col(prediction).cast("int")).count().collect()
+    cells = {(r[0], r[1]): r[2] for r in counted}
+    names = sorted({*classes} | {c for cell in cells for c in cell if c is not None})
+    if any(None in cell for cell in cells):
+        names.append(None)
+    rows = [(a, p, cells.get((a, p), 0)) for a in names for p in names]
+    return df.sparkSession.createDataFrame(rows, "label int, prediction int, count bigint")
 
 
 def metrics_of(cells: Mapping[tuple[int, int], int]) -> dict[str, float]:

@@ -83,7 +83,11 @@ def fill(df: DataFrame, columns: str | Sequence[str], method: str = "mean", **op
 
 
 def fill_all_constant(df: DataFrame, value: object) -> DataFrame:
-    """Fill every column whose type fits the value."""
+    """Fill every column whose type fits the value; an integer column becomes
+    double before a fraction goes in."""
+    if isinstance(value, float) and not value.is_integer():
+        whole = [f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)]
+        df = df.withColumns({c: col(c).cast("double") for c in whole})
     return df.fillna(value)
 
 

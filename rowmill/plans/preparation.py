@@ -6,15 +6,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from rowmill.functions.columns import col
+from rowmill.functions.columns import col, is_missing
 from rowmill.operators import binning, encode, impute, outliers, project, scale
+from rowmill.operators.lookup import Lookup
 from rowmill.operators.profile import preparation_summary
+from rowmill.operators.score import reject_reason
 from rowmill.operators.split import split, split_parts
 from rowmill.plans.settings import Settings
 from rowmill.sources.readers import read_splits
-from rowmill.sources.workdir import stage
+from rowmill.sources.workdir import new_path, stage
 from rowmill.sources.writers import write_splits
 
 State = dict[str, dict]
@@ -80,10 +85,34 @@ def feature_steps(df: DataFrame, state: State) -> DataFrame:
     return scale.apply_scaling(out, {c: tuple(v) for c, v in state["scale"].items()})
 
 
-def predict_steps(df: DataFrame, s: Settings) -> DataFrame:
-    """Fill categories that are predicted from other columns."""
+def fit_predictors(df: DataFrame, s: Settings) -> dict[str, dict]:
+    """What fills predicted categories: per column its keys, the fallback, and
+    the lookup table, as rows or, beyond the bound of a lookup, as a path."""
+    fitted = {}
     for column, keys in s.predict_labels.items():
-        predictor = impute.fit_category_predictor(df, keys, column, s.label_domain)
+        found = impute.fit_category_predictor(df, keys, column, s.label_domain)
+        fitted[column] = {"keys": list(found.keys), "fallback": found.fallback}
+        if found.lookup.rows is None:
+            path = new_path(df.sparkSession, "predictor")
+            stage(found.lookup.table, "predictor", path)
+            fitted[column]["path"] = path
+        else:
+            table = found.lookup.table
+            fitted[column]["schema"] = table.schema.simpleString()
+            fitted[column]["rows"] = [list(r) for r in table.collect()]
+    return fitted
+
+
+def predict_steps(df: DataFrame, predictors: dict[str, dict]) -> DataFrame:
+    """Fill categories that are predicted from other columns."""
+    spark = df.sparkSession
+    for column, p in predictors.items():
+        if "path" in p:
+            lookup = Lookup(spark.read.parquet(p["path"]), None)
+        else:
+            rows = [tuple(r) for r in p["rows"]]
+            lookup = Lookup(spark.createDataFrame(rows, p["schema"]), len(rows))
+        predictor = impute.CategoryPredictor(tuple(p["keys"]), column, p["fallback"], lookup)
         df = impute.apply_category_predictor(df, predictor)
     return df
 
@@ -108,19 +137,21 @@ def prepare(
     time, which is right when the source is such a table already.
     """
     s = settings or Settings()
-    rows = predict_steps(project.drop_missing(df, s.critical_columns), s)
-    if stage_rows:
-        rows = stage(rows, "imputed")
     early = s.fit_on == "train"
+    rows = project.drop_missing(df, s.critical_columns)
 
     def dealt(table: DataFrame) -> DataFrame:
         return split(table, s.key, s.target, s.split_method, s.test_size, s.seed)
 
     if early:
         rows = dealt(rows)
-        state = fit_steps(split_parts(rows)[0], s)
-    else:
-        state = fit_steps(rows, s)
+    # a predicted category is learnt as all else is: from the training part
+    predictors = fit_predictors(split_parts(rows)[0] if early else rows, s)
+    rows = predict_steps(rows, predictors)
+    if stage_rows:
+        rows = stage(rows, "imputed")
+    state = fit_steps(split_parts(rows)[0] if early else rows, s)
+    state["predict"] = predictors
     kept = outlier_steps(fill_steps(rows, state, s), state, s)
     if not early:
         kept = dealt(kept)
@@ -157,7 +188,31 @@ def run(
 
 
 def prepare_records(df: DataFrame, state: State, settings: Settings, features: list[str]) -> DataFrame:
-    """Records prepared as in training: key and aligned features, no row lost."""
-    s = settings
-    out = feature_steps(fill_steps(df, state, s), state)
-    return project.align(out, [s.key, *features])
+    """Records prepared as in training: key and aligned features, no row lost.
+
+    Outlying values are capped if training capped them; where it removed rows,
+    records keep theirs, since each is due a score.
+    """
+    return project.align(_record_steps(df, state, settings), [settings.key, *features])
+
+
+def _record_steps(df: DataFrame, state: State, s: Settings) -> DataFrame:
+    out = fill_steps(predict_steps(df, state.get("predict", {})), state, s)
+    if s.outlier_method == "cap":
+        out = outlier_steps(out, state, s)
+    return feature_steps(out, state)
+
+
+def split_records(
+    df: DataFrame, state: State, settings: Settings, features: list[str], required: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """Records that can be scored, and all others with their reason: a required
+    value is missing, or a feature is missing after the preparation."""
+    held = df.withColumn("_record", F.struct(*[col(c) for c in df.columns]))
+    held = held.withColumn("_reason", reject_reason(df, required) if required else F.lit(None).cast("string"))
+    prepared = project.align(_record_steps(held, state, settings), ["_record", "_reason", *features])
+    absent = F.array_compact(F.array(*[F.when(is_missing(prepared, c), F.lit(c)) for c in features]))
+    unprepared = F.when(F.size(absent) > 0, F.concat(F.lit("not prepared: "), F.array_join(absent, ",")))
+    marked = prepared.select("_record.*", F.coalesce("_reason", unprepared).alias("reject_reason"))
+    good = marked.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    return good, marked.filter(F.col("reject_reason").isNotNull())

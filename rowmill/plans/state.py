@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,14 +45,20 @@ def label_table(index: LabelIndex) -> DataFrame:
     return index.table.select(F.lit(index.column).alias("column"), "value", "code")
 
 
+def _label_path(path: str, column: str) -> str:
+    """Each column has a folder of its own, so several share one path."""
+    return f"{path.rstrip('/')}/{quote(column, safe='')}"
+
+
 def save_label_index(index: LabelIndex, path: str) -> None:
-    label_table(index).write.mode("overwrite").parquet(path)
+    label_table(index).write.mode("overwrite").parquet(_label_path(path, index.column))
 
 
 def load_label_index(spark: SparkSession, path: str, column: str, inline: int = 10_000) -> LabelIndex:
-    from pyspark.sql import functions as F
-
-    table = spark.read.parquet(path).filter(F.col("column") == column).select("value", "code")
+    """An absent map, or one without rows, is an error: it would code all as null."""
+    table = spark.read.parquet(_label_path(path, column)).select("value", "code")
     head = table.limit(inline + 1).collect()
+    if not head:
+        raise ValueError(f"no labels of {column} in {path}")
     codes = {r["value"]: r["code"] for r in head} if len(head) <= inline else None
     return LabelIndex(column, codes, table)

@@ -55,12 +55,15 @@ def train(
         try:
             rows = table.count()
             fitted, train_accuracy = fit(table, build_model(model, rows, **params))
+            best_score = None
         finally:
             table.unpersist()
     else:
         table = training_table(df, key, target, features, folds)
         result = grid_search(table, model, grid, "fold", scoring, **params)
-        fitted, rows, train_accuracy = result.best_model, table.count(), result.best_score
+        fitted, best_score = result.best_model, result.best_score
+        right = F.avg((F.col("prediction") == F.col("label")).cast("double"))
+        train_accuracy, rows = fitted.transform(table).agg(right, F.count(F.lit(1))).first()
     if model_path:
         save_model(fitted, model_path)
     test = df.filter(F.col("split") == "test")
@@ -69,10 +72,10 @@ def train(
     metrics = classification_metrics(scored, target, "prediction")
     cells = confusion_matrix(scored, target, "prediction").agg(F.sum("count").alias("test_rows"))
     first, second = metrics.collect()[0], cells.collect()[0]
-    row = (model, rows, second["test_rows"], len(features), spent, train_accuracy, *first)
+    row = (model, rows, second["test_rows"], len(features), spent, train_accuracy, best_score, *first)
     schema = (
         "model string, train_rows bigint, test_rows bigint, num_features int, seconds double, "
-        "train_accuracy double, accuracy double, precision double, recall double, f1 double"
+        "train_accuracy double, best_score double, accuracy double, precision double, recall double, f1 double"
     )
     return df.sparkSession.createDataFrame([row], schema), fitted
 

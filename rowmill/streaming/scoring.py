@@ -57,9 +57,15 @@ def score_batches(
     required: Sequence[str],
     output: str,
     checkpoint: str,
+    splitter: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
 ) -> StreamingQuery:
     """Per micro-batch: scored rows, rejected records and a metrics row, in
-    ``scored``, ``rejected`` and ``metrics`` below the output path."""
+    ``scored``, ``rejected`` and ``metrics`` below the output path.
+
+    ``splitter`` parts a batch into records to score and rejects with a reason;
+    by default it looks at the required columns.  One that also looks at the
+    prepared features (``plans.preparation.split_records``) loses no record.
+    """
     root = output.rstrip("/")
 
     def write(table: DataFrame, name: str, batch: int) -> None:
@@ -68,7 +74,7 @@ def score_batches(
     def one_batch(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
-            good, bad = split_rejects(batch, required)
+            good, bad = splitter(batch) if splitter else split_rejects(batch, required)
             write(scorer(good), "scored", number)
             write(bad, "rejected", number)
             scored = batch.sparkSession.read.parquet(f"{root}/scored/batch_id={number}")
