@@ -151,7 +151,8 @@ def prepare(
     if stage_rows:
         rows = stage(rows, "imputed")
     state = fit_steps(split_parts(rows)[0] if early else rows, s)
-    state["predict"] = predictors
+    if predictors:
+        state["predict"] = predictors
     kept = outlier_steps(fill_steps(rows, state, s), state, s)
     if not early:
         kept = dealt(kept)

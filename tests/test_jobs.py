@@ -261,3 +261,64 @@ def test_a_fit_is_few_jobs(spark, folder):
     jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("fit")
     spark.sparkContext.setJobGroup("", "")
     assert 0 < len(jobs) <= 2  # adaptive execution runs the map side as a job of its own
+
+
+def test_records_are_prepared_as_in_training(spark, folder, tmp_path):
+    """With capping and predicted labels, from a stored state."""
+    from rowmill.catalog.base import churn, kept
+    from rowmill.plans.preparation import prepare, prepare_records
+    from rowmill.plans.settings import Settings
+    from rowmill.plans.training import features_of
+
+    s = Settings(outlier_method="cap", predict_labels={"Gender": ("Firstname",)})
+    prepared, fitted = prepare(churn(spark, folder), s)
+    features = features_of(prepared, s.key, s.target)
+    state.save_state(spark, fitted, str(tmp_path / "state"))
+    loaded = state.load_state(spark, str(tmp_path / "state"))
+    records = prepare_records(kept(spark, folder), loaded, s, features)
+    expected = prepared.select(s.key, *features)
+    assert records.exceptAll(expected.select(records.columns)).count() == 0
+    assert records.count() == expected.count()
+
+
+def test_rejects_and_good_records_are_all_records(spark, folder):
+    from rowmill.catalog.base import churn
+    from rowmill.plans.preparation import prepare, split_records
+    from rowmill.plans.settings import Settings
+    from rowmill.plans.training import features_of
+
+    s, rows = Settings(), churn(spark, folder)
+    prepared, fitted = prepare(rows, s)
+    good, bad = split_records(rows, fitted, s, features_of(prepared, s.key, s.target), ["Age"])
+    assert good.columns == rows.columns
+    assert good.count() + bad.count() == rows.count()
+    assert {r.reject_reason for r in bad.collect()} == {"empty record", "not prepared: CreditScoreBins"}
+
+
+def test_label_maps_share_a_path(spark, folder, tmp_path):
+    import pytest
+
+    from rowmill.operators.encode import fit_label_index
+
+    part, path = spark.read.parquet(f"{folder}/part.parquet"), str(tmp_path / "maps")
+    for column in ("p_brand", "p_type"):
+        state.save_label_index(fit_label_index(part, column), path)
+    for column in ("p_brand", "p_type"):
+        assert state.load_label_index(spark, path, column).codes == fit_label_index(part, column).codes
+    with pytest.raises(Exception):
+        state.load_label_index(spark, path, "p_size")
+
+
+def test_confusion_matrix_counts_every_row(spark):
+    from rowmill.operators.evaluate import confusion_matrix
+
+    rows = spark.createDataFrame([(0, 0), (1, 2), (2, 2), (1, None), (0, 1)], "y int, p int")
+    cells = {(r.label, r.prediction): r["count"] for r in confusion_matrix(rows, "y", "p").collect()}
+    assert sum(cells.values()) == 5 and cells[1, 2] == cells[1, None] == 1 and cells[1, 1] == 0
+
+
+def test_constant_keeps_its_fraction(spark):
+    from rowmill.operators.impute import fill_all_constant
+
+    rows = spark.createDataFrame([(1, None), (None, 2.0)], "a int, b double")
+    assert [tuple(r) for r in fill_all_constant(rows, 2.7).collect()] == [(1.0, 2.7), (2.7, 2.0)]
