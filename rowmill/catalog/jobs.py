@@ -95,7 +95,7 @@ def _(spark, d):
     path = workdir.new_path(spark, "cmp2")
     preparation.run(churn(spark, d), path, ALL)
     summary, _ = training.run(
-        spark, path, model="random_forest", n_estimators=20, max_depth=5,
+        spark, path, model="random_forest",
         model_path=workdir.new_path(spark, "cmp2-model"),
     )
     return rounded(summary.drop("seconds"))

@@ -67,19 +67,18 @@ def _(spark, d):
 @query("mod_4_boosted_trees")
 def _(spark, d):
     return _fitted(
-        spark, d, "boosted_trees", n_estimators=15, max_depth=5, learning_rate=0.1, subsample=0.8,
-        colsample_bytree=0.8,
+        spark, d, "boosted_trees", learning_rate=0.1, subsample=0.8, colsample_bytree=0.8,
     )
 
 
 @query("mod_5_linear_svm")
 def _(spark, d):
-    return _fitted(spark, d, "svm", max_iter=50)
+    return _fitted(spark, d, "svm")
 
 
 @query("mod_5_gradient_boosting")
 def _(spark, d):
-    return _fitted(spark, d, "gradient_boosting", n_estimators=10)
+    return _fitted(spark, d, "gradient_boosting")
 
 
 @query(
@@ -97,19 +96,19 @@ def _(spark, d):
 
 @query("trn_1_fit_accuracy")
 def _(spark, d):
-    return _fitted(spark, d, "decision_tree", max_depth=5).select("model", "rows", "train_accuracy")
+    return _fitted(spark, d, "decision_tree").select("model", "rows", "train_accuracy")
 
 
 @query("trn_2_cross_validation")
 def _(spark, d):
-    result = tuning.cross_validate(vectors(spark, d, 6), "logistic_regression", params={"max_iter": 100})
+    result = tuning.cross_validate(vectors(spark, d, 6), "logistic_regression")
     return rounded(result.score_table(spark))
 
 
 @query("trn_3_best_fold")
 def _(spark, d):
     result = tuning.cross_validate(
-        vectors(spark, d, 6), "decision_tree", params={"max_depth": 5}, keep_fold_models=True
+        vectors(spark, d, 6), "decision_tree", keep_fold_models=True
     )
     fold, model = tuning.best_fold_model(result)
     scores = [(f, s["f1"], f == fold, model.depth) for f, s in enumerate(result.scores[0])]
@@ -119,20 +118,14 @@ def _(spark, d):
 @query("trn_4_compare_models")
 def _(spark, d):
     data = vectors(spark, d, 6)
-    chosen = {
-        "logistic_regression": {"max_iter": 100},
-        "decision_tree": {"max_depth": 5},
-        "random_forest": {"n_estimators": 10, "max_depth": 5},
-    }
-    results = tuning.compare_models(data, chosen)
+    results = tuning.compare_models(data, ["logistic_regression", "decision_tree", "random_forest"])
     tables = [r.score_table(spark) for r in results]
     return rounded(tables[0].unionByName(tables[1]).unionByName(tables[2]))
 
 
 @query("trn_5_grid_search")
 def _(spark, d):
-    grid = {"max_depth": [4, 8], "criterion": ["gini", "entropy", "log_loss"]}
-    result = tuning.grid_search(vectors(spark, d, 6), "decision_tree", grid, scoring="f1", parallelism=8)
+    result = tuning.grid_search(vectors(spark, d, 6), "decision_tree", scoring="f1", parallelism=8)
     best = [(str(result.best_params), result.best_score, len(result.combinations))]
     return rounded(spark.createDataFrame(best, "best_params string, best_score double, tried int"))
 
@@ -248,7 +241,7 @@ def _(spark, d):
     rows = stratified_split(filled(spark, d), "CustomerId", "Exited").select(
         "CustomerId", *[col(f) for f in FEATURES], "Exited", "split"
     )
-    summary, _ = train(rows, "decision_tree", max_depth=5)
+    summary, _ = train(rows, "decision_tree")
     path = workdir.new_path(spark, "evl4")
     summary.write.json(path)
     return spark.read.schema(summary.schema).json(path).drop("seconds")
@@ -275,5 +268,5 @@ def _(spark, d):
 @query("sco_1_model_scores")
 def _(spark, d):
     rows = filled(spark, d)
-    model, _ = tuning.fit(vectors(spark, d), models.build_model("random_forest", n_estimators=20, max_depth=5))
+    model, _ = tuning.fit(vectors(spark, d), models.build_model("random_forest"))
     return rounded(score(rows, model, FEATURES, ["CustomerId", "Exited"]))
