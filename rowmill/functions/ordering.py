@@ -20,7 +20,8 @@ from rowmill.functions.columns import col, require
 HASH_BITS = 32
 FIRST_BITS = 8
 PREFIX_BITS = 12
-FETCH_ROWS = 20_000
+FETCH_ROWS = 20_000  # over all open searches of a call
+MAX_PREFIXES = 2**18  # counted in one round, over all open searches
 MAX_STRATA = 64
 
 
@@ -38,13 +39,17 @@ def unit_hash(key: Column, seed: int | str = 42) -> Column:
 
 @dataclass(frozen=True)
 class Cut:
-    """A position in hash order: all rows up to and including (hash, key)."""
+    """A position in hash order: all rows up to and including (hash, key); a
+    null key stands before all others of its hash."""
 
     hash: int
     key: object
 
     def reaches(self, h: Column, key: Column) -> Column:
-        return (h < F.lit(self.hash)) | ((h == F.lit(self.hash)) & (key <= F.lit(self.key)))
+        upto = key.isNull()
+        if self.key is not None:
+            upto = upto | F.coalesce(key <= F.lit(self.key), F.lit(False))
+        return (h < F.lit(self.hash)) | ((h == F.lit(self.hash)) & upto)
 
 
 @dataclass(frozen=True)
@@ -68,9 +73,10 @@ def hash_cuts(
     """The (hash, key) pairs that stand at given 1-based ranks, per stratum.
 
     ``ranks(n)`` gives the wanted ranks for a stratum of n rows.  Each round
-    counts rows by a longer hash prefix inside the few prefixes still open, so
-    what reaches the driver is bounded by the number of prefixes, not of rows.
-    The key must identify a row; rows that share a key fall on the same side.
+    counts rows by a longer hash prefix inside the few prefixes still open; all
+    searches share ``MAX_PREFIXES`` counts a round and ``FETCH_ROWS`` rows at
+    the end, whatever the number of rows.
+    Rows that share a key, null included, fall on the same side.
     """
     require(df, [key] + ([strata] if strata else []))
     s = col(strata) if strata else F.lit(0)
@@ -78,45 +84,41 @@ def hash_cuts(
 
     shift = HASH_BITS - FIRST_BITS
     most = MAX_STRATA * 2**FIRST_BITS
-    counts = _count_prefixes(keyed, shift, most + 1)
+    counts = _count_prefixes(keyed, shift, shift, most + 1)
     totals: dict = {}
-    for (value, _), n in counts.items():
-        totals[value] = totals.get(value, 0) + n
-    if len(counts) > most or len(totals) > MAX_STRATA:
+    for (value, _), inside in counts.items():
+        totals[value] = totals.get(value, 0) + sum(inside.values())
+    if len(totals) > MAX_STRATA:
         raise TooManyStrata(f"more than {MAX_STRATA} strata in {strata}")
     wanted = {v: ranks(n) for v, n in totals.items()}
-    # open searches: (stratum, rank) -> (prefix, rows of the stratum before the prefix)
-    open_at = {}
-    for value, positions in wanted.items():
-        for rank in positions:
-            if 0 < rank <= totals[value]:
-                open_at[value, rank] = _locate(counts, value, rank, 0)
-
-    def largest() -> int:
-        return max((counts[v, p] for (v, _), (p, _) in open_at.items()), default=0)
-
-    while shift > 0 and largest() > FETCH_ROWS:
-        step = min(PREFIX_BITS, shift)
+    # open searches: (stratum, rank) -> (prefix, rows of the stratum before it, rows in it)
+    open_at = {
+        (v, rank): (0, 0, totals[v]) for v, found in wanted.items() for rank in found if 0 < rank <= totals[v]
+    }
+    roots: dict = {}
+    for (v, _), inside in counts.items():
+        roots.setdefault((v, 0), {}).update(inside)
+    open_at = _narrow(open_at, roots)
+
+    while shift > 0 and _open_rows(open_at) > FETCH_ROWS:
+        searches = len({(v, p) for (v, _), (p, *_) in open_at.items()})
+        step = max(1, min(PREFIX_BITS, shift, (MAX_PREFIXES // searches).bit_length() - 1))
         inside = _inside(open_at, shift)
+        open_at = _narrow(open_at, _count_prefixes(keyed.filter(inside), shift - step, shift))
         shift -= step
-        counts = _count_prefixes(keyed.filter(inside), shift)
-        open_at = {
-            (v, rank): _locate(counts, v, rank, before, within=(p, step))
-            for (v, rank), (p, before) in open_at.items()
-        }
 
     cuts: dict = {}
     if open_at:
         rows = keyed.filter(_inside(open_at, shift)).groupBy("s", "h", "k").count().collect()
-        ordered = sorted(rows, key=lambda r: (r["h"], r["k"]))
-        for (v, rank), (p, before) in open_at.items():
-            seen = before
-            for r in ordered:
-                if r["s"] == v and r["h"] >> shift == p:
-                    seen += r["count"]
-                    if seen >= rank:
-                        cuts[v, rank] = Cut(r["h"], r["k"])
-                        break
+        held: dict = {}
+        for r in sorted(rows, key=lambda r: (r["h"], r["k"] is not None, r["k"])):
+            held.setdefault((r["s"], r["h"] >> shift), []).append(r)
+        for (v, rank), (p, seen, _) in open_at.items():
+            for r in held[v, p]:
+                seen += r["count"]
+                if seen >= rank:
+                    cuts[v, rank] = Cut(r["h"], r["k"])
+                    break
 
     def at(value, rank):
         return cuts[value, min(rank, totals[value])] if rank > 0 else None
@@ -124,31 +126,44 @@ def hash_cuts(
     return [Stratum(v, totals[v], tuple(at(v, r) for r in wanted[v])) for v in totals]
 
 
-def _count_prefixes(keyed: DataFrame, shift: int, most: int | None = None) -> dict:
+def _count_prefixes(
+    keyed: DataFrame, shift: int, parent: int, most: int | None = None
+) -> dict[tuple, dict[int, int]]:
+    """(stratum, prefix at the parent's length) -> longer prefix -> rows."""
     counted = keyed.groupBy("s", F.shiftright("h", shift).alias("p")).count()
     rows = (counted.limit(most) if most else counted).collect()
-    return {(r["s"], r["p"]): r["count"] for r in rows}
-
-
-def _locate(counts, value, rank, before, within=None):
-    """Prefix that holds the rank, and the rows of the stratum before it."""
-    prefixes = sorted(
-        p
-        for v, p in counts
-        if v == value and (within is None or p >> within[1] == within[0])
-    )
-    seen = before
-    for p in prefixes:
-        if seen + counts[value, p] >= rank:
-            return p, seen
-        seen += counts[value, p]
-    raise ValueError("the table changed while it was read")
-
-
-def _inside(open_at, shift) -> Column:
+    if most and len(rows) == most:
+        raise TooManyStrata(f"more than {MAX_STRATA} strata")
+    found: dict = {}
+    for r in rows:
+        found.setdefault((r["s"], r["p"] >> (parent - shift)), {})[r["p"]] = r["count"]
+    return found
+
+
+def _narrow(open_at: dict, counts: dict[tuple, dict[int, int]]) -> dict:
+    """Every open search moved to the longer prefix that holds its rank."""
+    ordered = {at: sorted(inside.items()) for at, inside in counts.items()}
+    found = {}
+    for (v, rank), (p, seen, _) in open_at.items():
+        for longer, n in ordered[v, p]:
+            if seen + n >= rank:
+                found[v, rank] = (longer, seen, n)
+                break
+            seen += n
+        else:
+            raise ValueError("the table changed while it was read")
+    return found
+
+
+def _open_rows(open_at: dict) -> int:
+    """Rows inside the open prefixes, each counted once."""
+    return sum({(v, p): n for (v, _), (p, _, n) in open_at.items()}.values())
+
+
+def _inside(open_at: dict, shift: int) -> Column:
     """Rows in an open prefix of their stratum; the hash is taken once per row."""
     by_value: dict = {}
-    for (value, _), (prefix, _) in open_at.items():
+    for (value, _), (prefix, *_) in open_at.items():
         by_value.setdefault(value, set()).add(prefix)
     wanted = F.lit(None).cast("array<bigint>")
     for value, prefixes in by_value.items():
@@ -165,8 +180,10 @@ def rank_in_class(
     size_output: str | None = None,
     seed: int = 42,
     rows_per_bucket: int = 1_000_000,
+    same_key_same_rank: bool = False,
 ) -> DataFrame:
-    """1-based rank of each row inside its class, in hash order.
+    """1-based rank of each row inside its class, in hash order; rows that share
+    a key are numbered on, or all have the rank of their first.
 
     A window over the class alone would put a class into one task.  The class
     is cut into buckets of hash prefixes; a bucket's offset is a running sum of
@@ -193,7 +210,8 @@ def rank_in_class(
         }
     ).drop("_n")
     inside = Window.partitionBy("_s", "_b").orderBy("_h", col(key))
-    joined = base.withColumn("_rn", F.row_number().over(inside)).join(offsets, ["_s", "_b"])
+    number = F.rank() if same_key_same_rank else F.row_number()
+    joined = base.withColumn("_rn", number.over(inside)).join(offsets, ["_s", "_b"])
     result = joined.withColumn(output, F.col("_before") + F.col("_rn"))
     if size_output:
         result = result.withColumn(size_output, F.col("_size"))

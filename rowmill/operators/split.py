@@ -62,12 +62,13 @@ def stratified_split(
     seed: int = 42,
     output: str = "split",
 ) -> DataFrame:
-    """floor(test_size * n) rows of every label go to the test part."""
+    """floor(test_size * n) rows of every label go to the test part; rows that
+    share a key stay together, so repeated keys may bring a few rows more."""
     require(df, [key, label])
     try:
         strata = fit_stratified_split(df, key, label, test_size, seed)
     except TooManyStrata:
-        ranked = rank_in_class(df, key, label, "_rank", "_rows", seed)
+        ranked = rank_in_class(df, key, label, "_rank", "_rows", seed, same_key_same_rank=True)
         test = F.col("_rank") <= F.floor(F.lit(test_size) * F.col("_rows"))
         return ranked.withColumn(
             output, F.when(test, F.lit("test")).otherwise(F.lit("train"))
@@ -100,7 +101,8 @@ def stratified_folds(
     df: DataFrame, key: str, label: str, k: int = 6, seed: int = 42, output: str = "fold"
 ) -> DataFrame:
     """Adds a fold 0..k-1: each label is dealt evenly, the first folds taking
-    one row more where the count does not divide."""
+    one row more where the count does not divide; rows that share a key stay
+    together."""
     require(df, [key, label])
 
     def ends(n: int) -> list[int]:
@@ -110,14 +112,15 @@ def stratified_folds(
     try:
         strata = hash_cuts(df, key, ends, label, seed)
     except TooManyStrata:
-        ranked = rank_in_class(df, key, label, "_rank", "_rows", seed)
+        ranked = rank_in_class(df, key, label, "_rank", "_rows", seed, same_key_same_rank=True)
         n, rank0 = F.col("_rows"), F.col("_rank") - 1
         small, extra = F.floor(n / k), n % k
         wide = extra * (small + 1)
         fold = F.when(rank0 < wide, F.floor(rank0 / (small + 1))).otherwise(
             extra + F.floor((rank0 - wide) / F.greatest(small, F.lit(1)))
         )
-        return ranked.withColumn(output, fold.cast("int")).drop("_rank", "_rows")
+        never_null = F.coalesce(fold.cast("int"), F.lit(0))  # as on the other path
+        return ranked.withColumn(output, never_null).drop("_rank", "_rows")
     hashed = df.withColumn("_h", key_hash(col(key), seed))
     return hashed.withColumn(output, _fold(strata, key, label)).drop("_h")
 
@@ -147,7 +150,8 @@ def sample_fraction(
 
 
 def sample_rows(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Exactly n rows (all, if fewer): the first in hash order, by a filter."""
+    """Exactly n rows (all, if fewer): the first in hash order, by a filter.
+    The key must identify a row: rows that share one are taken together."""
     require(df, [key])
     found = hash_cuts(df, key, lambda rows: [min(n, rows)], seed=seed)
     if n <= 0 or not found:

@@ -87,6 +87,44 @@ def test_too_many_strata_use_ranks(spark):
     assert len(folds) == 1500 and {r["count"] for r in folds} == {3, 4}
 
 
+def test_repeated_and_null_keys_split_alike_on_both_paths(spark, monkeypatch):
+    rows = [(None if i % 3 == 0 else i % 70, i, i % 4 if i % 9 else None) for i in range(1200)]
+    df = spark.createDataFrame(rows, "k bigint, i bigint, s int").repartition(5)
+
+    def result():
+        parts = split.stratified_split(df, "k", "s", 0.35)
+        folds = split.stratified_folds(parts, "k", "s", 5)
+        return folds.schema, {(r.i, r.split, r.fold) for r in folds.collect()}
+
+    by_cuts = result()
+    assert len(by_cuts[1]) == 1200
+    sides = {(k, s): side for (k, i, s), (_, side, _) in zip(rows, sorted(by_cuts[1]))}
+    assert all(sides[rows[i][0], rows[i][2]] == side for i, side, _ in by_cuts[1])
+    monkeypatch.setattr(ordering, "MAX_STRATA", 2)
+    assert result() == by_cuts
+
+
+def test_cuts_bring_a_bounded_number_of_rows_to_the_driver(spark, monkeypatch):
+    """60 strata with 5 ends of folds each share one budget."""
+    monkeypatch.setattr(ordering, "FETCH_ROWS", 2_000)
+    monkeypatch.setattr(ordering, "MAX_PREFIXES", 4_096)
+    df = spark.range(120_000).withColumn("s", F.col("id") % 60)
+    kind, fetched = type(df), []
+    collect = kind.collect
+
+    def counted(self):
+        rows = collect(self)
+        fetched.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(kind, "collect", counted)
+    folds = split.stratified_folds(df, "id", "s", 6)
+    assert len(fetched) > 2 and fetched[-1] <= 2_000
+    assert max(fetched) <= 60 * 2**ordering.FIRST_BITS
+    sizes = folds.groupBy("s", "fold").count().collect()
+    assert len(sizes) == 360 and {r["count"] for r in sizes} == {333, 334}
+
+
 @pytest.mark.parametrize("rows_per_bucket", [1_000_000, 50])
 def test_rank_in_class(spark, rows_per_bucket):
     rows = [(k, "hot" if k % 10 else None) for k in range(3000)]
