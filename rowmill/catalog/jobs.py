@@ -90,6 +90,24 @@ def _(spark, d):
     return rounded(prepared, 9)
 
 
+@query(
+    "cmp_1_rebalanced",
+    ON_TRAIN
+    + """, c AS (SELECT split, Exited, count(*) AS rows FROM fine GROUP BY split, Exited),
+    m AS (SELECT max(rows) AS top FROM c WHERE split = 'train')
+    SELECT split, Exited, false AS synthetic, rows, rows AS ids FROM c
+    UNION ALL SELECT split, Exited, true, top - rows, top - rows FROM c, m WHERE split = 'train' AND rows < top""",
+)
+def _(spark, d):
+    """Equal classes in the training part, an untouched test part, and an id
+    (key and copy) for every row."""
+    settings = Settings(bin_otherwise="Poor", rebalance="smote")
+    prepared, _ = preparation.prepare(churn(spark, d), settings)
+    return prepared.groupBy("split", "Exited", (F.col("copy") > 0).alias("synthetic")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("CustomerId", "copy").alias("ids")
+    )
+
+
 @query("cmp_2_train")
 def _(spark, d):
     path = workdir.new_path(spark, "cmp2")
@@ -101,11 +119,40 @@ def _(spark, d):
     return rounded(summary.drop("seconds"))
 
 
+@query(
+    "cmp_2_reuse",
+    PREPARED
+    + f""", dealt AS (SELECT fine.*, {SPLIT} FROM fine)
+    SELECT count(*) FILTER (split = 'train' AND CreditScore BETWEEN 300 AND 850) AS train_rows,
+      count(*) FILTER (split = 'test' AND CreditScore BETWEEN 300 AND 850) AS test_rows, 16 AS num_features,
+      true AS reused, true AS rebuilt FROM dealt""",
+)
+def _(spark, d):
+    """Training that prepares absent parts first; parts of equal settings are
+    taken as they are, parts of others are made again."""
+    path, source = workdir.new_path(spark, "cmp2"), churn(spark, d)
+    summary, _ = training.run(
+        spark, path, source=source, settings=ALL, model="decision_tree", max_depth=5
+    )
+
+    def files():
+        return sorted(spark.read.parquet(f"{path}/parquet").inputFiles())
+
+    first = files()
+    preparation.run(source, path, ALL, force_rebuild=False)
+    reused = files() == first
+    preparation.run(source, path, ALL.with_options(scaling="standard"), force_rebuild=False)
+    return summary.select(
+        "train_rows", "test_rows", "num_features",
+        F.lit(reused).alias("reused"), F.lit(files() != first).alias("rebuilt"),
+    )
+
+
 @query("cmp_2_tune")
 def _(spark, d):
+    """The default grid of the decision tree."""
     prepared, _ = preparation.prepare(churn(spark, d), ALL)
-    grid = {"max_depth": [3, 6], "criterion": ["gini", "entropy"]}
-    summary, _ = training.train(prepared, "decision_tree", grid=grid, folds=5)
+    summary, _ = training.train(prepared, "decision_tree", grid=models.GRIDS["decision_tree"], folds=5)
     return rounded(summary.drop("seconds"))
 
 

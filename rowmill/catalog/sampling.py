@@ -124,27 +124,37 @@ def _(spark, d):
 
 FEATURES = ["Age", "Tenure", "Balance", "NumOfProducts", "EstimatedSalary"]
 
+# oversampling is for the training part of a stratified split
+TRAIN_PART = KEPT + f""", dealt AS (SELECT *, row_number() OVER (PARTITION BY Exited
+    ORDER BY {HASH.format(key='CustomerId')}, CustomerId) > floor(0.2 * count(*) OVER (PARTITION BY Exited)) AS train
+  FROM kept), c AS (SELECT Exited, count(*) AS n FROM dealt WHERE train GROUP BY Exited)
+"""
+
+
+def _train_part(spark, d):
+    parts = split.stratified_split(filled(spark, d), "CustomerId", "Exited", 0.2)
+    return split.split_parts(parts)[0]
+
 
 @query(
     "rsm_1_smote_counts",
-    KEPT
-    + """, c AS (SELECT Exited, count(*) AS n FROM kept GROUP BY Exited), m AS (SELECT max(n) AS top FROM c)
+    TRAIN_PART
+    + """, m AS (SELECT max(n) AS top FROM c)
     SELECT Exited, false AS synthetic, n AS rows FROM c
     UNION ALL SELECT Exited, true, top - n FROM c, m WHERE n < top""",
 )
 def _(spark, d):
-    balanced = rebalance.smote(filled(spark, d), "CustomerId", "Exited", FEATURES)
+    balanced = rebalance.smote(_train_part(spark, d), "CustomerId", "Exited", FEATURES)
     return balanced.groupBy("Exited", "synthetic").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query(
     "rsm_1_smote_between_parents",
-    KEPT
-    + """, c AS (SELECT Exited, count(*) AS n FROM kept GROUP BY Exited)
-    SELECT max(n) - min(n) AS rows, max(n) - min(n) AS between_parents, max(n) - min(n) AS parents_found FROM c""",
+    TRAIN_PART
+    + """SELECT max(n) - min(n) AS rows, max(n) - min(n) AS between_parents, max(n) - min(n) AS parents_found FROM c""",
 )
 def _(spark, d):
-    rows = filled(spark, d)
+    rows = _train_part(spark, d)
     sizes = rebalance.class_sizes(rows, "Exited")
     need = max(sizes.values()) - min(sizes.values())
     minority = min(sizes, key=sizes.get)
@@ -166,4 +176,4 @@ def _(spark, d):
 
 @query("rsm_1_smote_rows")
 def _(spark, d):
-    return rounded(rebalance.smote(filled(spark, d), "CustomerId", "Exited", FEATURES))
+    return rounded(rebalance.smote(_train_part(spark, d), "CustomerId", "Exited", FEATURES))

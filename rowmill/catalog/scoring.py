@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from rowmill.catalog.base import CHURN, KEPT, churn, kept, query, rounded, table
 from rowmill.operators import impute, models, score, tuning
 from rowmill.plans.preparation import prepare, prepare_records, split_records
-from rowmill.plans.scoring import score_records, score_table
+from rowmill.plans import training
+from rowmill.plans.scoring import load_scorer, score_records, score_table
 from rowmill.plans.settings import Settings
+from rowmill.plans.state import load_state
 from rowmill.plans.training import features_of, training_table
 from rowmill.sources import workdir
 from rowmill.sources.writers import save
@@ -74,6 +76,26 @@ def _(spark, d):
     return rounded(prepare_records(churn(spark, d), state, SETTINGS, features), 9)
 
 
+@query("sco_1_loaded_scorer", CHURN + "SELECT count(*) AS scored, count(*) AS equal FROM churn")
+def _(spark, d):
+    """Records scored by a trained model, and by the same one read from its folder."""
+    path, records = workdir.new_path(spark, "sco1"), churn(spark, d)
+    _, model = training.run(
+        spark, f"{path}/parts", source=records, settings=SETTINGS, scorer_path=f"{path}/scorer"
+    )
+    loaded = load_scorer(spark, f"{path}/scorer")
+    state = load_state(spark, f"{path}/parts/state")
+    before = score_records(records, model, state, SETTINGS, loaded.features)
+    after = loaded.score(records)
+    said = ["prediction", "probability", "status", "confidence"]
+    both = before.select("CustomerId", F.struct(*said).alias("before")).join(
+        after.select("CustomerId", F.struct(*said).alias("after")), "CustomerId"
+    )
+    return both.agg(
+        F.count(F.lit(1)).alias("scored"), F.count_if(F.col("before") == F.col("after")).alias("equal")
+    )
+
+
 @query("sco_3_batch_scores")
 def _(spark, d):
     state, features, model = _trained(spark, d)

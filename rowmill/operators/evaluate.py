@@ -33,7 +33,9 @@ def metrics_of(cells: Mapping[tuple[int, int], int]) -> dict[str, float]:
     def ratio(a: float, b: float) -> float:
         return a / b if b else 0.0
 
-    tp, fp, fn = cells.get((1, 1), 0), cells.get((0, 1), 0), cells.get((1, 0), 0)
+    tp = cells.get((1, 1), 0)
+    fp = sum(n for (a, p), n in cells.items() if p == 1 and a not in (1, None))
+    fn = sum(n for (a, p), n in cells.items() if a == 1 and p not in (1, None))
     right = sum(n for (a, p), n in cells.items() if a == p)
     return {
         "accuracy": ratio(right, sum(cells.values())),

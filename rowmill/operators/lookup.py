@@ -8,12 +8,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rowmill.functions.columns import col
+from rowmill.sources.workdir import stage
+
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 * 2**20
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """A lookup table; ``rows`` is its size, or None beyond the bound."""
+    """A lookup table; ``rows`` is its size, or None beyond the bounds."""
 
     table: DataFrame
     rows: int | None
@@ -22,17 +26,20 @@ class Lookup:
         return F.broadcast(self.table) if self.rows is not None else self.table
 
 
-def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> Lookup:
-    """Fix a lookup table that holds at most ``max_rows`` rows.
+def bounded(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> Lookup:
+    """Write a lookup table once and measure it.
 
-    A small one is read once and held as literal rows, so neither its query nor
-    its shuffle runs again.  A large one stays a query, and joins with it are
-    left to Spark's own strategy and skew handling.
+    Neither its query nor its shuffle runs again, and no row of it reaches the
+    driver.  It is broadcast when both its rows and their bytes as text are
+    within the bounds; else joins are left to Spark's own strategy and skew
+    handling.
     """
-    head = df.limit(max_rows + 1).collect()
-    if len(head) > max_rows:
-        return Lookup(df, None)
-    return Lookup(df.sparkSession.createDataFrame(head, df.schema), len(head))
+    held = stage(df, "lookup")
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[col(c) for c in held.columns]))))
+    rows, taken = held.agg(F.count(F.lit(1)), size).collect()[0]
+    return Lookup(held, rows if rows <= max_rows and (taken or 0) <= max_bytes else None)
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -30,7 +30,8 @@ def synthetic_rows(
     seed: int = 42,
     cell_rows: int = 4_000,
 ) -> DataFrame:
-    """``need`` new rows: base, neighbor and new vectors, and the label.
+    """``need`` new rows: base, neighbor and new vectors, the label, the key of
+    the base and the running number of the new row under that key, from 1.
 
     Equal rows are one point with a number of copies: copies of a point are its
     own nearest neighbours.  Every row is base equally often, the first rows in
@@ -50,11 +51,15 @@ def synthetic_rows(
         ),
         "minority",
     )
-    size, bad = rows.agg(F.count(F.lit(1)), F.count_if("incomplete")).collect()[0]
+    size, bad, unkeyed = rows.agg(
+        F.count(F.lit(1)), F.count_if("incomplete"), F.count_if(F.col("id").isNull())
+    ).collect()[0]
     if size < 2:
         raise ValueError("oversampling needs at least two rows of the minority class")
     if bad:
         raise ValueError(f"{bad} minority rows have a missing feature: impute first")
+    if unkeyed:
+        raise ValueError(f"{unkeyed} minority rows have no key")
 
     each, extra = divmod(need, size)
     cut = hash_cuts(rows, "id", lambda n: [extra], seed=seed)[0].cuts[0]
@@ -90,13 +95,16 @@ def synthetic_rows(
     draw = F.concat_ws("/", F.col("id").cast("string"), F.col("j").cast("string"))
     slot = key_hash(draw, f"{seed}n") % F.size("parents")
     placed = drawn.select(
+        "id",
+        (F.col("j") + 1).alias("copy"),
         F.col("vec").alias("base"),
         F.get("parents", slot.cast("int")).alias("neighbor"),
         unit_hash(draw, f"{seed}u").alias("u"),
     )
     new = F.zip_with("base", "neighbor", lambda a, b: a + (b - a) * F.col("u"))
     return placed.select(
-        "base", "neighbor", new.alias("vec"), F.lit(minority).cast(df.schema[label].dataType).alias("label")
+        "base", "neighbor", new.alias("vec"),
+        F.lit(minority).cast(df.schema[label].dataType).alias("label"), "id", "copy",
     )
 
 
@@ -108,25 +116,43 @@ def smote(
     k: int = 5,
     seed: int = 42,
     cell_rows: int = 4_000,
+    with_key: bool = False,
 ) -> DataFrame:
     """Original rows and new minority rows until the classes are equal:
-    features as doubles, label, and whether the row is synthetic."""
+    features as doubles, label, and whether the row is synthetic.
+
+    ``with_key`` puts the key in front, for a new row that of its base, and adds
+    ``copy``, 0 for an original and a number from 1 under its key for a new row.
+    """
     features = list(features)
+
+    def keyed(name: str, number, *rest):
+        before, after = ([col(name).alias(key)], [number.alias("copy")]) if with_key else ([], [])
+        return [*before, *rest, *after]
+
     sizes = class_sizes(df, label)
     largest = max(sizes.values(), default=0)
     result = df.select(
-        *[col(f).cast("double").alias(f) for f in features],
-        col(label),
-        F.lit(False).alias("synthetic"),
+        *keyed(
+            key,
+            F.lit(0).cast("bigint"),
+            *[col(f).cast("double").alias(f) for f in features],
+            col(label),
+            F.lit(False).alias("synthetic"),
+        )
     )
     for value, size in sorted(sizes.items(), key=lambda x: str(x[0])):
         if value is not None and size < largest:
             made = synthetic_rows(df, key, label, features, value, largest - size, k, seed, cell_rows)
             result = result.unionByName(
                 made.select(
-                    *[F.get("vec", F.lit(i)).alias(f) for i, f in enumerate(features)],
-                    F.col("label").alias(label),
-                    F.lit(True).alias("synthetic"),
+                    *keyed(
+                        "id",
+                        F.col("copy"),
+                        *[F.get("vec", F.lit(i)).alias(f) for i, f in enumerate(features)],
+                        F.col("label").alias(label),
+                        F.lit(True).alias("synthetic"),
+                    )
                 )
             )
     return result

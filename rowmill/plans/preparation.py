@@ -15,12 +15,14 @@ from rowmill.functions.columns import col, is_missing
 from rowmill.operators import binning, encode, impute, outliers, project, scale
 from rowmill.operators.lookup import Lookup
 from rowmill.operators.profile import preparation_summary
+from rowmill.operators.rebalance import smote
 from rowmill.operators.score import reject_reason
 from rowmill.operators.split import split, split_parts
 from rowmill.plans.settings import Settings
+from rowmill.plans.state import load_state, save_state
 from rowmill.sources.readers import read_splits
 from rowmill.sources.workdir import new_path, stage
-from rowmill.sources.writers import write_splits
+from rowmill.sources.writers import is_complete, save, write_splits
 
 State = dict[str, dict]
 
@@ -135,6 +137,7 @@ def prepare(
     The rows are written once before anything is fitted, so that the passes
     below read a columnar table; ``stage_rows=False`` reads the source each
     time, which is right when the source is such a table already.
+    ``rebalance='smote'`` adds rows to the training part (see ``rebalanced``).
     """
     s = settings or Settings()
     early = s.fit_on == "train"
@@ -160,24 +163,62 @@ def prepare(
     prepared = feature_steps(kept, state).select(
         *[col(c) for c in [s.key, *features, s.target, "split"]]
     )
+    if s.rebalance == "smote":
+        prepared = rebalanced(prepared, s, features)
     return prepared, state
 
 
+def rebalanced(prepared: DataFrame, s: Settings, features: Sequence[str]) -> DataFrame:
+    """The training part with new rows until its classes are equal, the test
+    part as it is; features become doubles.
+
+    A new row has the key of the row it was made from, so that folds by key
+    keep the two together, and ``copy`` counts the new rows of a key from 1.
+    """
+    rows = stage(prepared, "prepared")  # read once per class and part
+    train, test = split_parts(rows)
+    more = smote(train, s.key, s.target, features, s.neighbors, s.seed, with_key=True)
+    same = test.select(
+        *[col(s.key), *[col(f).cast("double").alias(f) for f in features], col(s.target)],
+        F.lit(0).cast("bigint").alias("copy"),
+    )
+    return (
+        more.drop("synthetic").withColumn("split", F.lit("train"))
+        .unionByName(same.withColumn("split", F.lit("test")))
+        .select(*[col(c) for c in [s.key, *features, s.target, "copy", "split"]])
+    )
+
+
 def run(
-    df: DataFrame, path: str, settings: Settings | None = None, output_format: str = "parquet"
+    df: DataFrame,
+    path: str,
+    settings: Settings | None = None,
+    output_format: str = "parquet",
+    force_rebuild: bool = True,
 ) -> tuple[DataFrame, State]:
-    """Prepare, write the parts, and return a one-row summary and the state."""
+    """Prepare, write the parts, and return a one-row summary and the state.
+
+    Summary, state and settings are written beside the parts.  With
+    ``force_rebuild=False`` a finished output of equal settings and format is
+    taken as it is; whether the source has changed since is not looked at.
+    """
     s = settings or Settings()
+    spark, root = df.sparkSession, path.rstrip("/")
+    if not force_rebuild and _prepared_alike(df, root, s, output_format):
+        return spark.read.parquet(f"{root}/summary"), load_state(spark, f"{root}/state")
+    made_with = "settings string, format string"
+    save(spark.createDataFrame([("", "")], made_with), f"{root}/settings")  # not finished
     source = stage(project.drop_missing(df, s.critical_columns), "source")
     prepared, state = prepare(source, s, stage_rows=bool(s.predict_labels))
     write_splits(prepared, path, output_format)
     held = "csv" if output_format == "csv" else "parquet"
     table = read_splits(df.sparkSession, path, held, prepared.schema)
-    features = [c for c in prepared.columns if c not in (s.key, s.target, "split")]
+    features = [c for c in prepared.columns if c not in (s.key, s.target, "split", "copy")]
+    made = table.filter(F.col("copy") > 0).count() if "copy" in table.columns else 0
     summary = preparation_summary(
         table,
         features,
-        source.count(),
+        source.count() + made,
         {
             "test_size": s.test_size,
             "random_state": s.seed,
@@ -185,9 +226,21 @@ def run(
             "scaling": s.scaling,
         },
     )
+    summary = spark.createDataFrame(summary.collect(), summary.schema)  # one row
+    save_state(spark, state, f"{root}/state")
+    save(summary, f"{root}/summary")
+    # written last: says that all else is there
+    save(spark.createDataFrame([(s.to_json(), output_format)], made_with), f"{root}/settings")
     return summary, state
 
 
+def _prepared_alike(df: DataFrame, root: str, s: Settings, output_format: str) -> bool:
+    spark = df.sparkSession
+    if not is_complete(spark, f"{root}/settings"):
+        return False
+    return tuple(spark.read.parquet(f"{root}/settings").first()) == (s.to_json(), output_format)
+
+
 def prepare_records(df: DataFrame, state: State, settings: Settings, features: list[str]) -> DataFrame:
     """Records prepared as in training: key and aligned features, no row lost.
 

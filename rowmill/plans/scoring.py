@@ -1,17 +1,21 @@
-"""Batch scoring: prepare, score, write."""
+"""Batch scoring: prepare, score, write; and the stored scorer."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from rowmill.functions.columns import col
 from rowmill.operators.score import score
 from rowmill.operators.split import sample_rows
+from rowmill.operators.tuning import load_model, save_model
 from rowmill.plans.preparation import State, prepare_records
 from rowmill.plans.settings import Settings
+from rowmill.plans.state import load_state, save_state
 from rowmill.sources.writers import save
 
 
@@ -46,3 +50,45 @@ def score_table(
         options = {"maxRecordsPerFile": rows_per_file} if rows_per_file else {}
         save(scored, save_path, format, **options)
     return scored.select([col(c) for c in scored.columns])
+
+
+@dataclass(frozen=True)
+class Scorer:
+    """Everything that scoring needs besides the records."""
+
+    model: Model
+    state: State
+    settings: Settings
+    features: tuple[str, ...]
+
+    def score(self, df: DataFrame) -> DataFrame:
+        return score_records(df, self.model, self.state, self.settings, self.features)
+
+
+def save_scorer(spark: SparkSession, scorer: Scorer, path: str) -> None:
+    """One folder with model, state, settings and feature order; lookup tables
+    that the state holds as paths are copied into it."""
+    root = path.rstrip("/")
+    state = dict(scorer.state)
+    if "predict" in state:
+        state["predict"] = dict(state["predict"])
+        for i, (column, p) in enumerate(state["predict"].items()):
+            if "path" in p:
+                save(spark.read.parquet(p["path"]), f"{root}/predict-{i}")
+                state["predict"][column] = p | {"path": f"{root}/predict-{i}"}
+    save_model(scorer.model, f"{root}/model")
+    save_state(spark, state, f"{root}/state")
+    held = [(scorer.settings.to_json(), json.dumps(scorer.features))]
+    save(spark.createDataFrame(held, "settings string, features string"), f"{root}/settings")
+
+
+def load_scorer(spark: SparkSession, path: str) -> Scorer:
+    """A stored scorer; an absent part of it is an error."""
+    root = path.rstrip("/")
+    held = spark.read.parquet(f"{root}/settings").first()
+    return Scorer(
+        load_model(f"{root}/model"),
+        load_state(spark, f"{root}/state"),
+        Settings.from_json(held["settings"]),
+        tuple(json.loads(held["features"])),
+    )

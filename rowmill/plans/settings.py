@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field, fields, replace
 
@@ -43,6 +44,8 @@ class Settings:
     test_size: float = 0.2
     seed: int = 42
     fit_on: str = "train"  # 'all' takes statistics over both parts
+    rebalance: str = "none"  # 'smote' makes the classes of the training part equal
+    neighbors: int = 5
 
     def __post_init__(self):
         choices = {
@@ -51,6 +54,7 @@ class Settings:
             "scaling": ("minmax", "standard"),
             "split_method": ("random", "stratified"),
             "fit_on": ("train", "all"),
+            "rebalance": ("none", "smote"),
         }
         for name, allowed in choices.items():
             if getattr(self, name) not in allowed:
@@ -61,3 +65,24 @@ class Settings:
         if unknown:
             raise ValueError(f"unknown settings: {sorted(unknown)}")
         return replace(self, **options)
+
+    def to_json(self) -> str:
+        """All settings as text, from which ``from_json`` makes them again."""
+        return json.dumps({f.name: _plain(getattr(self, f.name)) for f in fields(self)}, sort_keys=True)
+
+    @classmethod
+    def from_json(cls, text: str) -> Settings:
+        return cls(**{name: _restored(value) for name, value in json.loads(text).items()})
+
+
+def _plain(value):
+    """Mappings as pairs, since a key of JSON is always text."""
+    if isinstance(value, Mapping):
+        return {"pairs": [[k, _plain(v)] for k, v in value.items()]}
+    return [_plain(v) for v in value] if isinstance(value, (list, tuple)) else value
+
+
+def _restored(value):
+    if isinstance(value, dict):
+        return {k: _restored(v) for k, v in value["pairs"]}
+    return tuple(_restored(v) for v in value) if isinstance(value, list) else value

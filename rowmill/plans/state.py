@@ -8,6 +8,7 @@ from urllib.parse import quote
 from pyspark.sql import DataFrame, SparkSession
 
 from rowmill.operators.encode import LabelIndex
+from rowmill.operators.lookup import BROADCAST_ROWS
 
 SCHEMA = "operator string, column string, value string"
 
@@ -54,7 +55,9 @@ def save_label_index(index: LabelIndex, path: str) -> None:
     label_table(index).write.mode("overwrite").parquet(_label_path(path, index.column))
 
 
-def load_label_index(spark: SparkSession, path: str, column: str, inline: int = 10_000) -> LabelIndex:
+def load_label_index(
+    spark: SparkSession, path: str, column: str, inline: int = BROADCAST_ROWS
+) -> LabelIndex:
     """An absent map, or one without rows, is an error: it would code all as null."""
     table = spark.read.parquet(_label_path(path, column)).select("value", "code")
     head = table.limit(inline + 1).collect()

@@ -9,17 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowmill.functions.columns import col
-from rowmill.operators.evaluate import classification_metrics, confusion_matrix
+from rowmill.operators.evaluate import confusion_matrix, metrics_of
 from rowmill.operators.models import build_model
 from rowmill.operators.score import score
 from rowmill.operators.split import stratified_folds
 from rowmill.operators.tuning import fit, grid_search, save_model
 from rowmill.operators.vectors import assemble
+from rowmill.plans import preparation
+from rowmill.plans.scoring import Scorer, save_scorer
+from rowmill.plans.settings import Settings
+from rowmill.plans.state import load_state
 from rowmill.sources.readers import read_splits
 
 
 def features_of(df: DataFrame, key: str, target: str) -> list[str]:
-    return [c for c in df.columns if c not in (key, target, "split")]
+    """All columns but key, target, split, and the numbers of new rows."""
+    return [c for c in df.columns if c not in (key, target, "split", "copy")]
 
 
 def training_table(
@@ -69,10 +74,11 @@ def train(
     test = df.filter(F.col("split") == "test")
     scored = score(test, fitted, features, [key, target])
     spent = time.perf_counter() - start
-    metrics = classification_metrics(scored, target, "prediction")
-    cells = confusion_matrix(scored, target, "prediction").agg(F.sum("count").alias("test_rows"))
-    first, second = metrics.collect()[0], cells.collect()[0]
-    row = (model, rows, second["test_rows"], len(features), spent, train_accuracy, best_score, *first)
+    # all metrics, and the rows, from one pass over the scored part
+    cells = {(r[0], r[1]): r[2] for r in confusion_matrix(scored, target, "prediction").collect()}
+    metrics = metrics_of(cells)
+    reached = [metrics[m] for m in ("accuracy", "precision", "recall", "f1")]
+    row = (model, rows, sum(cells.values()), len(features), spent, train_accuracy, best_score, *reached)
     schema = (
         "model string, train_rows bigint, test_rows bigint, num_features int, seconds double, "
         "train_accuracy double, best_score double, accuracy double, precision double, recall double, f1 double"
@@ -80,12 +86,36 @@ def train(
     return df.sparkSession.createDataFrame([row], schema), fitted
 
 
-def run(spark: SparkSession, path: str, data_format: str = "parquet", schema=None, **options):
-    """Train on the parts that the preparation job wrote."""
-    return train(read_splits(spark, path, data_format, schema), **options)
+def run(
+    spark: SparkSession,
+    path: str,
+    data_format: str = "parquet",
+    schema=None,
+    source: DataFrame | None = None,
+    settings: Settings | None = None,
+    force_rebuild: bool = False,
+    scorer_path: str | None = None,
+    **options,
+):
+    """Train on the parts that the preparation job wrote.
+
+    Given a ``source``, parts that are absent, or were made with other settings,
+    are prepared first.  ``scorer_path`` stores what scoring needs: the model
+    with the state and the settings of the parts.
+    """
+    if source is not None:
+        preparation.run(source, path, settings, data_format, force_rebuild)
+    parts = read_splits(spark, path, data_format, schema)
+    summary, fitted = train(parts, **options)
+    if scorer_path:
+        root = path.rstrip("/")
+        made_with = spark.read.parquet(f"{root}/settings").first()["settings"]
+        s, state = Settings.from_json(made_with), load_state(spark, f"{root}/state")
+        save_scorer(spark, Scorer(fitted, state, s, tuple(features_of(parts, s.key, s.target))), scorer_path)
+    return summary, fitted
 
 
 def scored_test(df: DataFrame, fitted, key: str = "CustomerId", target: str = "Exited") -> DataFrame:
     """Predictions for the test part beside their key and label."""
     test = df.filter(F.col("split") == "test")
-    return score(test, fitted, features_of(df, key, target), [key, target]).orderBy(col(key))
+    return score(test, fitted, features_of(df, key, target), [key, target])

@@ -29,12 +29,16 @@ def save(
 
 def write_splits(df: DataFrame, path: str, output_format: str = "parquet") -> list[str]:
     """One dataset per format, partitioned by ``split``; label and key stay in
-    their rows, so features and label can never drift apart."""
-    formats = ["csv", "parquet"] if output_format == "both" else [output_format]
-    paths = [f"{path.rstrip('/')}/{f}" for f in formats]
-    for f, target in zip(formats, paths):
-        save(df, target, f, partition_by=["split"])
-    return paths
+    their rows, so features and label can never drift apart.  Of both formats
+    the second is copied from the first, so the plan runs once."""
+    root, both = path.rstrip("/"), output_format == "both"
+    first = "parquet" if both else output_format
+    save(df, f"{root}/{first}", first, partition_by=["split"])
+    if not both:
+        return [f"{root}/{first}"]
+    written = load(df.sparkSession, f"{root}/parquet", "parquet", df.schema)
+    save(written, f"{root}/csv", "csv", partition_by=["split"])
+    return [f"{root}/csv", f"{root}/parquet"]
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

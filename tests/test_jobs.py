@@ -322,3 +322,73 @@ def test_constant_keeps_its_fraction(spark):
 
     rows = spark.createDataFrame([(1, None), (None, 2.0)], "a int, b double")
     assert [tuple(r) for r in fill_all_constant(rows, 2.7).collect()] == [(1.0, 2.7), (2.7, 2.0)]
+
+
+def test_settings_as_text():
+    s = Settings(predict_labels={"Gender": ("Firstname", "Lastname")}, rebalance="smote", test_size=0.25)
+    again = Settings.from_json(s.to_json())
+    assert again.to_json() == s.to_json()
+    assert again.bin_exact == {"CreditScore": {850: "Excellent"}} and again.predict_labels == s.predict_labels
+
+
+def test_rebalanced_parts(spark, folder):
+    """The test part holds the same values as without rebalancing."""
+    s = Settings(bin_otherwise="Poor")
+    plain, _ = preparation.prepare(churn(spark, folder), s)
+    more, _ = preparation.prepare(churn(spark, folder), s.with_options(rebalance="smote"))
+    features = training.features_of(more, s.key, s.target)
+    assert features == training.features_of(plain, s.key, s.target)
+    kept = more.filter("copy = 0").drop("copy")
+    same = plain.select([F.col(c).cast(kept.schema[c].dataType).alias(c) for c in kept.columns])
+    assert kept.exceptAll(same).count() == 0 and kept.count() == plain.count()
+    new = more.filter("copy > 0")
+    assert {r.split for r in new.select("split").distinct().collect()} == {"train"}
+    train = more.filter("split = 'train'").groupBy(s.target).count().collect()
+    assert len(train) == 2 and len({r["count"] for r in train}) == 1
+    bases = more.filter("copy = 0 and split = 'train'").select(s.key, s.target)
+    assert new.join(bases, [s.key, s.target], "left_anti").count() == 0
+
+
+def test_rebalanced_summary_and_unfinished_output(spark, folder, tmp_path):
+    path, source = str(tmp_path / "p"), churn(spark, folder)
+    s = Settings(bin_otherwise="Poor", rebalance="smote")
+    summary, fitted = preparation.run(source, path, s, force_rebuild=False)
+    first = summary.first()
+    plain, _ = preparation.run(source, str(tmp_path / "q"), s.with_options(rebalance="none"))
+    assert first.outliers_removed == plain.first().outliers_removed
+    assert first.num_features == plain.first().num_features and first.test_rows == plain.first().test_rows
+    files = spark.read.parquet(f"{path}/parquet").inputFiles()
+    again, loaded = preparation.run(source, path, s, force_rebuild=False)
+    assert again.first() == first and loaded == fitted
+    assert spark.read.parquet(f"{path}/parquet").inputFiles() == files
+    # a run that stopped before its end is not taken for a finished one
+    writers.save(spark.createDataFrame([("", "")], "settings string, format string"), f"{path}/settings")
+    preparation.run(source, path, s, force_rebuild=False)
+    assert spark.read.parquet(f"{path}/parquet").inputFiles() != files
+
+
+def test_stored_scorer_holds_its_lookups(spark, folder, tmp_path, monkeypatch):
+    """Also a predictor too large to be held as rows."""
+    from rowmill.operators import impute
+    from rowmill.operators.lookup import bounded
+    from rowmill.plans.scoring import load_scorer
+
+    monkeypatch.setattr(impute, "bounded", lambda t: bounded(t, max_rows=3))
+    s = Settings(predict_labels={"Gender": ("Firstname",)}, bin_otherwise="Poor")
+    root, source = str(tmp_path), churn(spark, folder)
+    _, model = training.run(
+        spark, f"{root}/parts", source=source, settings=s, scorer_path=f"{root}/scorer",
+        model="decision_tree", max_depth=4,
+    )
+    loaded = load_scorer(spark, f"{root}/scorer")
+    assert loaded.state["predict"]["Gender"]["path"] == f"{root}/scorer/predict-0"
+    before = score_records(source, model, state.load_state(spark, f"{root}/parts/state"), s, loaded.features)
+    after = loaded.score(source)
+    assert after.count() == source.count() and after.exceptAll(before).count() == 0
+
+
+def test_metrics_of_more_classes(spark):
+    cells = {(1, 1): 3, (2, 1): 2, (1, 2): 1, (0, 0): 4, (None, 1): 1}
+    rows = [(a, p) for (a, p), n in cells.items() for _ in range(n)]
+    df = spark.createDataFrame(rows, "y int, p int")
+    assert evaluate.classification_metrics(df, "y", "p").first().asDict() == pytest.approx(evaluate.metrics_of(cells))

@@ -165,6 +165,10 @@ def test_lookup_does_not_fan_out(spark):
 def test_lookup_bound(spark):
     assert lookup.bounded(spark.range(10), 10).rows == 10
     assert lookup.bounded(spark.range(11), 10).rows is None
+    long = spark.createDataFrame([(1, "x" * 5000)], "k int, v string")
+    assert lookup.bounded(long, 10, max_bytes=4000).rows is None
+    assert lookup.bounded(long, 10, max_bytes=6000).rows == 1
+    assert lookup.bounded(long.limit(0), 10).rows == 0
 
 
 # ---- outliers
