@@ -1,8 +1,8 @@
 """Models, cross-validation, grids and evaluation.
 
 Models are registered with their default parameters, and every row of the table
-takes part in every fit.  The boosted grid and the result table try a part of
-``operators.models.GRIDS``: the boosted grid is 240 fits, each as long as
+takes part in every fit.  The grids are ``operators.models.GRIDS``, whole, but
+for the boosted one, of which a part is tried: it is 240 fits, each as long as
 ``mod_4_boosted_trees`` or longer (66 s at sf0.01).
 """
 
@@ -121,6 +121,29 @@ def _(spark, d):
     return rounded(result.score_table(spark))
 
 
+def _fold_rows_sql(models_: list[str]) -> str:
+    """Rows of every fold and class, once per model."""
+    names = ", ".join(f"('{m}')" for m in models_)
+    return KEPT + f""", dealt AS (SELECT Exited, ntile(6) OVER (PARTITION BY Exited
+      ORDER BY ('0x' || substr(md5('42:' || CustomerId), 1, 8))::BIGINT, CustomerId) - 1 AS fold FROM kept)
+    SELECT model, fold, Exited AS label, count(*) AS rows
+    FROM dealt, (VALUES {names}) t(model) GROUP BY model, fold, Exited"""
+
+
+def _fold_rows(results, spark):
+    """The same from the held-out predictions: each fold scores its own rows,
+    all of them, once per model."""
+    cells = None
+    for r in results:
+        cells = r.cell_table(spark) if cells is None else cells.unionByName(r.cell_table(spark))
+    return cells.groupBy("model", "fold", "label").agg(F.sum("count").alias("rows"))
+
+
+@query("trn_2_fold_rows", _fold_rows_sql(["logistic_regression"]))
+def _(spark, d):
+    return _fold_rows([tuning.cross_validate(vectors(spark, d, 6), "logistic_regression")], spark)
+
+
 @query("trn_3_best_fold")
 def _(spark, d):
     result = tuning.cross_validate(
@@ -139,13 +162,33 @@ def _(spark, d):
     return rounded(tables[0].unionByName(tables[1]).unionByName(tables[2]))
 
 
+@query("trn_4_fold_rows", _fold_rows_sql(["random_forest", "logistic_regression"]))
+def _(spark, d):
+    results = tuning.compare_models(vectors(spark, d, 6), ["random_forest", "logistic_regression"])
+    return _fold_rows(results, spark)
+
+
 @query("trn_5_grid_search")
 def _(spark, d):
-    result = tuning.grid_search(vectors(spark, d, 6), "decision_tree", scoring="f1", parallelism=8)
+    return _best(spark, d, "decision_tree")
+
+
+def _best(spark, d, model):
+    result = tuning.grid_search(vectors(spark, d, 6), model, scoring="f1", parallelism=8)
     best = [(str(result.best_params), result.best_score, len(result.combinations))]
     return rounded(spark.createDataFrame(best, "best_params string, best_score double, tried int"))
 
 
+@query("trn_5_grid_search_logistic")
+def _(spark, d):
+    return _best(spark, d, "logistic_regression")
+
+
+@query("trn_5_grid_search_forest")
+def _(spark, d):
+    return _best(spark, d, "random_forest")
+
+
 @query("trn_6_boosted_grid")
 def _(spark, d):
     grid = {"n_estimators": [3], "max_depth": [3], "learning_rate": [0.1, 0.2], "subsample": [0.8, 1.0]}
@@ -157,9 +200,8 @@ def _(spark, d):
 
 @query("trn_7_result_table")
 def _(spark, d):
-    grid = {"max_depth": [2, 4, 6], "criterion": ["gini", "entropy"]}
     data = vectors(spark, d, 5)
-    return tuning.grid_search(data, "decision_tree", grid, scoring="accuracy", refit=False).table(spark)
+    return tuning.grid_search(data, "decision_tree", scoring="accuracy", refit=False).table(spark)
 
 
 @query("trn_8_saved_model", KEPT + "SELECT count(*) AS rows, count(*) AS equal FROM kept")

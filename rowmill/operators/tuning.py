@@ -68,6 +68,20 @@ class SearchResult:
     scoring: str
     fold_models: dict[int, Model] = field(default_factory=dict)
     best_model: PipelineModel | None = None
+    # [combination][fold]: held-out rows by (label, prediction)
+    cells: list[list[dict[tuple[int, int], int]]] = field(default_factory=list)
+
+    def cell_table(self, spark) -> DataFrame:
+        """What every fold's held-out rows were taken for."""
+        rows = [
+            (self.model, i, f, label, prediction, n)
+            for i, folds in enumerate(self.cells)
+            for f, cells in enumerate(folds)
+            for (label, prediction), n in cells.items()
+        ]
+        return spark.createDataFrame(
+            rows, "model string, combination int, fold int, label int, prediction int, count bigint"
+        )
 
     def means(self, score: str | None = None) -> list[float]:
         return [statistics.fmean(f[score or self.scoring] for f in folds) for folds in self.scores]
@@ -180,17 +194,18 @@ def grid_search(
             fitted = estimator.fit(data.filter(col(fold) != f))
             spent = time.perf_counter() - start
             cells = _confusion(fitted.transform(data.filter(col(fold) == f)), "label")
-            return task, metrics_of(cells), spent, fitted if keep_fold_models else None
+            return task, metrics_of(cells), spent, fitted if keep_fold_models else None, cells
 
         tasks = [(key, f) for key in distinct for f in folds]
-        for task, scores, spent, fitted in pool.imap_unordered(with_session(run), tasks):
-            results[task] = (scores, spent, fitted)
+        for task, *found in pool.imap_unordered(with_session(run), tasks):
+            results[task] = tuple(found)
         result = SearchResult(
             model,
             combinations,
             [[results[key, f][0] for f in folds] for key in keys],
             [[results[key, f][1] for f in folds] for key in keys],
             scoring,
+            cells=[[results[key, f][3] for f in folds] for key in keys],
         )
         if keep_fold_models:
             best_key = keys[result.best_index]
