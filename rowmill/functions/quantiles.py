@@ -3,8 +3,8 @@
 The built-in ``percentile`` keeps every distinct value of a group in one
 aggregation buffer.  Here each wanted rank is searched for: a sketch of fixed
 size proposes two values close to it, counting says on which side of them the
-rank lies, and so on until few rows are left in between.  Each step is one scan
-with a map-side aggregate.  A value that fills the table cannot stall the
+rank lies, and so on until few rows are left in between; all searches share
+one budget of rows to fetch.  Each step is one scan with a map-side aggregate.  A value that fills the table cannot stall the
 search, because a proposed value either is the answer or is left behind.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from rowmill.functions.columns import present, require
 
 ACCURACY = 10_000
-FETCH_ROWS = 50_000
+FETCH_ROWS = 50_000  # over all columns and ranks of a call
 
 
 @dataclass
@@ -106,9 +106,11 @@ def exact_quantiles(
     while True:
         _settle(values, searches, proposals)
         open_ = {key: s for key, s in searches.items() if s.found is None}
-        if all(s.held <= FETCH_ROWS for s in open_.values()):
+        share = max(1, FETCH_ROWS // max(1, len(open_)))
+        large = {key: s for key, s in open_.items() if s.held > share}
+        if not large:
             break
-        proposals = _propose(values, open_)
+        proposals = _propose(values, large)
     _fetch(values, list(open_.values()))
 
     result: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}

@@ -35,6 +35,30 @@ def test_exact_quantiles(spark, monkeypatch, name, values, accuracy, fetch):
     np.testing.assert_allclose(found, np.quantile(values, PROBABILITIES), rtol=1e-12)
 
 
+def test_quantiles_of_many_columns_share_one_budget(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "ACCURACY", 100)
+    monkeypatch.setattr(quantiles, "FETCH_ROWS", 600)
+    names = [f"c{i}" for i in range(40)]
+    df = spark.range(6000).select(
+        *[(F.col("id") * (2 * i + 3) % 6007).cast("double").alias(c) for i, c in enumerate(names)]
+    )
+    kind, fetched = type(df), []
+    collect = kind.collect
+
+    def counted(self):
+        rows = collect(self)
+        fetched.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(kind, "collect", counted)
+    found = quantiles.exact_quantiles(df, names, [0.25, 0.5, 0.75])
+    assert max(fetched) <= 600
+    monkeypatch.undo()
+    table = df.toPandas()
+    for c in names:
+        np.testing.assert_allclose(found[c], np.quantile(table[c], [0.25, 0.5, 0.75]), rtol=1e-12)
+
+
 def test_quantiles_leave_missing_values_out(spark):
     rows = [(1.0, 1), (float("nan"), 2), (None, 3), (3.0, None)]
     df = spark.createDataFrame(rows, "x double, n int")
