@@ -12,26 +12,34 @@ copies stay as they were.  The moved mass is measured in words, so the words a
 source takes stay exactly at its target until one document is left, which a last
 draw rounds.
 
-The reduction tree.  Documents are dealt by hash into small groups of one source
-and one size class.  Each group pairs its documents off in an array expression
-and hands on at most one fractional document; 64 groups form one of the next
-level.  When a source has at most 64 groups of each size class left, all their
-documents meet and are settled largest first, against all that are smaller, so
-what is left of the mass is less than the smallest documents hold.  A source with a third of all rows is many groups on every level.
-Levels are written to the shared folder.
+The reduction tree.  Rows alike in doc_id, source and text are one item with a
+count; the whole part of count times p is taken at once, one fraction is left.
+Items are dealt by size into bands of BAND_BITS powers of two, and bands are
+worked off from the longest documents down, whatever the size of the input:
+- a source and size class with more than DIRECT items is dealt by hash into
+  small groups.  Each group pairs its items off in an array expression and hands
+  on at most one; 64 groups form one of the next level, until 128 are left;
+- what is left of a source's band is settled largest first, each item against
+  all smaller ones of the band and against the pool, which is every item of the
+  smaller bands together: min(p, 1 - p) of its words can move either way.  The
+  pool is then moved by one factor a source, before its own bands are paired.
+So short documents still carry fractions when a long one is settled, and what is
+left of the mass is less than the smallest documents hold, unless all smaller
+documents of a source cannot make up for a long one.  A source with a third of
+all rows is many groups on every level.  Levels are written to the shared folder.
 
 Draws are hashes of the paired rows, so a rerun, or a task that runs again,
 gives the same copies.  Only DataFrame operations are used.
 
 Edge cases: a null or blank text has size 0 and takes 0 words; a null source is
-a source of its own; an empty table gives an empty result; repeated rows are
-rounded one by one; a null doc_id is a value like another; other columns are
+a source of its own; an empty table gives an empty result; the copies of
+repeated rows differ by one at most; a null doc_id is a value like another; other columns are
 not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -40,7 +48,10 @@ from rowmill.llm.base import WORD, small_join, stage
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 FAN_IN_BITS = 6
-DIRECT = 1 << 11
+LAST_BITS = 7
+DIRECT = 1 << 8
+BAND_BITS = 3
+BLOCK = 1 << 12
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -85,7 +96,8 @@ def targets(rows: DataFrame) -> DataFrame:
     return sources.select("source", "source_size", F.least(F.col("weight") * F.lit(share), limit).alias("target"))
 
 
-_ITEM = "item.seed, item.doc_id, item.source, item.size, item.source_size, item.target, item.copies"
+_KEEP = ["seed", "doc_id", "source", "size", "source_size", "target", "n", "copies"]
+_ITEM = [f"item.{c}" for c in _KEEP]
 
 # One step of a group: the document held so far meets the next one.  room and
 # space are the words that complete the held and the next document, have and
@@ -118,94 +130,151 @@ _HAND_ON = """concat(
     'extra', CASE WHEN state.p <= 0 THEN 0 WHEN state.p >= 1 THEN 1 END, 'fraction', state.p)))"""
 
 
-# The last group of a source, largest document first.  Each is settled by its own
-# draw, and the words that this moves come from, or go to, all that follow, each
-# giving or taking in proportion to what it can; up and down moves balance, so
-# every document's expected copies stay.  If those that follow are too small,
-# they move as far as they can.
+# The last group of a source's band, largest document first, and the pool of its
+# smaller bands as the last entry.  Each document is settled by its own draw, and
+# the words that this moves come from, or go to, all that follow, each giving or
+# taking in proportion to what it can; up and down moves balance, so every
+# document's expected copies stay.  If those that follow are too small, they move
+# as far as they can.
 _SETTLE = """aggregate(
   sequence(0, size(items) - 1),
-  transform(items, x -> x.fraction),
+  concat(transform(items, x -> x.fraction), array(0.5D)),
   (ps, i) -> CASE WHEN ps[i] <= 0 OR ps[i] >= 1 THEN ps ELSE transform(
     array(named_struct(
       'p', ps[i],
       'up', pmod(xxhash64(items[i].seed, {level}), 9007199254740992) / 9007199254740992D < ps[i],
-      'room', aggregate(sequence(0, size(items) - 1), 0D, (t, j) -> t + CASE WHEN j > i
-        THEN least(ps[j] / (1 - ps[i]), (1 - ps[j]) / ps[i]) * items[j].size ELSE 0D END))),
+      'room', aggregate(sequence(i + 1, size(items)), 0D, (t, j) -> t
+        + least(ps[j] / (1 - ps[i]), (1 - ps[j]) / ps[i]) * sizes[j]))),
     m -> transform(ps, (p, j) -> CASE
       WHEN j = i THEN CASE WHEN m.up THEN 1D ELSE 0D END
       WHEN j < i OR m.room <= 0 THEN p
       ELSE greatest(0D, least(1D, p + (m.p - CASE WHEN m.up THEN 1D ELSE 0D END)
-        * least(p / (1 - m.p), (1 - p) / m.p) * least(1D, items[i].size / m.room))) END))[0] END)"""
+        * least(p / (1 - m.p), (1 - p) / m.p) * least(1D, sizes[i] / m.room))) END))[0] END)"""
 
 
 def _groups(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The documents of each group in an array, largest first."""
-    item = F.struct(
-        (-F.col("size")).alias("order"), "seed", "doc_id", "source", "size", "source_size", "target",
-        "copies", "fraction",
-    )
+    item = F.struct((-F.col("size")).alias("order"), *_KEEP, "fraction")
     return rows.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("items"))
 
 
 def _level(rows: DataFrame, keys: list[str], level: int) -> DataFrame:
     """Pair off the documents of each group; extra is null for what goes on."""
     paired = _groups(rows, keys).select(F.expr(_PAIR_OFF.format(level=level)).alias("state"))
-    return paired.select(F.inline(F.expr(_HAND_ON))).selectExpr(*_ITEM.split(", "), "extra", "fraction")
+    return paired.select(F.inline(F.expr(_HAND_ON))).selectExpr(*_ITEM, "extra", "fraction")
 
 
-def copies(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and taken of each row."""
+def _named() -> Column:
+    """The source as a value that is never null."""
+    return F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+
+
+def _due(docs: DataFrame) -> DataFrame:
+    """The items: n rows alike, the copies they take at once, and the fraction left."""
     rows = stage(measured(docs), "measured")
-    due = small_join(
-        rows.withColumn("named", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))),
-        stage(
-            targets(rows).select(
-                F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("named"), "source_size", "target"
-            ), "targets",
-        ),
-        ["named"],
-    ).drop("named")
+    goals = stage(targets(rows).select(_named().alias("named"), "source_size", "target"), "targets")
+    alike = rows.withColumn("n", F.lit(1).cast("long"))
+    due = small_join(alike.withColumn("named", _named()), goals, ["named"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    due = due.withColumn("copies", F.floor(rate).cast("int")).withColumn("fraction", rate - F.floor(rate))
-    open_ = (F.col("fraction") > 0) & (F.col("size") > 0)
-    fixed = due.where(~open_).withColumn("extra", F.lit(0))
-    todo = due.where(open_)
-    n = todo.count()
-    bits = max(0, (n >> FAN_IN_BITS).bit_length())
-    done, level = [fixed], 0
-    # a few documents need no tree
-    while n > DIRECT:
+    due = due.withColumn("due", F.col("n") * rate).withColumn("copies", F.floor("due").cast("long"))
+    size_class = F.length(F.bin("size"))
+    return stage(
+        due.withColumn("fraction", F.col("due") - F.col("copies")).drop("due")
+        .withColumn("size_class", size_class)
+        .withColumn("band", F.floor((F.col("size_class") - 1) / BAND_BITS).cast("int")), "due",
+    )
+
+
+def _settled(items: DataFrame, pool: DataFrame, most: int, band: int) -> tuple[list[DataFrame], DataFrame]:
+    """The rounded items of a band, and (named, shift): how far each pool moves, -1 to 1."""
+    done, todo, level = [], items, 0
+    bits = LAST_BITS
+    while most >> bits + FAN_IN_BITS:
+        bits += FAN_IN_BITS
+    while most > DIRECT and bits >= LAST_BITS:
         bucket = F.col("seed").bitwiseAND(F.lit((1 << bits) - 1))
         keyed = todo.withColumn("size_class", F.length(F.bin("size"))).withColumn("bucket", bucket)
-        out = stage(_level(keyed, ["source", "size_class", "bucket"], level), f"pairs-{level}")
+        out = stage(_level(keyed, ["source", "size_class", "bucket"], level), f"pairs-{band}-{level}")
         done.append(out.where("extra IS NOT NULL"))
-        todo, level = out.where("extra IS NULL"), level + 1
-        if bits <= FAN_IN_BITS:
-            break
-        bits -= FAN_IN_BITS
-    last = _groups(todo, ["source"]).select("items", F.expr(_SETTLE.format(level=level)).alias("ps"))
-    settled = F.transform(
+        todo, level, bits = out.where("extra IS NULL"), level + 1, bits - FAN_IN_BITS
+    sizes = F.concat(F.transform("items", lambda x: x.size.cast("double")), F.array(2 * F.coalesce("words", F.lit(0.0))))
+    last = _groups(todo.withColumn("named", _named()), ["named"]).join(pool, "named", "left")
+    last = last.withColumn("sizes", sizes)
+    last = stage(last.select("named", "items", F.expr(_SETTLE.format(level=level)).alias("ps")), f"settled-{band}")
+    extras = F.transform(
         "items", lambda x, k: F.struct(x.alias("item"), F.get("ps", k).cast("int").alias("extra"))
     )
-    done.append(last.select(F.inline(settled)).selectExpr(*_ITEM.split(", "), "extra"))
-    columns = ["doc_id", "source", "size", "source_size", "target", "seed"]
-    parts = [p.select(*columns, (F.col("copies") + F.col("extra")).alias("copies")) for p in done]
+    done.append(last.select(F.inline(extras)).selectExpr(*_ITEM, "extra"))
+    return done, last.select("named", (2 * F.element_at("ps", -1) - 1).alias("shift"))
+
+
+def _taken(docs: DataFrame) -> DataFrame:
+    """The items with the copies that their n rows take together."""
+    due = _due(docs)
+    open_ = (F.col("fraction") > 0) & (F.col("size") > 0)
+    done = [due.where(~open_).withColumn("extra", F.lit(0))]
+    counts = due.where(open_).groupBy("source", "band", "size_class").agg(F.count("*").alias("n"))
+    bands = counts.groupBy("band").agg(F.max("n")).orderBy(F.desc("band")).collect()
+    # the fraction that an item has now, by source, band and the fraction it was due
+    now = stage(
+        due.where(open_).groupBy("named", "band", "fraction").agg(F.sum("size").alias("words"))
+        .withColumn("now", F.col("fraction")), "fractions",
+    )
+    for band, most in bands:
+        items = small_join(
+            due.where(open_ & (F.col("band") == band)).drop("band"),
+            now.where(F.col("band") == band).select("named", "fraction", "now"), ["named", "fraction"],
+        ).withColumn("fraction", F.col("now"))
+        whole = (F.col("fraction") <= 0) | (F.col("fraction") >= 1)
+        done.append(items.where(whole).withColumn("extra", F.col("fraction").cast("int")))
+        smaller = now.where(F.col("band") < band)
+        reach = F.least("now", 1 - F.col("now"))
+        pool = smaller.groupBy("named").agg(F.sum(F.col("words") * reach).alias("words"))
+        rounded, shifts = _settled(items.where(~whole), pool, most, band)
+        done += rounded
+        moved = F.col("now") + F.coalesce("shift", F.lit(0.0)) * reach
+        now = stage(
+            smaller.join(shifts, "named", "left")
+            .withColumn("now", F.greatest(F.lit(0.0), F.least(F.lit(1.0), moved))).drop("shift"), f"fractions-{band}",
+        )
+    parts = [p.select(*_KEEP, "extra") for p in done]
     whole = parts[0]
     for p in parts[1:]:
         whole = whole.unionByName(p)
+    return whole.withColumn("copies", F.col("copies") + F.col("extra")).drop("extra")
+
+
+def _times(rows: DataFrame, n: str) -> DataFrame:
+    """Each row n times; a row that repeats often goes out in blocks."""
+    blocks = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({n} - 1) div {BLOCK}"))))
+    left = F.least(F.lit(BLOCK).cast("long"), F.col(n) - F.col("block") * BLOCK)
+    return blocks.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), left))).drop("block", "again")
+
+
+def copies(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies and taken of each row."""
+    items = _taken(docs)
+    columns = ["doc_id", "source", "size", "source_size", "target", "seed"]
+    single = items.where("n = 1").select(*columns, F.col("copies").cast("int").alias("copies"))
+    # of n rows alike, copies % n take one copy more
+    each, more = F.expr("copies div n"), F.expr("copies % n")
+    runs = F.array(
+        F.struct(more.alias("run"), (each + 1).cast("int").alias("copies")),
+        F.struct((F.col("n") - more).alias("run"), each.cast("int").alias("copies")),
+    )
+    many = items.where("n > 1").select(*columns, F.inline(runs)).where("run > 0")
+    whole = single.unionByName(_times(many, "run").select(*columns, "copies"))
     return whole.withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents, each row as often as the mix takes it."""
     taken = stage(
-        copies(docs).groupBy("doc_id", "seed").agg(F.sum("copies").cast("int").alias("copies"))
-        .where("copies > 0"), "taken",
+        _taken(docs).groupBy("doc_id", "seed").agg(F.sum("copies").alias("copies")).where("copies > 0"), "taken"
     )
     # rows as one value, so that no column clashes; rows that repeat have one
     # entry in taken and are one row here
     keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "source", "text").alias("key"))
     one = keyed.withColumn("id", F.col("row.doc_id")).dropDuplicates(["id", "key"])
     joined = one.join(taken, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("seed")))
-    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
+    return _times(joined.select("row", "copies"), "copies").select("row.*")

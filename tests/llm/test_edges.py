@@ -380,3 +380,20 @@ def test_stages_keep_columns(spark, docs):
     last = corpus_pipeline.STAGES[-1][1]
     assert last(spark, messy, folder).count() == messy.count()
     assert last(spark, empty(messy), folder).count() == 0
+
+
+@pytest.mark.parametrize("short,long", [(2_000, 100_000), (20_000, 1_000_000)])
+def test_mixing_of_one_very_long_document(spark, short, long):
+    """Short documents make up for a long one, on both sides of 2,048."""
+    for shift in (0, 10**6):  # the long one is drawn anew
+        words = F.expr(f"CASE WHEN id = {shift} THEN {long} WHEN id = {shift + 1} THEN {75 * short + long} "
+                       "ELSE 60 + pmod(hash(id), 81) END")
+        source = F.when(F.col("id") == shift + 1, "a").otherwise("b")
+        rows = spark.range(shift, shift + short + 2).withColumn("words", words).select(
+            F.col("id").alias("doc_id"), F.expr("repeat('w ', int(words))").alias("text"), source.alias("source")
+        )
+        got = mixing.copies(rows).where("source = 'b'").agg(
+            F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("source_size").alias("words")
+        ).first()
+        assert 0.2 < got.target / got.words < 0.8
+        assert abs(got.taken - got.target) <= 140
