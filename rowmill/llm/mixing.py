@@ -173,7 +173,7 @@ def _due(docs: DataFrame) -> DataFrame:
     """The items: n rows alike, the copies they take at once, and the fraction left."""
     rows = stage(measured(docs), "measured")
     goals = stage(targets(rows).select(_named().alias("named"), "source_size", "target"), "targets")
-    alike = rows.withColumn("n", F.lit(1).cast("long"))
+    alike = rows.groupBy("doc_id", "source", "size", "seed").agg(F.count("*").alias("n"))
     due = small_join(alike.withColumn("named", _named()), goals, ["named"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     due = due.withColumn("due", F.col("n") * rate).withColumn("copies", F.floor("due").cast("long"))

@@ -397,3 +397,27 @@ def test_mixing_of_one_very_long_document(spark, short, long):
         ).first()
         assert 0.2 < got.target / got.words < 0.8
         assert abs(got.taken - got.target) <= 140
+
+
+def test_mixing_of_rows_alike(spark, monkeypatch):
+    """Rows alike are one item with a count, whatever their number; no group holds them one by one."""
+    real, held = mixing._groups, []
+
+    def spied(*given):
+        out = real(*given)
+        held.append(out.agg(F.max(F.size("items"))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(mixing, "_groups", spied)
+    rows = [(None, "a b c", "en", "x")] * 9_000 + [(7, "d e", "en", "x")] * 4 + [(i, prose(i, 9), "en", "y") for i in range(100, 400)]
+    table = documents(spark, rows)
+    got = check_mix(mixing.copies(table), rows)
+    assert max(held) <= 768
+    for i in (None, 7):
+        alike = [r.copies for r in got if r.doc_id == i]
+        assert max(alike) - min(alike) <= 1 and abs(sum(alike) - len(alike) * got_rate(got, "x")) < 1
+    assert mixing.mixed(table).where("doc_id IS NULL").count() == sum(r.copies for r in got if r.doc_id is None)
+
+
+def got_rate(rows, source):
+    return next(r.target / r.source_size for r in rows if r.source == source)
