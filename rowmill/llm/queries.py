@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from rowmill.llm import (
-    chat, decontaminate, embedding_dedup, language, mixing, quality, simhash, substring_dedup,
-    token_files, toxicity,
+    bpe, chat, decontaminate, embedding_dedup, hard_negatives, language, mixing, prefix_trie, quality,
+    simhash, substring_dedup, token_files, toxicity,
 )
 from rowmill.llm.base import table
 
@@ -53,11 +55,29 @@ def op10_simhash(spark, d):
     return simhash.near_duplicates(table(spark, d, "documents"))
 
 
+def op11_bpe(spark, d):
+    path = bpe.default_vocabulary()
+    return bpe.digest(bpe.decode(bpe.encode(table(spark, d, "documents").select("doc_id", "text"), path), path))
+
+
+def op12_hard_negatives(spark, d):
+    label = F.col("label").cast("long")
+    rows = table(spark, d, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    )
+    return hard_negatives.mine(hard_negatives.quantised(rows), F.col("vec_id") % 50 == 0)
+
+
+def op13_prefix_trie(spark, d):
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(table(spark, d, "conversations"))))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_decontamination, op3_mixing, op4_embedding_dedup, op5_quality,
         op6_substring_dedup, op7_token_files, op8_toxicity, op9_language, op10_simhash,
+        op11_bpe, op12_hard_negatives, op13_prefix_trie,
     )
 }
 
@@ -109,4 +129,43 @@ g AS (SELECT t.doc_id, string_agg(word, ' ' ORDER BY t.p) AS kept, count(*) AS n
   FROM t ANTI JOIN r ON t.doc_id = r.doc_id AND t.p = r.p GROUP BY t.doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
   sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN g ON d.doc_id = g.doc_id""",
+    "op12_hard_negatives": """WITH e AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.q AS anchor_q, a.label AS anchor_label, b.vec_id, b.label,
+    CAST(coalesce(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])), 0) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND len(a.q) = len(b.q)),
+p AS (SELECT anchor_id, anchor_q, anchor_label, vec_id AS positive_id, score AS positive_score FROM s
+  WHERE label = anchor_label AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id, anchor_q, anchor_label ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.anchor_q, p.anchor_label, positive_id
+    ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND p.anchor_q = s.anchor_q AND p.anchor_label = s.anchor_label
+WHERE s.label <> s.anchor_label AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.anchor_q, p.anchor_label, positive_id ORDER BY score DESC, vec_id) <= 3""",
+    "op13_prefix_trie": """WITH o AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS ts
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, ts, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, c: list_reduce(list_prepend(xor(crc, c), CAST(range(8) AS BIGINT[])),
+      lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END)), 4294967295) % 6 AS INT) AS h FROM o),
+c AS (SELECT h.conv_id, list_concat(coalesce(list_slice(b.ts, 1, h), []), coalesce(list_slice(h.ts, h + 1, len(h.ts)), [])) AS ts
+  FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 100),
+p AS (SELECT conv_id, len(ts) AS n, unnest(range(0, len(ts) + 1)) AS depth, ts FROM c),
+n AS (SELECT list_slice(ts, 1, depth) AS node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = depth) AS ends FROM p GROUP BY 1, 2),
+k AS (SELECT list_slice(node, 1, depth - 1) AS node, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1, 2),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children,
+    CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.node[n.depth].t) END AS own
+  FROM n LEFT JOIN k ON n.node = k.node AND n.depth = k.depth),
+u AS (SELECT list_slice(node, 1, up) AS node, up AS depth, sum(own) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT node, own, n_children, unnest(range(0, depth + 1)) AS up FROM m) GROUP BY 1, 2)
+SELECT m.conv_id, m.depth, f.conv_id AS parent_conv_id, m.n_convs, m.n_children, u.n_leaves,
+  CAST(u.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM m JOIN u ON m.node = u.node AND m.depth = u.depth
+LEFT JOIN n f ON m.depth = f.depth + 1 AND list_slice(m.node, 1, m.depth - 1) = f.node""",
 }
