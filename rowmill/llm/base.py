@@ -36,4 +36,10 @@ def crc_share(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
-__all__ = ["SPACE", "WORD", "UPPER", "LOWER", "table", "words_of", "small_join", "crc_share", "stage"]
+def row_hash(docs: DataFrame) -> Column:
+    """A 128-bit hash that rows share if they are equal in every column."""
+    values = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in t else F.col(f"`{c}`") for c, t in docs.dtypes]
+    return F.struct(*[F.xxhash64(F.lit(seed), *values).alias(f"h{seed}") for seed in (1, 2)])
+
+
+__all__ = ["SPACE", "WORD", "UPPER", "LOWER", "table", "words_of", "small_join", "crc_share", "row_hash", "stage"]

@@ -12,18 +12,24 @@ The join:
   word and its place in the item.  A match fixes the alignment of the two texts;
 - length bound: the document has a window's words at least; positional bound: a
   window that holds the word at this place fits between its start and end;
-- each alignment left is verified word by word over the item's windows.
+- each alignment left is verified word by word over the item's windows that hold
+  the place, so a long item costs a match no more than a short one.
 
 Only DataFrame operations are used.  Item tables are broadcast if their measured
 size is under a limit, else joined by shuffle on the word, with both sides plain
 so that Spark splits hot words.  Items of equal words are one item until the
 end, so copies in the benchmark multiply nothing but the lists of ids.
 
-Edge cases: a null or empty text has no words; an item without words, or with a
-null item_id, is left out; repeated rows of a table are one row (documents of one
-doc_id count as one: n_words is the largest, hits are united); documents without
-doc_id are left out; without benchmark rows nothing is hit; an empty documents
-table gives an empty result; other columns are not read.
+Inside the join a document goes by a 128-bit hash of its doc_id and text, so rows
+with one doc_id, or none, are judged each by its own text; equal rows are judged
+once and counted.
+
+Edge cases: a null or empty text has no words; an item without words is left out;
+items of one item_id are one item; items without item_id hit words like any other
+and count together as one item that the list of ids lacks; every document row has
+a result row, those with a null or repeated doc_id too; without benchmark rows
+nothing is hit; an empty documents table gives an empty result; other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -31,10 +37,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowmill.llm.base import LOWER, UPPER, small_join, stage, words_of
+from rowmill.llm.base import BROADCAST_BYTES, LOWER, UPPER, small_join, stage, words_of
 
 WINDOW = 13
 SHARE = 20  # a document is contaminated if SHARE * n_hit >= n_words
+BLOCK = 1 << 12
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -45,22 +52,31 @@ def words(text: Column) -> Column:
 def item_classes(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(item_class, item_words, span) of distinct word sequences, span being the
     words of a window; and (item_class, item_id)."""
-    rows = benchmark.where("item_id IS NOT NULL").select("item_id", words(F.col("text")).alias("item_words"))
-    rows = stage(rows.where(F.size("item_words") > 0), "items")
+    rows = benchmark.select("item_id", words(F.col("text")).alias("item_words"))
+    # words hold no space, so the line tells word sequences apart
+    rows = rows.where(F.size("item_words") > 0).withColumn("item_class", F.md5(F.array_join("item_words", " ")))
+    rows = stage(rows, "items")
     classes = stage(
-        rows.groupBy("item_words").agg(F.min("item_id").alias("item_class"))
+        rows.groupBy("item_class").agg(F.first("item_words").alias("item_words"))
         .withColumn("span", F.least(F.lit(WINDOW), F.size("item_words"))), "item-classes",
     )
-    members = rows.join(classes, "item_words").select("item_class", "item_id").distinct()
-    return classes, stage(members, "item-members")
+    return classes, stage(rows.select("item_class", "item_id").distinct(), "item-members")
+
+
+def document_key(doc_id: Column, text: Column) -> Column:
+    """A value that rows share if they are equal in doc_id and text, nulls included."""
+    named = F.coalesce(F.concat(F.lit("="), doc_id.cast("string")), F.lit(""))
+    return F.unhex(F.md5(F.concat(named, F.lit("\n"), F.coalesce(text, F.lit("")))))
 
 
 def document_words(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, position (from 1) and word.  Position 0 has an empty word
-    once for each document."""
-    listed = docs.where("doc_id IS NOT NULL").select("doc_id", words(F.col("text")).alias("all_words"))
+    """doc, doc_id, n_words, position (from 1) and word.  Position 0 has an empty
+    word once for each row."""
+    listed = docs.select(
+        document_key(F.col("doc_id"), F.col("text")).alias("doc"), "doc_id", words(F.col("text")).alias("all_words")
+    )
     return listed.select(
-        "doc_id", F.size("all_words").alias("n_words"),
+        "doc", "doc_id", F.size("all_words").alias("n_words"),
         F.posexplode(F.concat(F.array(F.lit("")), "all_words")).alias("position", "word"),
     )
 
@@ -83,23 +99,31 @@ def rare_places(classes: DataFrame, docs: DataFrame) -> DataFrame:
         F.sequence(F.lit(1), F.size("shingles") - F.col("span") + 1),
         lambda s: F.array_min(F.slice("shingles", s, F.col("span"))),
     )
-    chosen = by_item.select("item_class", F.inline(F.array_distinct(windows)))
+    chosen = by_item.select("item_class", F.inline(windows)).distinct()
     # a word that no document has cannot lead to an occurrence
     return chosen.where("n > 0").select("word", "item_class", "place")
 
 
 def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_words) of every document, and (doc_id, item_ids, hits) of those
-    with occurring windows; hits are (start, end) word spans from 0."""
+    """(doc, doc_id, n_words, rows) of every document, rows being how many are equal,
+    and (doc, item_ids, unnamed, hits) of those with occurring windows; hits are
+    (start, end) word spans from 0, unnamed is 1 if items without item_id occur."""
     classes, members = item_classes(benchmark)
-    wanted = rare_places(classes, docs).join(
-        classes.select("item_class", "span", F.size("item_words").alias("item_size")), "item_class"
+    # the item's words that share a window with the place, which may be few of a long item
+    low = F.greatest(F.lit(0), F.col("place") - F.col("span") + 1)
+    high = F.least(F.size("item_words"), F.col("place") + F.col("span"))
+    places = stage(
+        rare_places(classes, docs).join(classes, "item_class").select(
+            "word", "item_class", "place", "span", F.size("item_words").alias("item_size"), low.alias("low"),
+            F.slice("item_words", low + 1, high - low).alias("here"),
+        ), "rare-places",
     )
+    wanted = places.select("word", "item_class", "place", "span", "item_size")
     marker = docs.sparkSession.range(1).select(
-        F.lit("").alias("word"), F.lit(None).cast(classes.schema["item_class"].dataType).alias("item_class"),
+        F.lit("").alias("word"), F.lit(None).cast("string").alias("item_class"),
         F.lit(0).alias("place"), F.lit(0).alias("span"), F.lit(0).alias("item_size"),
     )
-    wanted = stage(wanted.select(marker.columns).unionByName(marker), "rare-places")
+    wanted = stage(wanted.unionByName(marker), "wanted-words")
     # alignment: the document position of the item's first word, from 0
     first = F.col("position") - 1 - F.col("place")
     lowest = F.greatest(F.lit(0), F.col("place") - F.col("span") + 1, -first)
@@ -109,47 +133,53 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataF
     met = stage(
         small_join(document_words(docs), wanted, ["word"])
         .where(F.col("item_class").isNull() | (lowest <= highest))
-        .select("doc_id", "n_words", "item_class", "item_size", "span", first.alias("first")), "alignments",
+        .select("doc", "doc_id", "n_words", "item_class", "place", first.alias("first")), "alignments",
+    )
+    counted = met.where("item_class IS NULL").groupBy("doc").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.count("*").alias("rows")
     )
-    counted = met.where("item_class IS NULL").groupBy("doc_id").agg(F.max("n_words").alias("n_words"))
 
-    aligned = met.where("item_class IS NOT NULL").select("doc_id", "item_class", "item_size", "span", "first")
+    aligned = met.where("item_class IS NOT NULL").select("doc", "item_class", "place", "first").distinct()
+    known = places.select("item_class", "place", "span", "low", "here")
+    aligned = small_join(aligned, known.drop("here"), ["item_class", "place"])
     by_doc = stage(
-        aligned.distinct().groupBy("doc_id").agg(
-            F.collect_list(F.struct("item_class", "item_size", "span", "first")).alias("alignments")
+        aligned.groupBy("doc").agg(
+            F.collect_list(F.struct("item_class", "place", "span", (F.col("first") + F.col("low")).alias("first")))
+            .alias("alignments")
         ), "aligned-documents",
     )
-    texts = small_join(docs.where("doc_id IS NOT NULL").select("doc_id", "text"), by_doc, ["doc_id"])
-    texts = texts.select("doc_id", "alignments", words(F.col("text")).alias("all_words"))
+    keyed = docs.select(document_key(F.col("doc_id"), F.col("text")).alias("doc"), "text")
+    texts = small_join(keyed, by_doc, ["doc"])
+    texts = texts.select("doc", "alignments", words(F.col("text")).alias("all_words"))
+    # the document's words beside those; `first` is the position of the first, before 0 if there is none
     beside = texts.select(
-        "doc_id",
+        "doc",
         F.inline(
             F.transform(
                 "alignments",
                 lambda a: F.struct(
-                    a.item_class.alias("item_class"), a["span"].alias("span"), a["first"].alias("first"),
+                    a.item_class.alias("item_class"), a.place.alias("place"), a["first"].alias("first"),
                     F.slice(
                         "all_words", F.greatest(a["first"], F.lit(0)) + 1,
-                        a.item_size + F.least(a["first"], F.lit(0)),
+                        F.greatest(F.lit(0), 2 * a["span"] - 1 + F.least(a["first"], F.lit(0))),
                     ).alias("there"),
                 ),
             )
         ),
-    )
+    ).distinct()
     # words of the item that have none beside them, at either end, are unequal
-    known = stage(classes.select("item_class", "item_words"), "item-sequences")
     shift = F.greatest(-F.col("first"), F.lit(0))
-    equal = F.transform("item_words", lambda w, i: F.coalesce(F.get("there", i - shift) == w, F.lit(False)))
-    checked = small_join(beside, known, ["item_class"]).withColumn("equal", equal)
+    equal = F.transform("here", lambda w, i: F.coalesce(F.get("there", i - shift) == w, F.lit(False)))
+    checked = small_join(beside, known, ["item_class", "place"]).withColumn("equal", equal)
     starts = F.filter(
         F.sequence(F.lit(0), F.size("equal") - F.col("span")),
         lambda s: F.forall(F.slice("equal", s + 1, F.col("span")), lambda e: e),
     )
     hits = stage(
-        checked.select("doc_id", "item_class", "span", "first", starts.alias("starts"))
+        checked.select("doc", "item_class", "span", "first", starts.alias("starts"))
         .where(F.size("starts") > 0)
         .select(
-            "doc_id", "item_class",
+            "doc", "item_class",
             F.transform(
                 "starts",
                 lambda s: F.struct(
@@ -158,11 +188,13 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataF
             ).alias("hits"),
         ), "item-hits",
     )
-    spans = hits.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"))
-    ids = hits.select("doc_id", "item_class").distinct().join(members, "item_class").groupBy("doc_id").agg(
-        F.collect_set("item_id").alias("item_ids")
+    # equal rows found the same hits, so sets lose nothing
+    each = hits.select("doc", F.explode("hits").alias("hit")).distinct()
+    spans = each.groupBy("doc").agg(F.array_sort(F.collect_list("hit")).alias("hits"))
+    ids = hits.select("doc", "item_class").distinct().join(members, "item_class").groupBy("doc").agg(
+        F.collect_set("item_id").alias("item_ids"), F.max(F.col("item_id").isNull().cast("int")).alias("unnamed")
     )
-    return counted, spans.join(ids, "doc_id")
+    return counted, spans.join(ids, "doc")
 
 
 def _covered(hits: Column) -> Column:
@@ -178,26 +210,36 @@ def _covered(hits: Column) -> Column:
     )
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, item_ids (sorted strings), contaminated."""
+def _judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc, doc_id, n_words, n_hit, n_items, item_ids, contaminated and rows."""
     counted, found = occurrences(docs, benchmark)
     none = F.array().cast("array<string>")
     joined = counted.join(
         found.select(
-            "doc_id", _covered(F.col("hits")).alias("n_hit"),
+            "doc", _covered(F.col("hits")).alias("n_hit"), "unnamed",
             F.array_sort(F.col("item_ids").cast("array<string>")).alias("item_ids"),
-        ), "doc_id", "left",
+        ), "doc", "left",
     )
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return joined.select(
-        "doc_id", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"),
-        F.coalesce("item_ids", none).alias("item_ids"),
+        "doc", "doc_id", F.col("n_words").cast("long").alias("n_words"), n_hit.alias("n_hit"), "rows",
+        F.coalesce("item_ids", none).alias("item_ids"), F.coalesce("unnamed", F.lit(0)).alias("unnamed"),
     ).select(
-        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), "item_ids",
-        ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
+        "doc", "doc_id", "n_words", "n_hit", (F.size("item_ids") + F.col("unnamed")).cast("long").alias("n_items"),
+        "item_ids", ((F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"), "rows",
     )
 
 
+def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, item_ids (sorted strings), contaminated of every row."""
+    judged = _judged(docs, benchmark).drop("doc")
+    columns = [c for c in judged.columns if c != "rows"]
+    # rows that repeat often go out in blocks
+    blocks = judged.withColumn("block", F.explode(F.expr(f"sequence(0L, (rows - 1) div {BLOCK})")))
+    left = F.least(F.lit(BLOCK).cast("long"), F.col("rows") - F.col("block") * BLOCK)
+    return blocks.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), left))).select(*columns)
+
+
 def digest(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", "n_items",
@@ -206,6 +248,11 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated; those without doc_id stay."""
-    hit = contamination(docs, benchmark).where("contaminated").select("doc_id")
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """The rows that are not contaminated."""
+    hit = stage(_judged(docs, benchmark).where("contaminated").select(F.col("doc").alias("hit")), "contaminated")
+    rows = docs.select(
+        F.struct("*").alias("row"), document_key(F.col("doc_id"), F.col("text")).alias("doc")
+    )
+    size = hit.count() * 32
+    side = F.broadcast(hit) if size <= BROADCAST_BYTES else hit
+    return rows.join(side, F.col("doc") == F.col("hit"), "left_anti").select("row.*")

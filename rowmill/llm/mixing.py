@@ -16,9 +16,10 @@ The reduction tree.  Rows alike in doc_id, source and text are one item with a
 count; the whole part of count times p is taken at once, one fraction is left.
 Items are dealt by size into bands of BAND_BITS powers of two, and bands are
 worked off from the longest documents down, whatever the size of the input:
-- a source and size class with more than DIRECT items is dealt by hash into
-  small groups.  Each group pairs its items off in an array expression and hands
-  on at most one; 64 groups form one of the next level, until 128 are left;
+- a source and size class with more than DIRECT items of its own is dealt by hash
+  into small groups, by a number that follows from its own items.  Each group
+  pairs its items off in an array expression and hands on at most one; 64 groups
+  form one of the next level, until 128 are left;
 - what is left of a source's band is settled largest first, each item against
   all smaller ones of the band and against the pool, which is every item of the
   smaller bands together: min(p, 1 - p) of its words can move either way.  The
@@ -34,7 +35,8 @@ gives the same copies.  Only DataFrame operations are used.
 Edge cases: a null or blank text has size 0 and takes 0 words; a null source is
 a source of its own; an empty table gives an empty result; the copies of
 repeated rows differ by one at most; a null doc_id is a value like another; other columns are
-not read.
+not read by copies().  mixed() keeps them: of rows alike in doc_id, source and
+text every one takes its own copies, in the order of a hash of all columns.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from rowmill.llm.base import WORD, small_join, stage
+from rowmill.llm.base import WORD, row_hash, small_join, stage
 
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
@@ -52,6 +54,7 @@ LAST_BITS = 7
 DIRECT = 1 << 8
 BAND_BITS = 3
 BLOCK = 1 << 12
+ORDER_BITS = 12
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -185,22 +188,49 @@ def _due(docs: DataFrame) -> DataFrame:
     )
 
 
-def _settled(items: DataFrame, pool: DataFrame, most: int, band: int) -> tuple[list[DataFrame], DataFrame]:
-    """The rounded items of a band, and (named, shift): how far each pool moves, -1 to 1."""
-    done, todo, level = [], items, 0
+def _levels(n: int) -> list[int]:
+    """Hash bits of the groups on each level for n items, the finest first."""
+    if n <= DIRECT:
+        return []
     bits = LAST_BITS
-    while most >> bits + FAN_IN_BITS:
+    while n >> bits + FAN_IN_BITS:
         bits += FAN_IN_BITS
-    while most > DIRECT and bits >= LAST_BITS:
-        bucket = F.col("seed").bitwiseAND(F.lit((1 << bits) - 1))
-        keyed = todo.withColumn("size_class", F.length(F.bin("size"))).withColumn("bucket", bucket)
-        out = stage(_level(keyed, ["source", "size_class", "bucket"], level), f"pairs-{band}-{level}")
+    return list(range(bits, LAST_BITS - 1, -FAN_IN_BITS))
+
+
+def _finest() -> Column:
+    """The first of _levels(n) as a column, -1 for none."""
+    bits, found = LAST_BITS, F.when(F.col("n") <= DIRECT, -1).otherwise(LAST_BITS)
+    while bits + FAN_IN_BITS < 63:
+        found = F.when(F.shiftright("n", bits + FAN_IN_BITS) > 0, bits + FAN_IN_BITS).otherwise(found)
+        bits += FAN_IN_BITS
+    return found
+
+
+def _settled(
+    items: DataFrame, pool: DataFrame, counts: DataFrame, most: int, band: int
+) -> tuple[list[DataFrame], DataFrame]:
+    """The rounded items of a band, and (named, shift): how far each pool moves, -1
+    to 1.  counts: named, size_class and n of the band, most being the largest n.
+    A level takes the items whose own source and size class reaches it."""
+    done, todo = [], items
+    finest = stage(counts.select("named", "size_class", _finest().alias("finest")), f"finest-{band}")
+    for bits in _levels(most):
+        keyed = todo.withColumn("named", _named()).withColumn("size_class", F.length(F.bin("size")))
+        keyed = small_join(keyed, finest, ["named", "size_class"]).withColumn(
+            "bucket", F.col("seed").bitwiseAND(F.lit((1 << bits) - 1))
+        )
+        out = stage(
+            _level(keyed.where(F.col("finest") >= bits), ["source", "size_class", "bucket"], bits),
+            f"pairs-{band}-{bits}",
+        )
         done.append(out.where("extra IS NOT NULL"))
-        todo, level, bits = out.where("extra IS NULL"), level + 1, bits - FAN_IN_BITS
+        waiting = keyed.where(F.col("finest") < bits)
+        todo = out.where("extra IS NULL").select(*_KEEP, "fraction").unionByName(waiting.select(*_KEEP, "fraction"))
     sizes = F.concat(F.transform("items", lambda x: x.size.cast("double")), F.array(2 * F.coalesce("words", F.lit(0.0))))
     last = _groups(todo.withColumn("named", _named()), ["named"]).join(pool, "named", "left")
     last = last.withColumn("sizes", sizes)
-    last = stage(last.select("named", "items", F.expr(_SETTLE.format(level=level)).alias("ps")), f"settled-{band}")
+    last = stage(last.select("named", "items", F.expr(_SETTLE.format(level=0)).alias("ps")), f"settled-{band}")
     extras = F.transform(
         "items", lambda x, k: F.struct(x.alias("item"), F.get("ps", k).cast("int").alias("extra"))
     )
@@ -213,7 +243,9 @@ def _taken(docs: DataFrame) -> DataFrame:
     due = _due(docs)
     open_ = (F.col("fraction") > 0) & (F.col("size") > 0)
     done = [due.where(~open_).withColumn("extra", F.lit(0))]
-    counts = due.where(open_).groupBy("source", "band", "size_class").agg(F.count("*").alias("n"))
+    counts = stage(
+        due.where(open_).groupBy("named", "band", "size_class").agg(F.count("*").alias("n")), "class-counts"
+    )
     bands = counts.groupBy("band").agg(F.max("n")).orderBy(F.desc("band")).collect()
     # the fraction that an item has now, by source, band and the fraction it was due
     now = stage(
@@ -230,7 +262,9 @@ def _taken(docs: DataFrame) -> DataFrame:
         smaller = now.where(F.col("band") < band)
         reach = F.least("now", 1 - F.col("now"))
         pool = smaller.groupBy("named").agg(F.sum(F.col("words") * reach).alias("words"))
-        rounded, shifts = _settled(items.where(~whole), pool, most, band)
+        rounded, shifts = _settled(
+            items.where(~whole), pool, counts.where(F.col("band") == band), most, band
+        )
         done += rounded
         moved = F.col("now") + F.coalesce("shift", F.lit(0.0)) * reach
         now = stage(
@@ -267,14 +301,52 @@ def copies(docs: DataFrame) -> DataFrame:
     return whole.withColumn("taken", F.col("copies") * F.col("size"))
 
 
+def _own_copies(docs: DataFrame) -> DataFrame:
+    """same (hash of a whole row), id, key and copies of all rows that are equal in
+    every column.  n rows alike in doc_id, source and text take copies div n each;
+    the first copies % n of them, in the order of `same`, take one more."""
+    rows = docs.select(
+        F.col("doc_id").alias("id"), F.xxhash64("doc_id", "source", "text").alias("key"),
+        row_hash(docs).alias("same"),
+    )
+    rows = stage(rows.groupBy("id", "key", "same").agg(F.count("*").alias("rows")), "equal-rows")
+    taken = stage(
+        _taken(docs).groupBy("doc_id", "seed").agg(F.sum("copies").alias("all"), F.sum("n").alias("n")), "taken"
+    )
+    alike = rows.join(taken, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("seed")))
+    alike = alike.withColumn("bucket", F.shiftright("same.h1", 64 - ORDER_BITS)).drop("doc_id", "seed")
+    # rows before a row: those of earlier buckets, and the earlier ones of its own
+    sums = alike.groupBy("id", "key", "bucket").agg(F.sum("rows").alias("held"))
+    earlier = W.partitionBy("id", "key").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    bases = sums.select(
+        F.col("id").alias("base_id"), F.col("key").alias("base_key"), F.col("bucket").alias("base_bucket"),
+        F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"),
+    )
+    within = W.partitionBy("id", "key", "bucket").orderBy("same").rowsBetween(W.unboundedPreceding, -1)
+    placed = alike.join(
+        bases, F.col("id").eqNullSafe(F.col("base_id")) & (F.col("key") == F.col("base_key"))
+        & (F.col("bucket") == F.col("base_bucket")),
+    ).withColumn("first", F.col("base") + F.coalesce(F.sum("rows").over(within), F.lit(0)))
+    more = F.greatest(F.lit(0), F.least(F.col("rows"), F.col("all") % F.col("n") - F.col("first")))
+    return stage(
+        placed.select("id", "key", "same", (F.col("rows") * F.expr("all div n") + more).alias("copies"))
+        .where("copies > 0"), "own-copies",
+    )
+
+
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents, each row as often as the mix takes it."""
-    taken = stage(
-        _taken(docs).groupBy("doc_id", "seed").agg(F.sum("copies").alias("copies")).where("copies > 0"), "taken"
+    own = _own_copies(docs).select(
+        F.col("id").alias("own_id"), F.col("key").alias("own_key"), F.col("same").alias("own_same"), "copies"
+    )
+    # rows as one value, so that no column clashes; equal rows are one row here
+    keyed = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("doc_id", "source", "text").alias("key"),
+        row_hash(docs).alias("same"),
+    )
+    one = keyed.dropDuplicates(["id", "key", "same"])
+    joined = one.join(
+        own, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("key") == F.col("own_key"))
+        & (F.col("same") == F.col("own_same")),
     )
-    # rows as one value, so that no column clashes; rows that repeat have one
-    # entry in taken and are one row here
-    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("doc_id", "source", "text").alias("key"))
-    one = keyed.withColumn("id", F.col("row.doc_id")).dropDuplicates(["id", "key"])
-    joined = one.join(taken, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("seed")))
     return _times(joined.select("row", "copies"), "copies").select("row.*")

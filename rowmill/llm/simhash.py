@@ -27,10 +27,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rowmill.llm.base import stage
+from rowmill.llm.base import row_hash, small_join, stage
 from rowmill.llm.components import connected, merge_labels
 
 SHINGLE, SEED, RADIUS = 3, 42, 3
@@ -57,20 +58,19 @@ def text_fingerprint(text: bytes | None) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, *others: Column) -> DataFrame:
+    """doc_id, the fingerprint as a signed 64-bit number, and other values of the row."""
 
     def run(batches):
         for b in batches:
-            texts = b.column(1).cast(pa.binary())
+            texts = b.column("print").cast(pa.binary())
             found = np.fromiter((text_fingerprint(t.as_py()) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], ["doc_id", "print"])
+            at = b.schema.get_field_index("print")
+            yield b.set_column(at, "print", pa.array(found.view(np.int64)))
 
-    return docs.select("doc_id", "text").mapInArrow(run, _id_schema(docs) + ", print long")
-
-
-def _id_schema(docs: DataFrame) -> str:
-    return f"doc_id {docs.schema['doc_id'].dataType.simpleString()}"
+    rows = docs.select("doc_id", *others, F.col("text").alias("print"))
+    fields = [f for f in rows.schema.fields if f.name != "print"]
+    return rows.mapInArrow(run, T.StructType([*fields, T.StructField("print", T.LongType())]))
 
 
 def variants(prints: DataFrame) -> DataFrame:
@@ -184,16 +184,20 @@ def print_links(emitted: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hexadecimal digits) and component_id of each row."""
-    prints = stage(fingerprints(docs), "prints")
+def _rooted(prints: DataFrame) -> DataFrame:
+    """print and root of every fingerprint, by a table of the rows' fingerprints."""
     classes = stage(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "print-classes")
-    links = print_links(variants(classes))
-    roots = connected(links, "a", "b")
-    rooted = stage(
+    roots = connected(print_links(variants(classes)), "a", "b")
+    return stage(
         classes.join(roots.withColumnRenamed("node", "print"), "print", "left")
         .select("print", "least", F.coalesce("root", "print").alias("root")), "print-roots",
     )
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 hexadecimal digits) and component_id of each row."""
+    prints = stage(fingerprints(docs), "prints")
+    rooted = _rooted(prints)
     least = stage(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "print-components")
     named = stage(rooted.join(least, "root").select("print", "component_id"), "print-named")
     return prints.join(named, "print").select(
@@ -202,7 +206,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows that are not a later member of a component; a row without
-    doc_id stays."""
-    later = near_duplicates(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each component: the one with the smallest doc_id, null last; of
+    several such rows the smallest by a hash of all columns, and of equal rows one."""
+    prints = stage(fingerprints(docs, row_hash(docs).alias("same")), "prints")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "same")
+    # one candidate a fingerprint, then one a component
+    best = prints.groupBy("print").agg(F.min(order).alias("best"))
+    kept = _rooted(prints).join(best, "print").groupBy("root").agg(F.min("best").alias("best"))
+    kept = stage(kept.select(F.col("best.same").alias("kept")), "kept")
+    counts = stage(
+        prints.join(kept, F.col("same") == F.col("kept"), "left_semi").groupBy("same").agg(F.count("*").alias("rows")),
+        "kept-rows",
+    )
+    rows = docs.select(F.struct("*").alias("row"), row_hash(docs).alias("same"))
+    single = rows.join(counts.where("rows = 1").select("same"), "same", "left_semi")
+    many = small_join(rows, stage(counts.where("rows > 1").select("same"), "kept-equal"), ["same"])
+    return single.unionByName(many.dropDuplicates(["same"])).select("row.*")

@@ -250,7 +250,9 @@ def read(manifest: DataFrame, folder: str, chunk: int = 4096) -> DataFrame:
                         }
                     )
 
-    dealt = manifest.select("part", "n_docs", "n_null", "width", "base").repartition("part")
+    # the manifest is tiny, the files are not: a number given is not merged by bytes
+    files = manifest.select("part", "n_docs", "n_null", "width", "base")
+    dealt = files.repartitionByRange(max(1, files.count()), "part")
     return dealt.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

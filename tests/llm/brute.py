@@ -43,7 +43,7 @@ def contamination(docs, items, window=13, share=20):
         w = ITEM_WORD.findall((text or "").translate(LOWER))
         n = min(window, len(w))
         for s in range(len(w) - n + 1 if n else 0):
-            windows[tuple(w[s : s + n])].add(str(item))
+            windows[tuple(w[s : s + n])].add(None if item is None else str(item))
     out = {}
     for doc, w in words.items():
         hit, found = set(), set()
@@ -54,7 +54,8 @@ def contamination(docs, items, window=13, share=20):
                     hit.update(range(s, s + n))
                     found |= ids
         flag = bool(hit) and share * len(hit) >= len(w)
-        out[doc] = (len(w), len(hit), len(found), sha(",".join(sorted(found))), flag)
+        # items without an id count as one that the list lacks
+        out[doc] = (len(w), len(hit), len(found), sha(",".join(sorted(found - {None}))), flag)
     return out
 
 

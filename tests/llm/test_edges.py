@@ -4,6 +4,7 @@ extra columns: every operator and stage against the plain versions."""
 from __future__ import annotations
 
 import random
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +66,17 @@ def by_id(df, *columns):
     return {r[0]: tuple(r)[1:] for r in df.select(*columns).collect()}
 
 
+def test_one_of_each_of_rows_with_one_id_or_none(spark):
+    """Equal texts leave one row, whatever their ids and other columns."""
+    rows = [(None, PASSAGE, lang) for lang in ("en", "de")] + [(None, PASSAGE, "en")] * 5
+    rows += [(5, LONG, "en")] * 5 + [(5, prose(77, 80), "en"), (None, "", "fr"), (None, None, "de"), (9, LONG, "en")]
+    rows += [(8, prose(78, 90), "en"), (None, prose(78, 90), "en"), (7, prose(78, 90), "de")]
+    table = documents(spark, rows)
+    got = sorted((r.doc_id or 0, len(r.text or "")) for r in simhash.one_of_each(table).collect())
+    assert got == sorted([(0, len(PASSAGE)), (5, len(LONG)), (5, len(prose(77, 80))), (0, 0), (7, len(prose(78, 90)))])
+    assert simhash.one_of_each(table).columns == table.columns
+
+
 def test_simhash(docs):
     got = by_id(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id")
     assert got == brute.simhash([r[:2] for r in ROWS])
@@ -186,7 +198,7 @@ def test_contamination(spark, docs, joins):
     items = spark.createDataFrame([(*i, "x", 1) for i in ITEMS], "item_id long, text string, word string, place int")
     found = decontaminate.digest(decontaminate.contamination(docs, items))
     got = by_id(found, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-    assert got == brute.contamination([r[:2] for r in ROWS], [i for i in ITEMS if i[0] is not None])
+    assert got == brute.contamination([r[:2] for r in ROWS], ITEMS)
 
 
 def test_contamination_of_empty_tables(spark, docs):
@@ -195,9 +207,21 @@ def test_contamination_of_empty_tables(spark, docs):
     none = decontaminate.contamination(docs, empty(items)).collect()
     assert len(none) == len(ROWS) and not any(r.contaminated or r.n_items for r in none)
     twice = decontaminate.contamination(docs.union(docs), items)
-    assert twice.count() == len(ROWS)
-    unnamed = documents(spark, [(None, PASSAGE), (1, PASSAGE), (2, "clean words")])
-    assert [r.doc_id for r in decontaminate.clean(unnamed, items).orderBy("doc_id").collect()] == [None, 2]
+    assert twice.count() == 2 * len(ROWS)
+
+
+def test_contamination_of_rows_with_one_id_or_none(spark, con):
+    """Every row is judged by its own text, as the SQL over rows does with ids of their own."""
+    rows = [(None, PASSAGE), (None, "clean words"), (None, None), (5, PASSAGE), (5, "clean words"), (5, "clean words"),
+            (6, PASSAGE)] + [(7, PASSAGE)] * 5000
+    docs = documents(spark, rows)
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = decontaminate.digest(decontaminate.contamination(docs, items)).collect()
+    own = brute.contamination(list(enumerate(t for _, t in rows)), ITEMS)
+    expected = sorted(((i, *own[k]) for k, (i, _) in enumerate(rows)), key=repr)
+    assert sorted(map(tuple, got), key=repr) == expected
+    kept = [(r.doc_id, r.text) for r in decontaminate.clean(docs, items).collect()]
+    assert sorted(kept, key=repr) == [(5, "clean words"), (5, "clean words"), (None, "clean words"), (None, None)]
 
 
 def test_random_contamination(spark):
@@ -274,6 +298,32 @@ def test_mixed_rows(spark):
     assert {k: v for k, v in expected.items() if v} == {r.doc_id: r["count"] for r in got.groupBy("doc_id").count().collect()}
 
 
+def test_mixed_rows_that_differ_in_another_column(spark):
+    """Rows alike in doc_id, source and text take their copies each for itself."""
+    rows = [(1, "a b c", lang, "x") for lang in ("en", "de", "fr", "es", None) for _ in range(3)]
+    rows += [(i, "w " * 40, "en", "y") for i in range(2, 8)]
+    table = documents(spark, rows)
+    copies = mixing.copies(table).where("source = 'x'").collect()
+    each = {r.copies for r in copies}
+    got = [r.lang for r in mixing.mixed(table).collect() if r.source == "x"]
+    assert len(got) == sum(r.copies for r in copies) > 0
+    for lang in ("en", "de", "fr", "es", None):
+        assert 3 * min(each) <= got.count(lang) <= 3 * max(each)
+    assert min(each) >= 1 and max(each) <= min(each) + 1
+
+
+def test_mixing_of_a_source_by_itself(spark):
+    """What a source takes does not follow from the number of another's documents."""
+    def taken(n):
+        rows = [(i, prose(i, 20), "en", "a") for i in range(300)]
+        words = 300 * 20
+        rows += [(1000 + i, " ".join(["w"] * (words // n)), "en", "b") for i in range(n)]
+        found = mixing.copies(documents(spark, rows)).where("source = 'a'").collect()
+        return {r.doc_id: r.copies for r in found}
+
+    assert taken(10) == taken(600)
+
+
 VECTORS = [
     (1, [1.0, 0.0, 0.0, 0.0]), (2, [9.0, 3.0, 3.0, 1.0]), (3, [2.0, 0.0, 0.0, 0.0]), (4, None), (5, []),
     (6, [0.0, 0.0, 0.0, 0.0]), (7, [1.0, None, 0.0, 0.0]), (8, [float("nan"), 1.0, 0.0, 0.0]),
@@ -360,6 +410,68 @@ def test_language(spark, docs):
     assert kept.columns == docs.columns and not {1, 2, 3} & {r.doc_id for r in kept.collect()}
 
 
+SYLLABLES = {
+    "en": "th ing er on re nd in ha the wh".split(), "es": "ción que los ñ de rr as el ado en".split(),
+    "de": "sch ung ich ü en ver ge ß keit ein".split(),
+    "fi": "kk aa ssa yö än lla isu tta jo hy".split(), "pl": "szcz ów się ż ego prz yk cie ł wa".split(),
+}
+
+
+def speech(lang, seed, n):
+    draw = random.Random(f"{lang}{seed}")
+    return " ".join("".join(draw.choices(SYLLABLES[lang], k=draw.randrange(1, 4))) for _ in range(n))
+
+
+def spoken(spark):
+    """Documents in three learnt languages, and of two others without a label."""
+    rows = [(i, speech(k, i, 3 + i % 60), k) for j, k in enumerate(("en", "es", "de")) for i in range(j, 3000, 3)]
+    rows += [(10_000 + i, speech(k, i, 20 + i % 60), None) for j, k in enumerate(("fi", "pl")) for i in range(j, 200, 2)]
+    return rows, documents(spark, [(*r, "s") for r in rows])
+
+
+def test_language_against_exact_sets(spark):
+    """Filters give what sets of all learnt trigrams give, but for false positives."""
+    rows, table = spoken(spark)
+    sets = {}
+    for i, text, lang in rows:
+        if lang and zlib.crc32(str(i).encode()) % 5:
+            sets.setdefault(lang, set()).update(language.grams(text).tolist())
+    got = {r.doc_id: r for r in language.identify(table).collect()}
+    assert len(got) == len(rows)
+    for i, text, lang in rows:
+        found = language.grams(text).tolist()
+        shares = {k: sum(g in s for g in found) / len(found) for k, s in sets.items()}
+        r = got[i]
+        assert r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+        assert abs(r.score - max(shares.values())) < 0.1 and shares[r.lang_pred] >= max(shares.values()) - 0.1
+        assert lang is None or r.lang_pred == lang or len(found) < 12
+
+
+def test_unlearnt_languages_are_rejected(spark):
+    rows, table = spoken(spark)
+    kept = {r.doc_id for r in language.recognised(table).collect()}
+    known = [i for i, _, lang in rows if lang]
+    assert sum(i in kept for i in known) >= 0.995 * len(known)  # the shortest have three words
+    assert sum(i not in kept for i, _, lang in rows if lang is None) >= 0.9 * 200
+
+
+def test_letters(spark):
+    """Numerals that are no decimal digits are no letters."""
+    for text in ("²", "½ ³", "Ⅷ", "12 ٣", "_", ""):
+        assert not len(language.grams(text)), text
+    assert language.grams("a½b").tolist() == language.grams("a b").tolist()
+    table = documents(spark, [(i, speech("en", i, 30), "en", "s") for i in range(50)] + [(99, "½ ³", "en", "s")])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(table).collect()}
+    assert got.pop(99) == ("und", 0.0) and {p for p, _ in got.values()} == {"en"}
+
+
+def test_levels():
+    many = [("en", 8, 950, 1), ("en", 8, 980, 999), ("en", 8, 990, 1000), ("en", 4, 700, 5), ("de", 8, 0, 1), ("de", 8, 999, 300)]
+    got = language.levels(many)
+    assert got["en", 8] == pytest.approx(0.98 - language.SLACK)  # one of two thousand is under it
+    assert got["en", 4] == 0 and got["en", 12] == got["en", 8] and got["de", 8] == 0
+
+
 def test_many_languages(spark):
     """More languages than one mask slice holds."""
     names = [f"l{i:03d}" for i in range(150)]
