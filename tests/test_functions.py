@@ -25,10 +25,10 @@ def tables():
 
 
 @pytest.mark.parametrize("name,values", list(tables()))
-@pytest.mark.parametrize("accuracy,fetch", [(10_000, 50_000), (20, 10)])
-def test_exact_quantiles(spark, monkeypatch, name, values, accuracy, fetch):
-    """With a coarse sketch and a small fetch the search takes many rounds."""
-    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+@pytest.mark.parametrize("bits,fetch", [(16, 50_000), (16, 0), (13, 10)])
+def test_exact_quantiles(spark, monkeypatch, name, values, bits, fetch):
+    """With nothing, or little, to fetch the search takes all its passes."""
+    monkeypatch.setattr(quantiles, "DIGIT_BITS", bits)
     monkeypatch.setattr(quantiles, "FETCH_ROWS", fetch)
     df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(5)
     found = quantiles.exact_quantiles(df, ["x"], PROBABILITIES)["x"]
@@ -36,7 +36,6 @@ def test_exact_quantiles(spark, monkeypatch, name, values, accuracy, fetch):
 
 
 def test_quantiles_of_many_columns_share_one_budget(spark, monkeypatch):
-    monkeypatch.setattr(quantiles, "ACCURACY", 100)
     monkeypatch.setattr(quantiles, "FETCH_ROWS", 600)
     names = [f"c{i}" for i in range(40)]
     df = spark.range(6000).select(
@@ -59,6 +58,31 @@ def test_quantiles_of_many_columns_share_one_budget(spark, monkeypatch):
         np.testing.assert_allclose(found[c], np.quantile(table[c], [0.25, 0.5, 0.75]), rtol=1e-12)
 
 
+def test_quantiles_read_the_source_once(spark, monkeypatch):
+    """Every value is computed once, and the codes are scanned at most five times."""
+    monkeypatch.setattr(quantiles, "FETCH_ROWS", 0)
+    met, scans = spark.sparkContext.accumulator(0), []
+
+    def noted(batches):
+        for b in batches:
+            met.add(len(b))
+            yield b
+
+    counted = quantiles._counted
+    monkeypatch.setattr(quantiles, "_counted", lambda *given: scans.append(1) or counted(*given))
+    df = spark.range(5000).select((F.col("id") % 700).cast("double").alias("x"), F.lit(3.0).alias("y"))
+    found = quantiles.exact_quantiles(df.mapInPandas(noted, "x double, y double"), ["x", "y"], [0.25, 0.5])
+    assert found["y"] == [3.0, 3.0] and met.value == 5000
+    assert 1 + len(scans) <= 5  # the first scan counts present values
+
+
+def test_order_codes():
+    values = np.array([-np.inf, -1e300, -1.5, -1e-310, -0.0, 0.0, 5e-324, 1.0, 1e300, np.inf])
+    codes = quantiles.order_codes(values)
+    assert (np.diff(codes) >= 0).all() and codes[4] == codes[5]
+    assert [quantiles.code_value(int(c)) for c in codes] == [*values[:4], 0.0, 0.0, *values[6:]]
+
+
 def test_quantiles_leave_missing_values_out(spark):
     rows = [(1.0, 1), (float("nan"), 2), (None, 3), (3.0, None)]
     df = spark.createDataFrame(rows, "x double, n int")
