@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowmill.functions.columns import col, require
 from rowmill.functions.scalar import column_label, map_values
-from rowmill.operators.lookup import BROADCAST_ROWS
+from rowmill.operators.lookup import within_bounds
 from rowmill.sources.workdir import stage
 
 INLINE_LABELS = 64
@@ -28,12 +28,16 @@ def apply_ordinal(df: DataFrame, mappings: Mapping[str, Mapping[str, int]]) -> D
 class LabelIndex:
     """The labels of one column with their codes 0, 1, 2, ...
 
-    ``codes`` holds them when they are few; a larger vocabulary stays a table.
+    ``codes`` holds all of them when they are few.  A larger vocabulary is a
+    table, and ``heavy`` has the codes of its most frequent labels.  ``small`` says
+    that the table's measured size allows a broadcast.
     """
 
     column: str
     codes: dict[object, int] | None
     table: DataFrame  # (value, code)
+    heavy: dict[object, int] = field(default_factory=dict)
+    small: bool = True
 
 
 def fit_label_index(
@@ -45,22 +49,34 @@ def fit_label_index(
     ``alphabet``: value order.
     ``first_seen``: by the smallest ``order_by`` of the label, since the rows
     of a Spark table have no order of their own.
+
+    At most INLINE_LABELS + 1 labels reach the driver.
     """
     require(df, [column] + ([order_by] if order_by else []))
     if order == "first_seen" and order_by is None:
         raise ValueError("order='first_seen' needs an order_by column")
+    n = F.count(F.lit(1))
     rank = {
-        "frequency": lambda: -F.count(F.lit(1)),
+        "frequency": lambda: -n,
         "alphabet": lambda: F.lit(0),
         "first_seen": lambda: F.min(col(order_by)),
     }[order]()
     value = col(column)
-    labels = df.filter(value.isNotNull()).groupBy(value.alias("value")).agg(rank.alias("rank"))
-    head = labels.orderBy("rank", "value").limit(BROADCAST_ROWS + 1).collect()
-    if len(head) <= BROADCAST_ROWS:
+    labels = df.filter(value.isNotNull()).groupBy(value.alias("value")).agg(rank.alias("rank"), n.alias("n"))
+    head = labels.orderBy("rank", "value").limit(INLINE_LABELS + 1).collect()
+    if len(head) <= INLINE_LABELS:
         codes = {r["value"]: i for i, r in enumerate(head)}
         return LabelIndex(column, codes, _code_table(df, column, codes))
-    return LabelIndex(column, None, _number_many(labels))
+    return index_of(column, _number(labels))
+
+
+def index_of(column: str, coded: DataFrame) -> LabelIndex:
+    """The index of a table (value, code, n) that is written already."""
+    few = coded.limit(INLINE_LABELS + 1).collect()
+    if len(few) <= INLINE_LABELS:
+        return LabelIndex(column, {r["value"]: r["code"] for r in few}, coded.select("value", "code"))
+    heavy = {r["value"]: r["code"] for r in coded.orderBy(F.desc("n"), "code").limit(INLINE_LABELS).collect()}
+    return LabelIndex(column, None, coded.select("value", "code"), heavy, within_bounds(coded))
 
 
 def _code_table(df: DataFrame, column: str, codes: Mapping[object, int]) -> DataFrame:
@@ -68,8 +84,9 @@ def _code_table(df: DataFrame, column: str, codes: Mapping[object, int]) -> Data
     return df.sparkSession.createDataFrame(list(codes.items()), f"value {kind}, code bigint")
 
 
-def _number_many(labels: DataFrame) -> DataFrame:
-    """Codes for a large vocabulary, without sorting it in one task.
+def _number(labels: DataFrame) -> DataFrame:
+    """(value, code, n) in the order of rank and value, written, without sorting
+    the labels in one task.
 
     Spark sorts by ranges; the generated id holds a row's partition and its
     place there.  The sorted labels are written once, then each place is shifted
@@ -77,7 +94,7 @@ def _number_many(labels: DataFrame) -> DataFrame:
     """
     numbered = stage(
         labels.orderBy("rank", "value").select(
-            "value", F.monotonically_increasing_id().alias("id")
+            "value", "n", F.monotonically_increasing_id().alias("id")
         ),
         "labels",
     )
@@ -86,10 +103,10 @@ def _number_many(labels: DataFrame) -> DataFrame:
     counts = numbered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    return (
-        numbered.select("value", part.alias("part"), place.alias("place"))
+    return stage(
+        numbered.select("value", part.alias("part"), place.alias("place"), "n")
         .join(F.broadcast(offsets), "part")
-        .select("value", (F.col("before") + F.col("place")).alias("code"))
+        .select("value", (F.col("before") + F.col("place")).alias("code"), "n"), "label-codes",
     )
 
 
@@ -97,26 +114,56 @@ def apply_label_index(
     df: DataFrame, index: LabelIndex, output: str | None = None, unseen: int | None = None
 ) -> DataFrame:
     """Replace labels by codes (or add ``output``), long integers whatever the
-    size of the vocabulary; unseen and null give ``unseen``, by default null."""
+    size of the vocabulary; unseen and null give ``unseen``, by default null.
+
+    Heavy labels are literals.  In a shuffled join their rows, and those of null,
+    have no partner to meet, so they are dealt over all tasks by a hash of the row.
+    """
     require(df, [index.column])
     name = output or index.column
-    if index.codes is not None and len(index.codes) <= INLINE_LABELS:
-        code = map_values(col(index.column), index.codes).cast("bigint")
+    value = col(index.column)
+    if index.codes is not None:
+        code = map_values(value, index.codes).cast("bigint")
         return df.withColumn(name, F.coalesce(code, F.lit(unseen)).cast("bigint"))
     table = index.table.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
-    if index.codes is not None:
-        table = F.broadcast(table)
-    joined = df.join(table, col(index.column) == F.col("_value"), "left")
-    code = F.coalesce("_code", F.lit(unseen)).cast("bigint")
-    return joined.withColumn(name, code).drop("_value", "_code")
+    if index.small:
+        joined = df.join(F.broadcast(table), value == F.col("_value"), "left")
+        code = F.coalesce("_code", F.lit(unseen)).cast("bigint")
+        return joined.withColumn(name, code).drop("_value", "_code")
+    heavy = map_values(value, index.heavy).cast("bigint")
+    joined = _join_apart(df, value, heavy, table, "_value")
+    code = F.coalesce("_heavy", "_code", F.lit(unseen)).cast("bigint")
+    return joined.withColumn(name, code).drop("_value", "_code", "_heavy")
+
+
+def _join_apart(df: DataFrame, key: Column, heavy: Column, table: DataFrame, on: str) -> DataFrame:
+    """Left join on ``key`` in which rows with a ``heavy`` value, kept as such, or
+    without a key meet nothing: they are shuffled by a hash of the whole row."""
+    apart = key.isNull() | heavy.isNotNull()
+    row = F.xxhash64(*[col(c) for c, t in df.dtypes if "map<" not in t])
+    marked = df.withColumns(
+        {
+            "_heavy": heavy,
+            "_key": F.when(~apart, key),
+            "_deal": F.when(apart, row).otherwise(F.xxhash64(key)),
+        }
+    )
+    # the hash is part of the key on both sides, else rows without a key would share a task
+    partners = table.withColumn("_partner", F.xxhash64(on))
+    meets = (F.col("_key") == F.col(on)) & (F.col("_deal") == F.col("_partner"))
+    return marked.join(partners, meets, "left").drop("_key", "_deal", "_partner")
 
 
 def invert_label_index(df: DataFrame, index: LabelIndex, coded: str, output: str) -> DataFrame:
     """Codes back to labels."""
     table = index.table.select(F.col("value").alias(output), F.col("code").alias("_code"))
-    if index.codes is not None:
-        table = F.broadcast(table)
-    return df.join(table, col(coded) == F.col("_code"), "left").drop("_code")
+    if index.small:
+        return df.join(F.broadcast(table), col(coded) == F.col("_code"), "left").drop("_code")
+    labels = {code: label for label, code in index.heavy.items()}
+    heavy = map_values(col(coded), labels).cast(index.table.schema["value"].dataType)
+    table = table.withColumnRenamed(output, "_label")
+    joined = _join_apart(df, col(coded), heavy, table, "_code")
+    return joined.withColumn(output, F.coalesce("_heavy", "_label")).drop("_label", "_code", "_heavy")
 
 
 def fit_one_hot(
@@ -125,7 +172,7 @@ def fit_one_hot(
     """The sorted labels of each column, all columns in one aggregation.
 
     Indicators become table columns, so a column with more labels than a table
-    can hold is an error; ``fit_one_hot_vector`` has no such limit.
+    can hold is an error; ``fit_indicators`` has no such limit.
     """
     columns = list(columns)
     require(df, columns)
@@ -191,3 +238,44 @@ def fit_one_hot_vector(df: DataFrame, column: str, output: str):
 
 def apply_one_hot_vector(df: DataFrame, model, column: str) -> DataFrame:
     return model.transform(df).drop(f"_{column}_position")
+
+
+@dataclass(frozen=True)
+class Indicators:
+    """A column's indicator slots: labels in value order, unseen ones and null last."""
+
+    index: LabelIndex
+    slots: int
+
+
+def fit_indicators(df: DataFrame, column: str) -> Indicators:
+    """Slots for any number of labels; the vocabulary is a table, not a list."""
+    index = fit_label_index(df, column, "alphabet")
+    return Indicators(index, 1 + (len(index.codes) if index.codes is not None else index.table.count()))
+
+
+def apply_indicators(df: DataFrame, fitted: Indicators, output: str) -> DataFrame:
+    """Adds ``output``, a sparse vector with a one in the slot of the row's label."""
+    from pyspark.ml.feature import OneHotEncoder
+
+    unseen = fitted.slots - 1
+    slot = f"_{output}_slot"
+    # the encoder takes its number of slots from the largest one it is shown
+    largest = df.sparkSession.createDataFrame([(float(unseen),)], f"`{slot}` double")
+    encoder = OneHotEncoder(inputCol=slot, outputCol=output, dropLast=False).fit(largest)
+    coded = apply_label_index(df, fitted.index, slot, unseen)
+    return encoder.transform(coded.withColumn(slot, col(slot).cast("double"))).drop(slot)
+
+
+def one_hot(df: DataFrame, columns: Sequence[str], form: str = "columns") -> DataFrame:
+    """Encode columns by their own labels: ``columns`` gives one 0/1 column per
+    label, ``vectors`` one sparse vector ``{column}_vector`` per column, for any
+    number of labels.  The original columns are dropped."""
+    if form == "columns":
+        return apply_one_hot(df, fit_one_hot(df, columns))
+    if form != "vectors":
+        raise ValueError(f"unknown form '{form}'")
+    out = df
+    for c in columns:
+        out = apply_indicators(out, fit_indicators(df, c), f"{c}_vector").drop(c)
+    return out

@@ -26,6 +26,21 @@ class Lookup:
         return F.broadcast(self.table) if self.rows is not None else self.table
 
 
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows of a table and their bytes as text, in one aggregation."""
+    size = F.sum(F.octet_length(F.to_json(F.struct(*[col(c) for c in df.columns]))))
+    rows, taken = df.agg(F.count(F.lit(1)), size).collect()[0]
+    return rows, taken or 0
+
+
+def within_bounds(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether a written table is small enough to be broadcast."""
+    rows, taken = measure(df)
+    return rows <= max_rows and taken <= max_bytes
+
+
 def bounded(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> Lookup:
@@ -37,9 +52,8 @@ def bounded(
     handling.
     """
     held = stage(df, "lookup")
-    size = F.sum(F.octet_length(F.to_json(F.struct(*[col(c) for c in held.columns]))))
-    rows, taken = held.agg(F.count(F.lit(1)), size).collect()[0]
-    return Lookup(held, rows if rows <= max_rows and (taken or 0) <= max_bytes else None)
+    rows, taken = measure(held)
+    return Lookup(held, rows if rows <= max_rows and taken <= max_bytes else None)
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -7,8 +7,7 @@ from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowmill.operators.encode import LabelIndex
-from rowmill.operators.lookup import BROADCAST_ROWS
+from rowmill.operators.encode import LabelIndex, index_of
 
 SCHEMA = "operator string, column string, value string"
 
@@ -52,16 +51,21 @@ def _label_path(path: str, column: str) -> str:
 
 
 def save_label_index(index: LabelIndex, path: str) -> None:
-    label_table(index).write.mode("overwrite").parquet(_label_path(path, index.column))
+    """The map, and for its heavy labels a rank, so that a loaded index treats
+    them apart as the fitted one does."""
+    from pyspark.sql import functions as F
+
+    codes = list(index.heavy.values())
+    weight = F.coalesce(F.array_position(F.lit(codes[::-1]), F.col("code")), F.lit(0)) if codes else F.lit(0)
+    label_table(index).withColumn("n", weight.cast("bigint")).write.mode("overwrite").parquet(
+        _label_path(path, index.column)
+    )
 
 
-def load_label_index(
-    spark: SparkSession, path: str, column: str, inline: int = BROADCAST_ROWS
-) -> LabelIndex:
+def load_label_index(spark: SparkSession, path: str, column: str) -> LabelIndex:
     """An absent map, or one without rows, is an error: it would code all as null."""
-    table = spark.read.parquet(_label_path(path, column)).select("value", "code")
-    head = table.limit(inline + 1).collect()
-    if not head:
+    table = spark.read.parquet(_label_path(path, column)).select("value", "code", "n")
+    index = index_of(column, table)
+    if index.codes == {}:
         raise ValueError(f"no labels of {column} in {path}")
-    codes = {r["value"]: r["code"] for r in head} if len(head) <= inline else None
-    return LabelIndex(column, codes, table)
+    return index

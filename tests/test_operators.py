@@ -1,6 +1,7 @@
 """Edge cases of the table operators on literal tables."""
 
 import math
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -235,19 +236,72 @@ def test_label_order(spark):
         encode.fit_label_index(df, "s", "first_seen")
 
 
-@pytest.mark.parametrize("order", ["frequency", "alphabet"])
-def test_large_vocabulary(spark, monkeypatch, order):
-    df = spark.range(6000).select(
-        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("w"), F.col("id") % 1500)).alias("s")
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("order", ["frequency", "alphabet", "first_seen"])
+def test_large_vocabulary(spark, monkeypatch, order, small):
+    """Codes of a vocabulary that no driver holds; one label fills half the table."""
+    text = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 97 == 0, None).otherwise(
+        F.concat(F.lit("w"), F.col("id") % 1500)
     )
-    few = encode.fit_label_index(df, "s", order)
-    assert few.codes is not None
-    monkeypatch.setattr(encode, "BROADCAST_ROWS", 100)
-    many = encode.fit_label_index(df, "s", order)
-    assert many.codes is None
-    assert {r["value"]: r.code for r in many.table.collect()} == few.codes
-    coded = encode.apply_label_index(df, many, "code")
-    assert {(r.s, r.code) for r in coded.collect()} == set(few.codes.items())
+    df = spark.range(6000).select("id", text.alias("s"))
+    counts, first = {}, {}
+    for r in df.collect():
+        if r.s is not None:
+            counts[r.s] = counts.get(r.s, 0) + 1
+            first.setdefault(r.s, r.id)
+    key = {"frequency": lambda v: (-counts[v], v), "alphabet": lambda v: v, "first_seen": first.get}[order]
+    expected = {v: i for i, v in enumerate(sorted(counts, key=key))}
+    kind, fetched = type(df), []
+    collect = kind.collect
+
+    def counted(self):
+        rows = collect(self)
+        fetched.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(kind, "collect", counted)
+    index = encode.fit_label_index(df, "s", order, "id" if order == "first_seen" else None)
+    assert max(fetched) <= encode.INLINE_LABELS + 1
+    monkeypatch.undo()
+    assert index.codes is None and index.small and index.heavy["hot"] == expected["hot"]
+    assert {r["value"]: r.code for r in index.table.collect()} == expected
+    index = replace(index, small=small)
+    coded = encode.apply_label_index(df, index, "code", unseen=-1)
+    assert {(r.id, r.code) for r in coded.collect()} == {
+        (r.id, -1 if r.s is None else expected[r.s]) for r in df.collect()
+    }
+    back = encode.invert_label_index(coded, index, "code", "again")
+    assert back.filter("NOT (s <=> again)").count() == 0 and back.count() == 6000
+
+
+def test_hot_label_is_dealt_over_tasks(spark):
+    """In the shuffled join the rows of a label that fills half the table do not meet in one task."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("s"), "id")
+    index = replace(encode.fit_label_index(df, "s"), small=False)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        coded = encode.apply_label_index(df, index, "code")
+        sizes = [r["count"] for r in coded.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(sizes) > 1 and max(sizes) < 1.2 * 20_000 / len(sizes)
+
+
+def test_indicators_of_many_labels(spark):
+    df = spark.range(60_000).select("id", (F.col("id") % 50_000).cast("string").alias("s"))
+    with pytest.raises(ValueError):
+        encode.one_hot(df, ["s"])
+    coded = encode.one_hot(df, ["s"], "vectors")
+    assert coded.columns == ["id", "s_vector"]
+    order = {v: i for i, v in enumerate(sorted(map(str, range(50_000))))}
+    for r in coded.filter(F.col("id") % 7_001 == 0).collect():
+        assert r.s_vector.size == 50_001 and r.s_vector.indices.tolist() == [order[str(r.id % 50_000)]]
+    fitted = encode.fit_indicators(df.filter("id < 3"), "s")
+    new = spark.createDataFrame([("1",), ("9",), (None,)], "s string")
+    got = encode.apply_indicators(new, fitted, "v").collect()
+    assert [r.v.indices.tolist() for r in got] == [[1], [3], [3]]
 
 
 def test_unseen_labels(spark):
