@@ -2,8 +2,16 @@
 
 Models are registered with their default parameters, and every row of the table
 takes part in every fit.  The grids are ``operators.models.GRIDS``, whole, but
-for the boosted one, of which a part is tried: it is 240 fits, each as long as
-``mod_4_boosted_trees`` or longer (66 s at sf0.01).
+for the boosted one, which has all its 48 combinations with a fiftieth of the
+rounds: whole it is 120 fits of 200 rounds, each twice ``mod_4_boosted_trees``.
+Depth limits in ``trn_8``, ``mod_6`` and the scoring queries serve to show
+another operator.
+
+What SQL can say of a model: the predictions are written, and the cells counted
+from them add up to the classes of the table; the accuracy recomputed from them
+is the reported one; a model that always gives the larger class fails.  A tree of
+one cut, and mean probabilities of models that are calibrated on their own rows,
+are checked by value.
 """
 
 from __future__ import annotations
@@ -12,9 +20,10 @@ from pyspark.sql import functions as F
 
 from rowmill.catalog.base import CHURN, KEPT, churn, filled, kept, query, rounded, table
 from rowmill.functions.columns import col
+from rowmill.functions.scalar import vector_element
 from rowmill.operators import evaluate, models, tuning
 from rowmill.operators.score import score
-from rowmill.operators.split import stratified_folds, stratified_split
+from rowmill.operators.split import split_parts, stratified_folds, stratified_split
 from rowmill.operators.vectors import assemble
 from rowmill.sources import workdir
 
@@ -34,35 +43,47 @@ def vectors(spark, d, folds: int | None = None):
     return assemble(rows.withColumn("label", F.col("Exited").cast("double")), FEATURES, keep)
 
 
-def _fitted(spark, d, name, **params):
-    """One row: the model's size, and what its predictions on its own rows say:
-    rows by class, and the majority share unless the accuracy is below it."""
-    data = vectors(spark, d).persist()
+def _written(spark, d, name, data=None, **params):
+    """A fitted model with the accuracy it reports, and its predictions on its own
+    rows as a written table."""
+    data = (vectors(spark, d) if data is None else data).persist()
     try:
         rows = data.count()
         model, accuracy = tuning.fit(data, models.build_model(name, rows, **params))
-        predicted = model.transform(data).groupBy("label", "prediction").count().collect()
+        predictions = workdir.stage(
+            model.transform(data).select("label", F.col("prediction").cast("int").alias("prediction"), *[
+                c for c in model.transform(data).columns if c in ("probability", "leaf")
+            ]), f"predictions-{name}",
+        )
     finally:
         data.unpersist()
-    stage = model.stages[-1]
-    trees = getattr(stage, "getNumTrees", None)
-    classes = [sum(r["count"] for r in predicted if r["label"] == c) for c in (0, 1)]
-    reached = min(accuracy, max(classes) / rows)
-    out = [(name, rows, stage.numFeatures, trees if isinstance(trees, int) else 1, *classes, reached)]
-    return rounded(
-        spark.createDataFrame(
-            out,
-            "model string, rows bigint, num_features int, num_trees int, class0 bigint, class1 bigint, reached double",
-        )
+    return model.stages[-1], accuracy, predictions
+
+
+def _fitted(spark, d, name, **params):
+    """One row: the model's size, and what its written predictions say: rows by
+    class, whether the accuracy in them is the reported one, and whether it gives
+    both classes and is no worse than always giving the larger one."""
+    model, accuracy, predictions = _written(spark, d, name, **params)
+    trees = getattr(model, "getNumTrees", None)
+    y, p = F.col("label"), F.col("prediction")
+    right, rows = F.count_if(y == p), F.count(F.lit(1))
+    larger = F.greatest(F.count_if(y == 0), F.count_if(y == 1))
+    return predictions.agg(
+        F.lit(name).alias("model"), rows.alias("rows"), F.lit(model.numFeatures).alias("num_features"),
+        F.lit(trees if isinstance(trees, int) else 1).alias("num_trees"),
+        (F.count_if((y == 0) & (p == 0)) + F.count_if((y == 0) & (p == 1))).alias("class0"),
+        (F.count_if((y == 1) & (p == 0)) + F.count_if((y == 1) & (p == 1))).alias("class1"),
+        (F.abs(right / rows - F.lit(accuracy)) < 1e-9).alias("accuracy_agrees"),
+        (right >= larger).alias("reaches_majority"),
     )
 
 
 def _fitted_sql(name: str, trees: int) -> str:
-    """The row of a model that does no worse than always saying the larger class."""
+    """The row of a model whose cells add up."""
     return KEPT + f"""SELECT '{name}' AS model, count(*) AS rows, {len(FEATURES)} AS num_features,
       {trees} AS num_trees, count(*) FILTER (Exited = 0) AS class0, count(*) FILTER (Exited = 1) AS class1,
-      round(greatest(count(*) FILTER (Exited = 0), count(*) FILTER (Exited = 1)) / count(*)::DOUBLE, 6) AS reached
-      FROM kept"""
+      true AS accuracy_agrees, true AS reaches_majority FROM kept"""
 
 
 @query("mod_1_logistic_regression", _fitted_sql("logistic_regression", 1))
@@ -70,6 +91,62 @@ def _(spark, d):
     return _fitted(spark, d, "logistic_regression")
 
 
+def _calibrated(spark, d, name, digits, **params):
+    """Mean probability of class 1, and rows, over the written predictions."""
+    _, _, predictions = _written(spark, d, name, **params)
+    mean = F.avg(vector_element(F.col("probability"), 1))
+    return predictions.agg(F.count(F.lit(1)).alias("rows"), F.round(mean, digits).alias("mean_probability"))
+
+
+@query(
+    "mod_1_mean_probability",
+    KEPT + "SELECT count(*) AS rows, round(avg(Exited), 4) AS mean_probability FROM kept",
+)
+def _(spark, d):
+    """At the optimum of a loss with a free intercept, probabilities add up to the positives."""
+    return _calibrated(spark, d, "logistic_regression", 4, tol=1e-12)
+
+
+@query(
+    "mod_2_mean_probability",
+    KEPT + "SELECT count(*) AS rows, round(avg(Exited), 9) AS mean_probability FROM kept",
+)
+def _(spark, d):
+    """The leaves of a tree hold the shares of the rows it was fitted to."""
+    return _calibrated(spark, d, "decision_tree", 9, max_depth=8)
+
+
+STEPS = ["Tenure", "NumOfProducts", "HasCrCard", "IsActiveMember"]  # features of few values
+
+
+def _cut_sql() -> str:
+    """The best single cut by Gini impurity, over all cuts between neighbouring values."""
+    y = "(NumOfProducts + Tenure / 4.0 > 3)::INT AS y"
+    each = " UNION ALL ".join(f"SELECT {i} AS f, {c}::DOUBLE AS x, {y} FROM kept" for i, c in enumerate(STEPS))
+    return KEPT + f""", v AS ({each}), g AS (SELECT f, x, count(*) AS n, sum(y) AS k FROM v GROUP BY f, x),
+    c AS (SELECT f, x, sum(n) OVER w AS ln, sum(k) OVER w AS lk, sum(n) OVER (PARTITION BY f) AS n,
+      sum(k) OVER (PARTITION BY f) AS k FROM g WINDOW w AS (PARTITION BY f ORDER BY x)),
+    s AS (SELECT *, lk * (ln - lk) / ln::DOUBLE + (k - lk) * ((n - ln) - (k - lk)) / (n - ln)::DOUBLE AS impurity
+      FROM c WHERE ln < n),
+    b AS (SELECT * FROM s ORDER BY impurity LIMIT 1)
+    SELECT 0 AS leaf, ln::BIGINT AS rows, lk::BIGINT AS positives FROM b
+    UNION ALL SELECT 1, (n - ln)::BIGINT, (k - lk)::BIGINT FROM b"""
+
+
+@query("mod_2_best_cut", _cut_sql())
+def _(spark, d):
+    """A tree of depth 1 finds the cut that SQL finds by trying all of them.  Spark
+    joins leaves that say the same class, so the class to learn is one that a
+    single cut can tell in part."""
+    label = (F.col("NumOfProducts") + F.col("Tenure") / 4.0 > 3).cast("double")
+    rows = kept(spark, d).withColumn("label", label)
+    data = assemble(rows, STEPS, ["label"])
+    _, _, predictions = _written(spark, d, "decision_tree", data, max_depth=1, leafCol="leaf")
+    return predictions.groupBy(F.col("leaf").cast("int").alias("leaf")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("label") == 1).alias("positives")
+    )
+
+
 @query("mod_2_decision_tree", _fitted_sql("decision_tree", 1))
 def _(spark, d):
     return _fitted(spark, d, "decision_tree", max_depth=12, criterion="log_loss")
@@ -97,17 +174,33 @@ def _(spark, d):
     return _fitted(spark, d, "gradient_boosting")
 
 
+# sizes of the models that are fitted by name; the defaults are fitted above
+SMALL = {
+    "boosted_trees": {"n_estimators": 5, "max_depth": 4}, "gradient_boosting": {"n_estimators": 5, "max_depth": 4},
+    "random_forest": {"n_estimators": 10, "max_depth": 5}, "decision_tree": {"max_depth": 5},
+}
+
+
 @query(
     "mod_6_models_by_name",
-    CHURN
-    + """SELECT m AS model, count(*) AS rows FROM churn, (VALUES ('boosted_trees'), ('decision_tree'),
-    ('gradient_boosting'), ('logistic_regression'), ('random_forest'), ('svm')) t(m) GROUP BY m""",
+    KEPT
+    + """SELECT m AS model, Exited AS label, count(*) AS rows, count(*) AS predicted FROM kept,
+    (VALUES ('boosted_trees'), ('decision_tree'), ('gradient_boosting'), ('logistic_regression'), ('random_forest'),
+      ('svm')) t(m) GROUP BY ALL""",
 )
 def _(spark, d):
-    """Rows that each known model would be built for."""
-    built = {m: models.build_model(m) for m in models.available_models()}
-    names = F.explode(F.array(*[F.lit(m) for m in built])).alias("model")
-    return churn(spark, d).select(names).groupBy("model").agg(F.count(F.lit(1)).alias("rows"))
+    """Each known model is fitted, and gives every row of every class one of the two classes."""
+    data = vectors(spark, d)
+    tables = []
+    for name in models.available_models():
+        _, _, predictions = _written(spark, d, name, data, **SMALL.get(name, {}))
+        tables.append(predictions.select(F.lit(name).alias("model"), F.col("label").cast("int"), "prediction"))
+    both = tables[0]
+    for t in tables[1:]:
+        both = both.unionByName(t)
+    return both.groupBy("model", "label").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("prediction").isin(0, 1)).alias("predicted")
+    )
 
 
 @query("trn_1_fit_accuracy", _fitted_sql("decision_tree", 1))
@@ -189,13 +282,59 @@ def _(spark, d):
     return _best(spark, d, "random_forest")
 
 
+@query(
+    "trn_3_best_fold_scores",
+    KEPT
+    + f"""SELECT Exited AS label, count(*) AS rows, count(*) AS scored FROM (SELECT Exited,
+      row_number() OVER (PARTITION BY Exited ORDER BY ('0x' || substr(md5('42:' || CustomerId), 1, 8))::BIGINT, CustomerId)
+      <= floor(0.2 * count(*) OVER (PARTITION BY Exited)) AS test FROM kept) WHERE test GROUP BY Exited""",
+)
+def _(spark, d):
+    """The model of the best fold, read from the store, scores the test part."""
+    rows = stratified_split(filled(spark, d), "CustomerId", "Exited")
+    train, test = split_parts(rows)
+    dealt = stratified_folds(train, "CustomerId", "Exited", 6)
+    keep = ["label", "fold"]
+    table = assemble(dealt.withColumn("label", F.col("Exited").cast("double")), FEATURES, keep)
+    result = tuning.cross_validate(table, "decision_tree", keep_fold_models=True, params={"max_depth": 6})
+    scored = tuning.score_best_fold(result, assemble(test, FEATURES, ["Exited"]))
+    return scored.groupBy(F.col("Exited").alias("label")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("prediction").isin(0.0, 1.0)).alias("scored")
+    )
+
+
 @query("trn_6_boosted_grid")
 def _(spark, d):
-    grid = {"n_estimators": [3], "max_depth": [3], "learning_rate": [0.1, 0.2], "subsample": [0.8, 1.0]}
+    """All 48 combinations over 5 folds with refit; the rounds are a fiftieth."""
+    grid = {**models.GRIDS["boosted_trees"], "n_estimators": [2, 4]}
     result = tuning.grid_search(
-        vectors(spark, d, 5), "boosted_trees", grid, scoring="accuracy", parallelism=8, refit=False
+        vectors(spark, d, 5), "boosted_trees", grid, scoring="accuracy", parallelism=8
     )
-    return result.table(spark).select("params", "mean_test_score", "std_test_score", "rank_test_score")
+    best = F.col("combination") == result.best_index
+    return result.table(spark).select(
+        "params", "mean_test_score", "std_test_score", "rank_test_score", best.alias("refitted")
+    )
+
+
+def _grid_rows_sql(combinations: int, folds: int) -> str:
+    """Every combination scores every row of every fold once."""
+    return KEPT + f""", dealt AS (SELECT Exited, ntile({folds}) OVER (PARTITION BY Exited
+      ORDER BY ('0x' || substr(md5('42:' || CustomerId), 1, 8))::BIGINT, CustomerId) - 1 AS fold FROM kept)
+    SELECT combination::INT AS combination, fold, Exited AS label, count(*) AS rows
+    FROM dealt, range({combinations}) t(combination) GROUP BY ALL"""
+
+
+def _grid_rows(result, spark):
+    return result.cell_table(spark).groupBy("combination", "fold", "label").agg(F.sum("count").alias("rows"))
+
+
+@query("trn_6_grid_rows", _grid_rows_sql(48, 5))
+def _(spark, d):
+    """Two rounds and one are one fit, yet both are scored on all held-out rows."""
+    grid = {**models.GRIDS["boosted_trees"], "n_estimators": [1, 2]}
+    data = vectors(spark, d, 5)
+    result = tuning.grid_search(data, "boosted_trees", grid, scoring="accuracy", parallelism=8, refit=False)
+    return _grid_rows(result, spark)
 
 
 @query("trn_7_result_table")
@@ -204,6 +343,38 @@ def _(spark, d):
     return tuning.grid_search(data, "decision_tree", scoring="accuracy", refit=False).table(spark)
 
 
+@query("trn_7_grid_rows", _grid_rows_sql(12, 5))
+def _(spark, d):
+    data = vectors(spark, d, 5)
+    return _grid_rows(tuning.grid_search(data, "decision_tree", scoring="accuracy", refit=False), spark)
+
+
+@query(
+    "trn_7_table_agrees",
+    "SELECT 12 AS combinations, 12 AS mean_agrees, 12 AS rank_agrees, 12 AS parameters_agree, 12 AS timed",
+)
+def _(spark, d):
+    """Means, ranks and parameter columns recomputed from the table and the held-out cells."""
+    result = tuning.grid_search(vectors(spark, d, 5), "decision_tree", scoring="accuracy", refit=False)
+    right = F.sum(F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0))
+    by_fold = result.cell_table(spark).groupBy("combination", "fold").agg((right / F.sum("count")).alias("accuracy"))
+    means = by_fold.groupBy("combination").agg(F.avg("accuracy").alias("mean"))
+    found = workdir.stage(result.table(spark).join(means, "combination"), "results")
+    ranks = found.alias("a").join(found.alias("b"), F.col("b.mean_test_score") > F.col("a.mean_test_score"), "left")
+    ahead = ranks.groupBy(F.col("a.combination").alias("combination")).agg(F.count("b.combination").alias("ahead"))
+    given = F.from_json("params", "max_depth int, criterion string")
+    return found.join(ahead, "combination").agg(
+        F.count(F.lit(1)).cast("int").alias("combinations"),
+        F.count_if(F.abs(F.col("mean") - F.col("mean_test_score")) < 1e-9).cast("int").alias("mean_agrees"),
+        F.count_if(F.col("rank_test_score") == F.col("ahead") + 1).cast("int").alias("rank_agrees"),
+        F.count_if(
+            (F.col("param_max_depth").cast("int") == given["max_depth"])
+            & (F.trim(F.lit('"'), F.col("param_criterion")) == given["criterion"])
+        ).cast("int").alias("parameters_agree"),
+        F.count_if((F.col("mean_fit_time") > 0) & (F.col("mean_score_time") > 0)).cast("int").alias("timed"),
+    )
+
+
 @query("trn_8_saved_model", KEPT + "SELECT count(*) AS rows, count(*) AS equal FROM kept")
 def _(spark, d):
     data = vectors(spark, d)
@@ -292,6 +463,34 @@ def _(spark, d):
     return rounded(evaluate.extended_metrics(_rule(spark, d), "y", "yhat", "q"))
 
 
+@query(
+    "evl_4_summary_rows",
+    KEPT
+    + f"""SELECT count(*) FILTER (NOT test) AS train_rows, count(*) FILTER (test) AS test_rows,
+      {len(FEATURES)} AS num_features, true AS metrics_agree FROM (SELECT row_number() OVER (PARTITION BY Exited
+      ORDER BY ('0x' || substr(md5('42:' || CustomerId), 1, 8))::BIGINT, CustomerId)
+      <= floor(0.2 * count(*) OVER (PARTITION BY Exited)) AS test FROM kept)""",
+)
+def _(spark, d):
+    """Rows of both parts, and the metrics once more from the written test predictions."""
+    from rowmill.plans.training import scored_test, train
+
+    rows = stratified_split(filled(spark, d), "CustomerId", "Exited").select(
+        "CustomerId", *[col(f) for f in FEATURES], "Exited", "split"
+    )
+    summary, model = train(rows, "decision_tree", max_depth=6)
+    predictions = workdir.stage(scored_test(rows, model), "test-predictions")
+    again = evaluate.classification_metrics(predictions, "Exited", "prediction")
+    names = ["accuracy", "precision", "recall", "f1"]
+    again = again.select(*[F.col(n).alias(f"again_{n}") for n in names])
+    agree = F.lit(True)
+    for n in names:
+        agree = agree & (F.abs(F.col(n) - F.col(f"again_{n}")) < 1e-9)
+    return summary.join(F.broadcast(again)).select(
+        "train_rows", "test_rows", "num_features", agree.alias("metrics_agree")
+    )
+
+
 @query("evl_4_training_summary")
 def _(spark, d):
     from rowmill.plans.training import train

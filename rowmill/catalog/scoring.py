@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from rowmill.catalog.base import CHURN, KEPT, churn, kept, query, rounded, table
 from rowmill.operators import impute, models, score, tuning
-from rowmill.plans.preparation import prepare, prepare_records, split_records
+from rowmill.plans.preparation import prepare, prepare_records
 from rowmill.plans import training
-from rowmill.plans.scoring import load_scorer, score_records, score_table
+from rowmill.plans.scoring import Scorer, load_scorer, save_scorer, score_records, score_table
 from rowmill.plans.settings import Settings
 from rowmill.plans.state import load_state
 from rowmill.plans.training import features_of, training_table
@@ -106,6 +106,60 @@ def _(spark, d):
     return rounded(spark.read.parquet(path))
 
 
+COMPLETE_SQL = CHURN + """SELECT count(*) FILTER (Age IS NOT NULL AND CreditScore BETWEEN 300 AND 850) AS scored,
+      count(*) FILTER (Age IS NULL) AS missing,
+      count(*) FILTER (Age IS NOT NULL AND NOT CreditScore BETWEEN 300 AND 850) AS not_prepared,
+      count(*) AS total FROM churn"""
+
+
+def _kinds(rows, *names):
+    """Numbers of scored and rejected records by the kind of reason."""
+    kind = F.split(F.coalesce("reject_reason", F.lit("scored")), ":")[0]
+    return rows.select(*names, kind.alias("kind")).groupBy(*names).agg(
+        F.count_if(F.col("kind") == "scored").alias("scored"),
+        F.count_if(F.col("kind").isin("missing", "empty record")).alias("missing"),
+        F.count_if(F.col("kind") == "not prepared").alias("not_prepared"),
+        F.count(F.lit(1)).alias("total"),
+    )
+
+
+def _default_scorer(spark, d):
+    """A scorer under the default settings, which leave some records unprepared."""
+    settings = Settings()
+    prepared, state = prepare(churn(spark, d), settings)
+    features = features_of(prepared, settings.key, settings.target)
+    data = training_table(prepared, settings.key, settings.target, features)
+    model, _ = tuning.fit(data, models.build_model("decision_tree", max_depth=5))
+    return Scorer(model, state, settings, tuple(features))
+
+
+@query("sco_3_complete", COMPLETE_SQL)
+def _(spark, d):
+    """Every record of a table is in the saved scores or in the saved rejects."""
+    path = workdir.new_path(spark, "sco3-complete")
+    found = _default_scorer(spark, d).score_table(
+        churn(spark, d), required=["Age"], save_path=f"{path}/scored", rejects_path=f"{path}/rejected"
+    )
+    scored = spark.read.parquet(f"{path}/scored").select(F.lit(None).cast("string").alias("reject_reason"))
+    both = scored.unionByName(spark.read.parquet(f"{path}/rejected").select("reject_reason"))
+    return _kinds(both.filter(F.lit(found.num_scored + found.num_rejected) == both.count()))
+
+
+@query(
+    "sco_3_scorer_keeps_records",
+    CHURN
+    + """SELECT CustomerId, CreditScore BETWEEN 300 AND 850 AS scored,
+      CASE WHEN NOT CreditScore BETWEEN 300 AND 850 THEN 'not prepared: CreditScoreBins' END AS reject_reason
+    FROM churn""",
+)
+def _(spark, d):
+    """Without any further argument a stored scorer answers for each record."""
+    path = workdir.new_path(spark, "sco3-scorer")
+    save_scorer(spark, _default_scorer(spark, d), path)
+    found = load_scorer(spark, path).score(churn(spark, d))
+    return found.select("CustomerId", F.col("status").isNotNull().alias("scored"), "reject_reason")
+
+
 @query(
     "sco_3_sampled_scores",
     CHURN
@@ -117,7 +171,7 @@ def _(spark, d):
     scored = score_table(
         churn(spark, d), model, state, SETTINGS, features, sample_size=100, return_proba=False
     )
-    return scored.select("CustomerId", F.col("status").isin("Churn", "Retain").alias("scored"))
+    return scored.scored.select("CustomerId", F.col("status").isin("Churn", "Retain").alias("scored"))
 
 
 def _landed(spark, d):
@@ -197,41 +251,30 @@ def _(spark, d):
     return parts[0].unionByName(parts[1])
 
 
-@query(
-    "str_2_complete",
-    CHURN
-    + """SELECT count(*) FILTER (Age IS NOT NULL AND CreditScore BETWEEN 300 AND 850) AS scored,
-      count(*) FILTER (Age IS NULL) AS missing,
-      count(*) FILTER (Age IS NOT NULL AND NOT CreditScore BETWEEN 300 AND 850) AS not_prepared,
-      count(*) AS total FROM churn""",
-)
+@query("str_2_complete", COMPLETE_SQL)
 def _(spark, d):
     """Under the default settings every record is scored or rejected."""
-    settings = Settings()
-    prepared, state = prepare(churn(spark, d), settings)
-    features = features_of(prepared, settings.key, settings.target)
-    data = training_table(prepared, settings.key, settings.target, features)
-    model, _ = tuning.fit(data, models.build_model("decision_tree", max_depth=5))
+    return _streamed_kinds(spark, d, lambda scorer: scorer)
+
+
+@query("str_2_complete_by_function", COMPLETE_SQL)
+def _(spark, d):
+    """The same of a scoring function, and without a splitter."""
+    return _streamed_kinds(spark, d, lambda scorer: scorer.score)
+
+
+def _streamed_kinds(spark, d, chosen):
     folder, schema = _landed(spark, d)
     output, checkpoint = workdir.new_path(spark, "complete"), workdir.new_path(spark, "complete-checkpoint")
     streams.score_batches(
         streams.read_stream(spark, folder, schema, files_per_batch=2),
-        lambda df: score_records(df, model, state, settings, features),
+        chosen(_default_scorer(spark, d)),
         ["Age"],
         output,
         checkpoint,
-        lambda df: split_records(df, state, settings, features, ["Age"]),
     ).awaitTermination()
-    scored = spark.read.parquet(f"{output}/scored").select(F.lit("scored").alias("kind"))
-    reason = F.split(F.col("reject_reason"), ":")[0]
-    rejected = spark.read.parquet(f"{output}/rejected").select(reason.alias("kind"))
-    kind = F.col("kind")
-    return scored.unionByName(rejected).agg(
-        F.count_if(kind == "scored").alias("scored"),
-        F.count_if(kind.isin("missing", "empty record")).alias("missing"),
-        F.count_if(kind == "not prepared").alias("not_prepared"),
-        F.count(F.lit(1)).alias("total"),
-    )
+    scored = spark.read.parquet(f"{output}/scored").select(F.lit(None).cast("string").alias("reject_reason"))
+    return _kinds(scored.unionByName(spark.read.parquet(f"{output}/rejected").select("reject_reason")))
 
 
 @query(

@@ -5,9 +5,11 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 
+from pyspark import SparkContext
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
+    GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -54,6 +56,12 @@ GRIDS: dict[str, dict[str, list]] = {
         "max_depth": [8, 12],
         "criterion": ["gini", "entropy", "log_loss"],
     },
+    "random_forest_deep": {
+        "n_estimators": [100, 200],
+        "max_depth": [10, 15, None],
+        "min_samples_leaf": [1, 2],
+        "random_state": [42],
+    },
     "boosted_trees": {
         "n_estimators": [100, 200],
         "max_depth": [5, 10],
@@ -65,6 +73,33 @@ GRIDS: dict[str, dict[str, list]] = {
 }
 
 
+# Models whose first n rounds are the model of n rounds, and the parameter that counts them.
+ROUNDS = {"boosted_trees": "maxIter", "gradient_boosting": "maxIter"}
+
+
+def truncated(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model of the first ``rounds`` trees.
+
+    Boosting adds a tree at a time with a seed of its own number, so this is what
+    a fit of that many rounds with the same seed gives.
+    """
+    if not 0 < rounds <= model.getNumTrees:
+        raise ValueError(f"{rounds} rounds of a model of {model.getNumTrees}")
+    gateway = SparkContext._active_spark_context._gateway
+    java = gateway.jvm.org.apache.spark.ml
+    given, weights = model._java_obj.trees(), model.treeWeights
+    trees = gateway.new_array(java.regression.DecisionTreeRegressionModel, rounds)
+    kept = gateway.new_array(gateway.jvm.double, rounds)
+    for i in range(rounds):
+        trees[i], kept[i] = given[i], float(weights[i])
+    made = java.classification.GBTClassificationModel(
+        f"{model.uid}_{rounds}", trees, kept, model.numFeatures, model.numClasses
+    )
+    short = GBTClassificationModel(made)
+    short.setFeaturesCol(model.getFeaturesCol()).setPredictionCol(model.getPredictionCol())
+    return short.setRawPredictionCol(model.getRawPredictionCol()).setProbabilityCol(model.getProbabilityCol())
+
+
 def available_models() -> list[str]:
     return sorted(ESTIMATORS)
 
@@ -90,6 +125,7 @@ def spark_params(model: str, params: Mapping[str, object]) -> dict[str, object]:
     for name, value in params.items():
         target = names.get(name, name)
         if target == "maxDepth" and value is None:
+            log.warning("%s: unlimited depth becomes %s, the deepest that Spark builds", model, MAX_DEPTH)
             value = MAX_DEPTH
         if target == "impurity" and value == "log_loss":
             value = "entropy"

@@ -15,7 +15,7 @@ from rowmill.operators.vectors import assemble
 
 
 def status_text(prediction: Column) -> Column:
-    return F.when(prediction == 1, F.lit("Churn")).otherwise(F.lit("Retain"))
+    return F.when(prediction == 1, F.lit("Churn")).when(prediction.isNotNull(), F.lit("Retain"))
 
 
 def with_status(
@@ -29,32 +29,47 @@ def with_status(
 
 
 def score(
-    df: DataFrame, model: Model, features: Sequence[str], keep: Sequence[str] = ()
+    df: DataFrame, model: Model, features: Sequence[str], keep: Sequence[str] = (), reason: str | None = None
 ) -> DataFrame:
     """Kept columns, class, probability of class 1, status and confidence.
 
-    Rows with a missing feature are kept out; ``split_rejects`` returns them.
+    Every row has one row in the result.  Where a feature is missing there is no
+    score: the four are null, and ``reason`` names a column that says why.
     """
     if model is None:
         raise ValueError("no model")
-    vectors = assemble(df, features, keep)
-    scored = model.transform(vectors)
+    helper = reason or "_reason"
+    marked = df.withColumn(helper, unprepared_reason(df, features))
+    scored = model.transform(assemble(marked, features, [*keep, helper], invalid="keep"))
+    usable = col(helper).isNull()
     if "probability" in scored.columns:
-        probability = vector_element(F.col("probability"), 1)
+        probability = F.when(usable, vector_element(F.col("probability"), 1))
     else:  # a linear SVM has a margin only
         probability = F.lit(None).cast("double")
-    return with_status(
+    out = with_status(
         scored.select(
             *[col(c) for c in keep],
-            F.col("prediction").cast("int").alias("prediction"),
+            F.when(usable, F.col("prediction").cast("int")).alias("prediction"),
             probability.alias("probability"),
+            col(helper),
         )
     )
+    order = [*keep, "prediction", "probability", "status", "confidence"] + ([reason] if reason else [])
+    return out.select(*[col(c) for c in order])
+
+
+def unprepared_reason(df: DataFrame, features: Sequence[str]) -> Column:
+    """Which features a row lacks; null for a row that can be scored."""
+    require(df, features)
+    absent = F.array_compact(F.array(*[F.when(is_missing(df, c), F.lit(c)) for c in features]))
+    return F.when(F.size(absent) > 0, F.concat(F.lit("not prepared: "), F.array_join(absent, ",")))
 
 
 def reject_reason(df: DataFrame, required: Sequence[str]) -> Column:
-    """Why a record cannot be scored; null for a good one."""
+    """Why a record cannot be scored; null for a good one, and where nothing is required."""
     require(df, required)
+    if not required:
+        return F.lit(None).cast("string")
     absent = [F.when(is_missing(df, c), F.lit(c)) for c in required]
     names = F.array_compact(F.array(*absent))
     return F.when(F.size(names) == len(required), F.lit("empty record")).when(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import statistics
 import time
 from collections.abc import Mapping, Sequence
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 
 from rowmill.functions.columns import col
 from rowmill.operators.evaluate import metrics_of
-from rowmill.operators.models import GRIDS, build_model, spark_params
-from rowmill.sources.workdir import use_checkpoints
+from rowmill.operators.models import DEFAULTS, GRIDS, ROUNDS, build_model, spark_params, truncated
+from rowmill.sources.workdir import new_path, use_checkpoints
 
 SCORES = ("accuracy", "precision", "recall", "f1")
+ROWS_PER_TASK = 20_000
 
 
 def fit(df: DataFrame, estimator: Estimator) -> tuple[PipelineModel, float]:
@@ -30,7 +32,8 @@ def fit(df: DataFrame, estimator: Estimator) -> tuple[PipelineModel, float]:
     held = df.storageLevel.useMemory or df.storageLevel.useDisk
     data = df if held else df.persist()
     try:
-        model = Pipeline(stages=[estimator]).fit(data)
+        data_rows = data.count()
+        model = Pipeline(stages=[estimator]).fit(_few_partitions(data, data_rows))
         cells = _confusion(model.transform(data), estimator.getLabelCol())
     finally:
         if not held:
@@ -66,7 +69,10 @@ class SearchResult:
     scores: list[list[dict[str, float]]]  # [combination][fold]
     fit_times: list[list[float]]
     scoring: str
-    fold_models: dict[int, Model] = field(default_factory=dict)
+    # where the models of the best combination are stored, by fold
+    fold_models: dict[int, str] = field(default_factory=dict)
+    manifest: list[tuple[int, int, str]] = field(default_factory=list)  # combination, fold, path
+    score_times: list[list[float]] = field(default_factory=list)
     best_model: PipelineModel | None = None
     # [combination][fold]: held-out rows by (label, prediction)
     cells: list[list[dict[tuple[int, int], int]]] = field(default_factory=list)
@@ -100,11 +106,13 @@ class SearchResult:
         return self.means()[self.best_index]
 
     def table(self, spark) -> DataFrame:
-        """One row per combination: times, split scores, mean, deviation, rank."""
+        """One row per combination: fit and score times, the parameters together
+        and each by itself as text, split scores, mean, deviation, rank."""
         k = len(self.scores[0])
+        names = sorted({name for c in self.combinations for name in c})
         rows = []
-        for i, (params, folds, times) in enumerate(
-            zip(self.combinations, self.scores, self.fit_times)
+        for i, (params, folds, times, scoring_times) in enumerate(
+            zip(self.combinations, self.scores, self.fit_times, self.score_times)
         ):
             values = [f[self.scoring] for f in folds]
             rows.append(
@@ -112,20 +120,29 @@ class SearchResult:
                     self.model,
                     i,
                     json.dumps(params, sort_keys=True),
+                    *[json.dumps(params[n]) if n in params else None for n in names],
                     statistics.fmean(times),
                     statistics.pstdev(times),
+                    statistics.fmean(scoring_times),
+                    statistics.pstdev(scoring_times),
                     *values,
                     statistics.fmean(values),
                     statistics.pstdev(values),
                 )
             )
         splits = ", ".join(f"split{i}_test_score double" for i in range(k))
+        each = "".join(f"`param_{n}` string, " for n in names)
         schema = (
-            "model string, combination int, params string, mean_fit_time double, "
-            f"std_fit_time double, {splits}, mean_test_score double, std_test_score double"
+            f"model string, combination int, params string, {each}mean_fit_time double, std_fit_time double, "
+            f"mean_score_time double, std_score_time double, {splits}, mean_test_score double, std_test_score double"
         )
         return rank_scores(spark.createDataFrame(rows, schema))
 
+    def model_table(self, spark) -> DataFrame:
+        """The stored models: (model, combination, fold, path)."""
+        rows = [(self.model, *m) for m in self.manifest]
+        return spark.createDataFrame(rows, "model string, combination int, fold int, path string")
+
     def score_table(self, spark) -> DataFrame:
         """Mean of every score (model, combination, score, mean)."""
         rows = [
@@ -171,12 +188,18 @@ def grid_search(
 
     Every combination is fitted once per fold and all scores come from one
     confusion table, instead of one fit per score.  Combinations that mean the
-    same to Spark are fitted once.
+    same to Spark are fitted once.  Of boosted models that differ in their number
+    of rounds only the longest is fitted; the others are its first rounds.
+
+    With ``keep_fold_models`` every fitted model goes to the shared folder at
+    once, and a manifest says where; the driver holds no more models than are
+    being fitted, which is ``parallelism``.
     """
     if scoring not in SCORES:
         raise ValueError(f"unknown score '{scoring}', known: {SCORES}")
     use_checkpoints(df.sparkSession)
     combinations = grid_of(model, grid)
+    store = new_path(df.sparkSession, "fold-models") if keep_fold_models else None
     data = df.select("features", "label", fold).persist()
     with_session = inheritable_thread_target(df.sparkSession)
     pool = ThreadPool(parallelism)
@@ -184,21 +207,33 @@ def grid_search(
         sizes = {r[0]: r[1] for r in data.groupBy(col(fold)).count().collect()}
         total, folds = sum(sizes.values()), sorted(sizes)
         keys = [json.dumps(spark_params(model, c), sort_keys=True) for c in combinations]
-        distinct = dict(zip(keys, combinations))
+        longest = _longest(model, dict(zip(keys, combinations)))
         results: dict[tuple[str, int], tuple] = {}
+        sized = _few_partitions(data, total)
 
         def run(task):
             key, f = task
+            estimator = build_model(model, total - sizes[f], **{**fixed, **longest[key][0]})
             start = time.perf_counter()
-            estimator = build_model(model, total - sizes[f], **{**fixed, **distinct[key]})
-            fitted = estimator.fit(data.filter(col(fold) != f))
-            spent = time.perf_counter() - start
-            cells = _confusion(fitted.transform(data.filter(col(fold) == f)), "label")
-            return task, metrics_of(cells), spent, fitted if keep_fold_models else None, cells
-
-        tasks = [(key, f) for key in distinct for f in folds]
-        for task, *found in pool.imap_unordered(with_session(run), tasks):
-            results[task] = tuple(found)
+            fitted = estimator.fit(sized.filter(col(fold) != f))
+            spent, found = time.perf_counter() - start, []
+            held_out = sized.filter(col(fold) == f)
+            for short, rounds in longest[key][1].items():
+                whole = rounds is None or rounds == fitted.getNumTrees
+                one = fitted if whole else truncated(fitted, rounds)
+                start = time.perf_counter()
+                cells = _confusion(one.transform(held_out), "label")
+                scored = time.perf_counter() - start
+                path = f"{store}/combination={keys.index(short)}/fold={f}" if store else None
+                if path:
+                    save_model(PipelineModel([one]), path)
+                share = 1.0 if whole else rounds / fitted.getNumTrees
+                found.append(((short, f), metrics_of(cells), spent * share, path, cells, scored))
+            return found
+
+        for found in pool.imap_unordered(with_session(run), [(key, f) for key in longest for f in folds]):
+            for task, *values in found:
+                results[task] = tuple(values)
         result = SearchResult(
             model,
             combinations,
@@ -206,19 +241,45 @@ def grid_search(
             [[results[key, f][1] for f in folds] for key in keys],
             scoring,
             cells=[[results[key, f][3] for f in folds] for key in keys],
+            score_times=[[results[key, f][4] for f in folds] for key in keys],
         )
         if keep_fold_models:
+            result.manifest = [(i, f, results[key, f][2]) for i, key in enumerate(keys) for f in folds]
             best_key = keys[result.best_index]
             result.fold_models = {f: results[best_key, f][2] for f in folds}
         if refit:
             estimator = build_model(model, rows or total, **{**fixed, **result.best_params})
-            result.best_model = Pipeline(stages=[estimator]).fit(data)
+            result.best_model = Pipeline(stages=[estimator]).fit(sized)
         return result
     finally:
         pool.close()
         data.unpersist()
 
 
+def _few_partitions(data: DataFrame, rows: int) -> DataFrame:
+    """An iterative fit runs many jobs over its rows; a small table in many
+    partitions pays for the tasks.  A large one stays as it is."""
+    return data.coalesce(max(1, math.ceil(rows / ROWS_PER_TASK)))
+
+
+def _longest(model: str, distinct: dict[str, dict]) -> dict[str, tuple[dict, dict[str, int | None]]]:
+    """Key of each model to fit -> its parameters, and the keys that it answers
+    for with their number of rounds."""
+    name = ROUNDS.get(model)
+    if name is None:
+        return {key: (params, {key: None}) for key, params in distinct.items()}
+    groups: dict[str, list[tuple[int, str]]] = {}
+    for key, params in distinct.items():
+        known = spark_params(model, {**DEFAULTS[model], **params})
+        rounds = known.pop(name)
+        groups.setdefault(json.dumps(known, sort_keys=True), []).append((rounds, key))
+    out = {}
+    for members in groups.values():
+        key = max(members)[1]
+        out[key] = (distinct[key], {short: rounds for rounds, short in members})
+    return out
+
+
 def cross_validate(df: DataFrame, model: str, fold: str = "fold", **options) -> SearchResult:
     """k-fold scores of one model with its given or default parameters."""
     params = {k: [v] for k, v in options.pop("params", {}).items()}
@@ -226,11 +287,18 @@ def cross_validate(df: DataFrame, model: str, fold: str = "fold", **options) ->
 
 
 def best_fold_model(result: SearchResult) -> tuple[int, Model]:
-    """The fold with the highest score, and the model fitted without it."""
+    """The fold with the highest score, and the model fitted without it, from
+    the store."""
     folds = sorted(result.fold_models)
     scores = [s[result.scoring] for s in result.scores[result.best_index]]
     best = folds[scores.index(max(scores))]
-    return best, result.fold_models[best]
+    return best, load_model(result.fold_models[best]).stages[-1]
+
+
+def score_best_fold(result: SearchResult, test: DataFrame) -> DataFrame:
+    """Predictions of the best fold's model on rows that no fold held: label,
+    prediction and what the model adds."""
+    return best_fold_model(result)[1].transform(test)
 
 
 def compare_models(

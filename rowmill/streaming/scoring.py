@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rowmill.operators.evaluate import prediction_summary
 from rowmill.operators.score import split_rejects
+from rowmill.plans.scoring import SCORES, Scorer, split_marked
 
 
 def read_stream(
@@ -53,7 +54,7 @@ def score_stream(
 
 def score_batches(
     records: DataFrame,
-    scorer: Callable[[DataFrame], DataFrame],
+    scorer: Scorer | Callable[[DataFrame], DataFrame],
     required: Sequence[str],
     output: str,
     checkpoint: str,
@@ -62,23 +63,40 @@ def score_batches(
     """Per micro-batch: scored rows, rejected records and a metrics row, in
     ``scored``, ``rejected`` and ``metrics`` below the output path.
 
-    ``splitter`` parts a batch into records to score and rejects with a reason;
-    by default it looks at the required columns.  One that also looks at the
-    prepared features (``plans.preparation.split_records``) loses no record.
+    A ``Scorer`` marks a batch in one pass: a record that lacks a required value,
+    or a feature after the preparation, is rejected with its reason.  A function
+    scores what ``splitter`` lets through, by default the records with all
+    required columns; what it returns with a ``reject_reason`` is rejected too.
+    Scored and rejected rows have to add up to the batch, else the batch fails.
     """
     root = output.rstrip("/")
 
-    def write(table: DataFrame, name: str, batch: int) -> None:
-        table.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch}")
+    def write(table: DataFrame, name: str, batch: int) -> DataFrame:
+        path = f"{root}/{name}/batch_id={batch}"
+        table.write.mode("overwrite").parquet(path)
+        return table.sparkSession.read.schema(table.schema).parquet(path)
+
+    def parts_of(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        if isinstance(scorer, Scorer) and splitter is None:
+            return split_marked(scorer.mark(batch, required).persist())
+        good, bad = splitter(batch) if splitter else split_rejects(batch, required)
+        scored = (scorer.score if isinstance(scorer, Scorer) else scorer)(good)
+        if "reject_reason" not in scored.columns:
+            return scored, bad
+        refused = scored.filter(F.col("reject_reason").isNotNull()).drop(*SCORES)
+        return (
+            scored.filter(F.col("reject_reason").isNull()).drop("reject_reason"),
+            bad.unionByName(refused, allowMissingColumns=True).select(bad.columns),
+        )
 
     def one_batch(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
-            good, bad = splitter(batch) if splitter else split_rejects(batch, required)
-            write(scorer(good), "scored", number)
-            write(bad, "rejected", number)
-            scored = batch.sparkSession.read.parquet(f"{root}/scored/batch_id={number}")
-            write(prediction_summary(scored), "metrics", number)
+            good, bad = parts_of(batch)
+            scored, rejected = write(good, "scored", number), write(bad, "rejected", number)
+            summary = write(prediction_summary(scored), "metrics", number).first()
+            if summary["num_predictions"] + rejected.count() != batch.count():
+                raise ValueError(f"batch {number}: scored and rejected records do not add up to the batch")
         finally:
             batch.unpersist()
 

@@ -149,6 +149,61 @@ def test_grid_search(spark, data):
     assert result.best_model.transform(data).count() == 300
 
 
+def test_first_rounds_are_the_shorter_model(data):
+    """A truncated ensemble gives what a fit of that many rounds gives."""
+    options = {"max_depth": 3, "learning_rate": 0.2, "subsample": 0.7, "colsample_bytree": 0.5}
+    long = models.build_model("boosted_trees", n_estimators=6, **options).fit(data)
+    for rounds in (1, 4, 6):
+        short = models.build_model("boosted_trees", n_estimators=rounds, **options).fit(data)
+        cut = models.truncated(long, rounds)
+        assert cut.getNumTrees == rounds and cut.treeWeights == short.treeWeights
+        both = [m.transform(data).orderBy("id").select("rawPrediction", "prediction").collect() for m in (short, cut)]
+        assert both[0] == both[1]
+    for rounds in (0, 7):
+        with pytest.raises(ValueError):
+            models.truncated(long, rounds)
+
+
+def test_rounds_share_a_fit(spark, data, monkeypatch):
+    grid = {"n_estimators": [1, 3], "max_depth": [1, 2]}
+    alone = [
+        tuning.grid_search(data, "boosted_trees", {k: [v] for k, v in c.items()}, refit=False).scores[0]
+        for c in tuning.grid_of("boosted_trees", grid)
+    ]
+    fitted, build = [], tuning.build_model
+    monkeypatch.setattr(tuning, "build_model", lambda *a, **k: fitted.append(k) or build(*a, **k))
+    result = tuning.grid_search(data, "boosted_trees", grid, refit=False)
+    assert result.scores == alone
+    assert len(fitted) == 2 * 3 and {k["n_estimators"] for k in fitted} == {3}
+
+
+def test_fold_models_are_stored_and_let_go(spark, data, monkeypatch):
+    """No more models are alive than are being fitted; the best one scores other rows."""
+    import gc
+    import weakref
+
+    alive, most, save = [], [], tuning.save_model
+
+    def noted(model, path):
+        alive.append(weakref.ref(model.stages[0]))
+        gc.collect()
+        most.append(sum(r() is not None for r in alive))
+        save(model, path)
+
+    monkeypatch.setattr(tuning, "save_model", noted)
+    result = tuning.grid_search(
+        data, "decision_tree", {"max_depth": [1, 2, 3]}, parallelism=2, keep_fold_models=True, refit=False
+    )
+    gc.collect()
+    assert len(most) == 9 and max(most) <= 2 and not any(r() for r in alive)
+    stored = result.model_table(spark).collect()
+    assert len(stored) == 9 and len({r.path for r in stored}) == 9
+    fold, model = tuning.best_fold_model(result)
+    kept = tuning.load_model(result.fold_models[fold])
+    assert kept.stages[-1].toDebugString == model.toDebugString
+    assert tuning.score_best_fold(result, data.drop("label")).count() == data.count()
+
+
 def test_model_round_trip(data, tmp_path):
     model, accuracy = tuning.fit(data, models.build_model("random_forest", n_estimators=5, max_depth=4))
     assert 0.8 < accuracy <= 1
@@ -243,6 +298,43 @@ def test_stream_restart_scores_only_new_files(spark, folder, trained, tmp_path):
     assert sum(h.num_predictions for h in history) == scored.count()
 
 
+def test_a_scored_table_is_complete(spark, folder, tmp_path):
+    """Scores and rejects add up, in one marked pass, and a lossy function stops the stream."""
+    from rowmill.plans.preparation import prepare
+    from rowmill.plans.scoring import Scorer
+    from rowmill.plans.settings import Settings
+    from rowmill.plans.training import features_of, training_table
+
+    s, rows = Settings(), churn(spark, folder)
+    prepared, fitted = prepare(rows, s)
+    features = features_of(prepared, s.key, s.target)
+    model, _ = tuning.fit(
+        training_table(prepared, s.key, s.target, features), models.build_model("decision_tree", max_depth=3)
+    )
+    scorer = Scorer(model, fitted, s, tuple(features))
+    found = scorer.score_table(rows, required=["Age"], return_proba=False, rejects_path=str(tmp_path / "no"))
+    assert found.num_scored + found.num_rejected == rows.count() and found.num_rejected > 0
+    assert found.scored.count() == found.num_scored
+    assert found.scored.columns == [s.key, "prediction", "status"]
+    assert found.rejected.columns == [*rows.columns, "reject_reason"]
+    assert spark.read.parquet(str(tmp_path / "no")).count() == found.num_rejected
+    every = scorer.score(rows).collect()
+    assert len(every) == rows.count()
+    assert all((r.reject_reason is None) == (r.status is not None) for r in every)
+    assert scorer.score_table(rows.limit(0)).num_scored == 0
+    records = streams.read_stream(spark, _saved(rows, tmp_path), rows.schema)
+    with pytest.raises(Exception, match="add up"):
+        streams.score_batches(
+            records, lambda df: scorer.score(df).filter("status IS NOT NULL").drop("reject_reason"), [],
+            str(tmp_path / "out"), str(tmp_path / "check"),
+        ).awaitTermination()
+
+
+def _saved(rows, tmp_path):
+    writers.save(rows, str(tmp_path / "landed"))
+    return str(tmp_path / "landed")
+
+
 def test_rejects(spark):
     df = spark.createDataFrame([(1.0, "a"), (None, ""), (2.0, None)], "x double, s string")
     reasons = [r[0] for r in score.mark_rejects(df, ["x", "s"]).select("reject_reason").collect()]
