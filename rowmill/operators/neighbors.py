@@ -1,10 +1,17 @@
 """Exact nearest neighbours of every point, by cells of bounded size.
 
-Points are dealt into balanced cells (median cuts learnt from a few sampled
-points; the sample only places the cuts).  Each cell finds the best neighbours
-inside itself, which bounds how far a better one can be.  A point then visits
-only the other cells whose box reaches into that distance.  No pair of points
-is ever a row; a task holds one cell and one bounded chunk of visitors.
+Points are dealt into balanced cells (median cuts learnt from sampled points; the
+sample only places the cuts).  Each cell finds the best neighbours inside itself,
+which bounds how far a better one can be.  A point then visits only the other
+cells whose box reaches into that distance.  No pair of points is ever a row; a
+task holds one cell and one bounded chunk of visitors.
+
+Cells have two levels.  Up to ONE_LEVEL of them are coarse cells, cut by a tree that
+the driver knows.  Beyond that there are as many coarse cells as the square root
+of all, and every coarse cell is cut again by a tree of its own, grown in a task
+from a sample of the cell.  These trees, and the boxes of the fine cells, are
+tables: points meet them by a join on the coarse cell, in chunks.  So the driver
+holds the square root of the number of cells, and no size is the last.
 """
 
 from __future__ import annotations
@@ -19,7 +26,8 @@ from pyspark.sql import functions as F
 from rowmill.functions.ordering import unit_hash
 from rowmill.sources.workdir import stage
 
-MAX_CELLS = 16_384
+ONE_LEVEL = 1_024
+FINE_SHIFT = 32  # of the coarse number in the number of a cell
 PART_ROWS = 2_000
 SAMPLES_PER_CELL = 16
 VISITORS_PER_TASK = 50_000
@@ -34,6 +42,16 @@ class CellTree:
         self.cells = 0
         self.root = self._grow(sample, cells)
 
+    def parts(self) -> tuple:
+        """What a table row holds of the tree."""
+        return self.root, self.dim, self.cut, self.left, self.right
+
+    @classmethod
+    def of_parts(cls, root, dim, cut, left, right) -> CellTree:
+        tree = cls.__new__(cls)
+        tree.root, tree.dim, tree.cut, tree.left, tree.right = int(root), dim, cut, left, right
+        return tree
+
     def _grow(self, points: np.ndarray, cells: int) -> int:
         """Index of a new node; a leaf is coded as -1 - cell."""
         best = self._best_cut(points) if cells > 1 and len(points) > 1 else None
@@ -162,6 +180,11 @@ def _best(queries: pd.DataFrame, points: pd.DataFrame, k: int, reach=None) -> li
     ]
 
 
+def coarse_cells(cells: int) -> int:
+    """How many of so many cells the driver knows."""
+    return min(cells, max(ONE_LEVEL, math.isqrt(cells - 1) + 1))
+
+
 def nearest_points(
     points: DataFrame, k: int, cell_rows: int = 4_000, visitors: int = VISITORS_PER_TASK
 ) -> DataFrame:
@@ -170,37 +193,38 @@ def nearest_points(
     kind = points.schema["id"].dataType.simpleString()
     near_type = f"array<struct<d:double,id:{kind},vec:array<double>,copies:bigint>>"
     n = points.count()
-    cells = min(MAX_CELLS, math.ceil(n / cell_rows))
+    cells = math.ceil(n / cell_rows)
     names = points.columns
 
+    tree, coarse = None, coarse_cells(cells) if cells else 0
     if cells > 1:
         points = stage(points, "neighbors-points")
-        share = min(1.0, cells * SAMPLES_PER_CELL / n)
+        share = min(1.0, coarse * SAMPLES_PER_CELL / n)
         picked = points.filter(unit_hash(F.col("id"), "cells") < F.lit(share)).select("vec")
-        sample = picked.limit(2 * MAX_CELLS * SAMPLES_PER_CELL).toPandas()["vec"]
-        tree = CellTree(np.stack(sample.to_numpy()), cells) if len(sample) else None
-    else:
-        tree = None
+        sample = picked.limit(2 * coarse * SAMPLES_PER_CELL).toPandas()["vec"]
+        tree = CellTree(np.stack(sample.to_numpy()), coarse) if len(sample) else None
     if tree is None:
-        celled = points.withColumn("cell", F.lit(0))
+        celled = points.withColumn("cell", F.lit(0).cast("bigint"))
     else:
 
-        @F.pandas_udf("int")
+        @F.pandas_udf("bigint")
         def cell_of(vec: pd.Series) -> pd.Series:
-            return pd.Series(tree.cell_of(np.stack(vec.to_numpy())))
+            return pd.Series(tree.cell_of(np.stack(vec.to_numpy())).astype(np.int64) << FINE_SHIFT)
 
         celled = points.withColumn("cell", cell_of("vec"))
+        if coarse < cells:
+            celled = _cut_again(stage(celled, "neighbors-coarse"), n, cells, cell_rows, visitors)
 
     def search_own(group: pd.DataFrame) -> pd.DataFrame:
         return group.assign(near=_best(group, group, k))
 
     own_schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in celled.schema)
     local = celled.groupBy("cell").applyInPandas(search_own, f"{own_schema}, near {near_type}")
-    if tree is None or tree.cells <= 1:
+    if tree is None or (tree.cells <= 1 and coarse == cells):
         return local.drop("cell")
 
     local = stage(local, "neighbors-own-cell")
-    far = _visit_other_cells(local, tree.cells, k, kind, near_type, visitors)
+    far = _visit_other_cells(local, k, kind, near_type, visitors)
     merged = (
         local.select("id", "near").unionByName(far).groupBy("id")
         .agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))
@@ -208,43 +232,101 @@ def nearest_points(
     return local.select(*names).join(merged, "id").select(*names, "near")
 
 
-def _visit_other_cells(local, cells, k, kind, near_type, visitors) -> DataFrame:
+def _chunks(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """How many chunks of at most about ``most`` rows each key has."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("held"))
+    return counts.select(key, F.ceil(F.col("held") / most).cast("int").alias("chunks"), "held")
+
+
+def _dealt(rows: DataFrame, chunks: DataFrame, key: str) -> DataFrame:
+    """Rows with the chunk of their key that their id falls into."""
+    number = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    return rows.join(chunks.select(key, "chunks"), key).withColumn("chunk", number).drop("chunks")
+
+
+def _in_all(rows: DataFrame, chunks: DataFrame, key: str) -> DataFrame:
+    """Rows once for each chunk of their key."""
+    each = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    return rows.join(chunks.select(key, "chunks"), key).withColumn("chunk", each).drop("chunks")
+
+
+def _cut_again(celled: DataFrame, n: int, cells: int, cell_rows: int, visitors: int) -> DataFrame:
+    """Points of coarse cells in the fine cells of a tree that each coarse cell grows."""
+    chunks = stage(_chunks(celled, "cell", visitors), "neighbors-chunks")
+    share = min(1.0, cells * SAMPLES_PER_CELL / n)
+    picked = celled.filter(unit_hash(F.col("id"), "fine") < F.lit(share)).select("cell", "vec")
+    sized = picked.join(chunks.select("cell", "held"), "cell")
+
+    def grow(group: pd.DataFrame) -> pd.DataFrame:
+        tree = CellTree(np.stack(group["vec"].to_numpy()), math.ceil(group["held"].iloc[0] / cell_rows))
+        return pd.DataFrame([(group["cell"].iloc[0], *tree.parts())], columns=names)
+
+    names = ["cell", "root", "dim", "cut", "left", "right"]
+    shape = "cell bigint, root int, dim array<int>, cut array<double>, left array<int>, right array<int>"
+    trees = stage(sized.groupBy("cell").applyInPandas(grow, shape), "neighbors-trees")
+
+    def place(group: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        if len(tree) and len(group):
+            row = tree.iloc[0]
+            grown = CellTree.of_parts(*[row[c] for c in names[1:]])
+            group = group.assign(cell=group["cell"] + grown.cell_of(np.stack(group["vec"].to_numpy())))
+        return group[columns]
+
+    columns = celled.columns
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in celled.schema)
+    return (
+        _dealt(celled, chunks, "cell").groupBy("cell", "chunk")
+        .cogroup(_in_all(trees, chunks, "cell").groupBy("cell", "chunk")).applyInPandas(place, schema)
+    )
+
+
+def _reached(numbers: np.ndarray, low: np.ndarray, high: np.ndarray, q, reach, own) -> list[list[int]]:
+    """Per query the numbers of the boxes other than its own within its reach."""
+    rows, out = max(1, BLOCK_PAIRS // max(1, len(numbers))), []
+    for s in range(0, len(q), rows):
+        gap = _gap(q[s : s + rows], low, high)
+        hit = gap <= reach[s : s + rows, None]
+        if own is not None:
+            hit &= numbers[None, :] != own[s : s + rows, None]
+        out += [numbers[row].tolist() for row in hit]
+    return out
+
+
+def _visit_other_cells(local, k, kind, near_type, visitors) -> DataFrame:
     dims = local.select(F.max(F.size("vec"))).collect()[0][0]
-    box = local.groupBy("cell").agg(
-        *[f(F.get("vec", F.lit(j))) for f in (F.min, F.max) for j in range(dims)]
-    ).collect()  # one row per cell, at most MAX_CELLS
-    numbers = np.array([r[0] for r in box])
-    low = np.array([r[1 : dims + 1] for r in box], dtype=float)
-    high = np.array([r[dims + 1 :] for r in box], dtype=float)
-
-    @F.pandas_udf("array<int>")
-    def reached(vec: pd.Series, reach: pd.Series, cell: pd.Series) -> pd.Series:
-        q, r, own = np.stack(vec.to_numpy()), reach.to_numpy(), cell.to_numpy()
-        rows, out = max(1, BLOCK_PAIRS // len(numbers)), []
-        for s in range(0, len(q), rows):
-            gap = _gap(q[s : s + rows], low, high)
-            hit = (gap <= r[s : s + rows, None]) & (numbers[None, :] != own[s : s + rows, None])
-            out += [numbers[row].tolist() for row in hit]
-        return pd.Series(out)
+    low, high = ([f(F.get("vec", F.lit(j))) for j in range(dims)] for f in (F.min, F.max))
+    boxes = stage(
+        local.groupBy("cell").agg(F.array(*low).alias("low"), F.array(*high).alias("high"))
+        .withColumn("coarse", F.shiftright("cell", FINE_SHIFT)), "neighbors-boxes",
+    )
+    ends = [f(F.get(c, F.lit(j))) for c, f in (("low", F.min), ("high", F.max)) for j in range(dims)]
+    outer = boxes.groupBy("coarse").agg(F.count(F.lit(1)), *ends).collect()  # one row per coarse cell
+    numbers = np.array([r[0] for r in outer])
+    outer_low = np.array([r[2 : dims + 2] for r in outer], dtype=float)
+    outer_high = np.array([r[dims + 2 :] for r in outer], dtype=float)
+
+    @F.pandas_udf("array<bigint>")
+    def coarse_reached(vec: pd.Series, reach: pd.Series) -> pd.Series:
+        return pd.Series(_reached(numbers, outer_low, outer_high, np.stack(vec.to_numpy()), reach.to_numpy(), None))
 
     # with fewer than k neighbours at home nothing bounds the reach yet
     reach = F.when(F.size("near") >= k, F.get("near", F.lit(k - 1))["d"]).otherwise(
         F.lit(float("inf"))
     )
     visits = local.select("id", "vec", reach.alias("reach"), "cell").select(
-        "id", "vec", "reach", F.explode(reached("vec", "reach", "cell")).alias("cell")
+        "id", "vec", "reach", "cell", F.explode(coarse_reached("vec", "reach")).alias("coarse")
     )
+    if any(r[1] > 1 for r in outer):
+        visits = _fine_visits(stage(visits, "neighbors-coarse-visits"), boxes, kind, visitors)
+    else:
+        visits = visits.join(F.broadcast(boxes.select("coarse", F.col("cell").alias("visited"))), "coarse").filter(
+            "cell <> visited"
+        ).select("id", "vec", "reach", F.col("visited").alias("cell"))
     visits = stage(visits, "neighbors-visits")
-    counts = visits.groupBy("cell").count().select(
-        F.col("cell").alias("cell"), F.ceil(F.col("count") / visitors).cast("int").alias("chunks")
-    )  # one row per cell
-    counts = F.broadcast(counts)
-    visiting = visits.join(counts, "cell").withColumn(
-        "chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
-    ).select("cell", "chunk", "id", "vec", "reach")
-    hosts = local.join(counts, "cell").select(
-        "cell", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-        "id", "vec", "copies",
+    chunks = stage(_chunks(visits, "cell", visitors), "neighbors-visit-chunks")
+    visiting = _dealt(visits, chunks, "cell").select("cell", "chunk", "id", "vec", "reach")
+    hosts = _in_all(local.select("cell", "id", "vec", "copies"), chunks, "cell").select(
+        "cell", "chunk", "id", "vec", "copies"
     )
 
     def search(guests: pd.DataFrame, host: pd.DataFrame) -> pd.DataFrame:
@@ -258,3 +340,24 @@ def _visit_other_cells(local, cells, k, kind, near_type, visitors) -> DataFrame:
         .cogroup(hosts.groupBy("cell", "chunk"))
         .applyInPandas(search, f"id {kind}, near {near_type}")
     )
+
+
+def _fine_visits(visits: DataFrame, boxes: DataFrame, kind: str, visitors: int) -> DataFrame:
+    """The fine cells that visitors of coarse cells reach, but for their own."""
+    chunks = stage(_chunks(visits, "coarse", visitors), "neighbors-coarse-chunks")
+
+    def reached(guests: pd.DataFrame, box: pd.DataFrame) -> pd.DataFrame:
+        if guests.empty or box.empty:
+            return guests.iloc[:0][["id", "vec", "reach", "cell"]]
+        found = _reached(
+            box["cell"].to_numpy(), np.stack(box["low"].to_numpy()), np.stack(box["high"].to_numpy()),
+            np.stack(guests["vec"].to_numpy()), guests["reach"].to_numpy(), guests["cell"].to_numpy(),
+        )
+        each = guests[["id", "vec", "reach"]].assign(cell=found).explode("cell")
+        return each[each["cell"].notna()].astype({"cell": "int64"})
+
+    return (
+        _dealt(visits, chunks, "coarse").groupBy("coarse", "chunk")
+        .cogroup(_in_all(boxes, chunks, "coarse").groupBy("coarse", "chunk"))
+        .applyInPandas(reached, f"id {kind}, vec array<double>, reach double, cell bigint")
+    )

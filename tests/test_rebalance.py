@@ -42,6 +42,21 @@ def test_nearest_points(spark, monkeypatch, name, cloud, cell_rows, part_rows, v
     assert got == brute(points, 5)
 
 
+@pytest.mark.parametrize("name,cloud", list(clouds()))
+def test_two_levels_of_cells(spark, monkeypatch, name, cloud):
+    """With the driver held to a few coarse cells, the others are cut in tasks."""
+    monkeypatch.setattr(neighbors, "ONE_LEVEL", 4)
+    monkeypatch.setattr(neighbors, "PART_ROWS", 8)
+    points = [(i, tuple(map(float, v))) for i, v in enumerate(cloud)]
+    assert neighbors.coarse_cells(len(points) // 12 + 1) < 8
+    near = neighbors.nearest_points(point_table(spark, points), 5, cell_rows=12, visitors=40)
+    assert {r.id: [n.id for n in r.near] for r in near.collect()} == brute(points, 5)
+
+
+def test_coarse_cells_grow_with_the_root():
+    assert [neighbors.coarse_cells(n) for n in (1, 1_024, 1_025, 10**6, 10**8)] == [1, 1024, 1024, 1024, 10_000]
+
+
 def test_cells_smaller_than_k(spark):
     points = [(i, (float(i * 7 % 53), float(i % 3))) for i in range(60)]
     near = neighbors.nearest_points(point_table(spark, points), 5, cell_rows=3)
