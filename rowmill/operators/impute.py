@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from decimal import ROUND_HALF_UP, Decimal
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,6 +110,31 @@ def with_imputer(df: DataFrame, imputer: Callable[[DataFrame], DataFrame] | obje
     return df.transform(getattr(imputer, "impute", imputer))
 
 
+class FittedImputer(Protocol):
+    """A caller's own imputer as a step of a job: ``fit`` returns what it has
+    learnt as plain values (they are stored as JSON), ``apply`` is a projection
+    over a table or a stream."""
+
+    def fit(self, df: DataFrame) -> dict: ...
+
+    def apply(self, df: DataFrame, fitted: dict) -> DataFrame: ...
+
+
+_IMPUTERS: dict[str, FittedImputer] = {}
+
+
+def register_imputer(name: str, imputer: FittedImputer) -> None:
+    """Make an imputer known by a name, which settings and stored states refer to."""
+    _IMPUTERS[name] = imputer
+
+
+def registered_imputer(name: str) -> FittedImputer:
+    """A state that names an unknown imputer is an error: the step must not be skipped."""
+    if name not in _IMPUTERS:
+        raise ValueError(f"imputer '{name}' is not registered, known: {sorted(_IMPUTERS)}")
+    return _IMPUTERS[name]
+
+
 @dataclass(frozen=True)
 class CategoryPredictor:
     """Most frequent known value per key combination, with a fallback."""

@@ -30,12 +30,16 @@ State = dict[str, dict]
 def fit_steps(df: DataFrame, s: Settings) -> State:
     """Fitted state of all steps, from rows whose critical columns are present."""
     state: State = {"fill": {}}
+    if s.imputer:
+        imputer = impute.registered_imputer(s.imputer)
+        state["imputer"] = {s.imputer: imputer.fit(df)}
+        df = imputer.apply(df, state["imputer"][s.imputer])
     by_method: dict[str, list[str]] = {}
     for c, method in s.fill_methods.items():
         by_method.setdefault(method, []).append(c)
     for method, columns in by_method.items():
         state["fill"].update(impute.fit_fill(df, columns, method))
-    out = fill_steps(df, state, s)
+    out = _fill_literals(df, state, s)
 
     if s.detection_method == "iqr":
         bounds = outliers.fit_iqr(out, s.outlier_columns, s.iqr_threshold)
@@ -60,7 +64,15 @@ def fit_steps(df: DataFrame, s: Settings) -> State:
 
 
 def fill_steps(df: DataFrame, state: State, s: Settings) -> DataFrame:
-    out = impute.apply_fill(df, state["fill"])
+    """Own imputer, then literals.  Here and below a step without columns has no
+    entry in a stored state."""
+    for name, fitted in state.get("imputer", {}).items():
+        df = impute.registered_imputer(name).apply(df, fitted)
+    return _fill_literals(df, state, s)
+
+
+def _fill_literals(df: DataFrame, state: State, s: Settings) -> DataFrame:
+    out = impute.apply_fill(df, state.get("fill", {}))
     for column, label in s.fill_labels.items():
         if column not in s.predict_labels:
             out = impute.fill_category(out, column, label)
@@ -68,7 +80,7 @@ def fill_steps(df: DataFrame, state: State, s: Settings) -> DataFrame:
 
 
 def outlier_steps(df: DataFrame, state: State, s: Settings) -> DataFrame:
-    bounds = {c: tuple(b) for c, b in state["outliers"].items()}
+    bounds = {c: tuple(b) for c, b in state.get("outliers", {}).items()}
     return outliers.handle_outliers(
         df, list(bounds), s.outlier_method, s.min_outliers, bounds
     )
@@ -77,14 +89,14 @@ def outlier_steps(df: DataFrame, state: State, s: Settings) -> DataFrame:
 def feature_steps(df: DataFrame, state: State) -> DataFrame:
     """Bin, encode and scale with fitted state."""
     out = df
-    for c, b in state["bins"].items():
+    for c, b in state.get("bins", {}).items():
         out = binning.bin_column(
             out, c, dict(b["bins"]), exact={v: label for v, label in b["exact"]},
             otherwise=b["otherwise"],
         )
-    out = encode.apply_one_hot(out, state["one_hot"])
-    out = encode.apply_ordinal(out, state["ordinal"])
-    return scale.apply_scaling(out, {c: tuple(v) for c, v in state["scale"].items()})
+    out = encode.apply_one_hot(out, state.get("one_hot", {}))
+    out = encode.apply_ordinal(out, state.get("ordinal", {}))
+    return scale.apply_scaling(out, {c: tuple(v) for c, v in state.get("scale", {}).items()})
 
 
 def fit_predictors(df: DataFrame, s: Settings) -> dict[str, dict]:
@@ -123,7 +135,7 @@ def feature_names(state: State, s: Settings, columns: list[str]) -> list[str]:
     """Feature columns in table order: all but key, target, split and dropped."""
     out = [c for c in columns if c not in s.bins and c not in s.nominal_columns]
     out = [c for c in out if c not in {s.key, s.target, "split", *s.drop_columns}]
-    derived = [f"{c}Bins" for c in s.bins] + encode.indicator_names(state["one_hot"])
+    derived = [f"{c}Bins" for c in s.bins] + encode.indicator_names(state.get("one_hot", {}))
     return out + [d for d in derived if d not in out]
 
 

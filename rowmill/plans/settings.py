@@ -17,6 +17,7 @@ class Settings:
     target: str = "Exited"
     drop_columns: tuple[str, ...] = ("RowNumber", "Firstname", "Lastname")
     critical_columns: tuple[str, ...] = ("Firstname",)
+    imputer: str | None = None  # the name of a registered imputer, which runs before the fills
     fill_methods: Mapping[str, str] = field(default_factory=lambda: {"Age": "mean"})
     fill_labels: Mapping[str, str] = field(default_factory=lambda: {"Gender": "Unknown"})
     predict_labels: Mapping[str, tuple[str, ...]] = field(default_factory=dict)

@@ -373,6 +373,51 @@ def test_records_are_prepared_as_in_training(spark, folder, tmp_path):
     assert records.count() == expected.count()
 
 
+class GroupMedian:
+    """Fills Age by the median of the row's country."""
+
+    def fit(self, df):
+        rows = df.groupBy("Geography").agg(F.median("Age").alias("m")).collect()
+        return {"medians": {r.Geography: r.m for r in rows}}
+
+    def apply(self, df, fitted):
+        cells = [F.lit(x) for pair in fitted["medians"].items() for x in pair]
+        return df.withColumn("Age", F.coalesce("Age", F.create_map(*cells)[F.col("Geography")]))
+
+
+def test_own_imputer_is_a_step(spark, folder, tmp_path):
+    """Fitted on the training part, stored by name, replayed when scoring."""
+    from rowmill.operators import impute
+    from rowmill.operators.split import split_parts
+
+    s, rows = Settings(imputer="median by country", fill_methods={}), churn(spark, folder)
+    with pytest.raises(ValueError, match="not registered"):
+        preparation.prepare(rows, s)
+    impute.register_imputer("median by country", GroupMedian())
+    try:
+        prepared, fitted = preparation.prepare(rows, s)
+        state.save_state(spark, fitted, str(tmp_path / "state"))
+        loaded = state.load_state(spark, str(tmp_path / "state"))
+        train, _ = split_parts(split_of(rows, s))
+        expected = GroupMedian().fit(train)
+        assert loaded["imputer"] == {"median by country": expected}
+        features = training.features_of(prepared, s.key, s.target)
+        records = preparation.prepare_records(rows.filter("Firstname IS NOT NULL"), loaded, s, features)
+        both = prepared.select(s.key, "Age").join(records.select(s.key, F.col("Age").alias("again")), s.key)
+        assert both.count() == prepared.count() and both.filter("NOT (Age <=> again)").count() == 0
+        assert prepared.filter("Age IS NULL").count() == 0 < rows.filter("Age IS NULL").count()
+        assert Settings.from_json(s.to_json()).imputer == s.imputer
+    finally:
+        impute._IMPUTERS.clear()
+
+
+def split_of(rows, s):
+    from rowmill.operators import project
+    from rowmill.operators.split import split
+
+    return split(project.drop_missing(rows, s.critical_columns), s.key, s.target, s.split_method, s.test_size, s.seed)
+
+
 def test_rejects_and_good_records_are_all_records(spark, folder):
     from rowmill.catalog.base import churn
     from rowmill.plans.preparation import prepare, split_records
