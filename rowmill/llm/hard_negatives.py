@@ -49,7 +49,7 @@ FOCUS, SEEDS = 3, 64
 EXACT = 1 << 53
 LONG = (-(1 << 63), (1 << 63) - 1)
 MARGIN = 1e-9
-MOST_TASKS = 4_096
+MOST_TASKS, TASK_BUCKETS = 4_096, 4
 
 
 def quantised(rows: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -74,7 +74,9 @@ def bucketed(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     first = W.partitionBy("label", "q").orderBy("vec_id")
     few = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= POSITIVES + 1).drop("_n")
     order = ["dims", "label", F.desc("length"), "vec_id"]
-    sized = few.withColumn("length", _length()).repartitionByRange(*order).sortWithinPartitions(*order)
+    # the number of tasks follows the rows, so the number of buckets does too
+    tasks = -(-rows.count() // (TASK_BUCKETS * bucket_rows)) or 1
+    sized = few.withColumn("length", _length()).repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
     def run(batches):
         from pyspark import TaskContext
