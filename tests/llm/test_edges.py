@@ -3,9 +3,11 @@ extra columns: every operator and stage against the plain versions."""
 
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -398,6 +400,57 @@ def test_classifiers(spark, docs, module, label):
     assert len(again) == 3 and not any(r.held_out for r in again if r.doc_id is None)
 
 
+def test_toxicity_counts_and_ratios(spark):
+    """Counts, evidence and ratios of n-grams against plain counting."""
+    from collections import Counter
+
+    draw = random.Random(8)
+    rows = [(f"{'bad word' if k % 4 == 0 else 'fine text'} {draw.choice('abcdef') * 3} é{k % 7}", int(k % 4 == 0), k / 40)
+            for k in range(40)]
+    counted = toxicity._counts(spark.createDataFrame(rows, "text string, label int, share double")).collect()
+    plain = Counter()
+    for text, label, share in rows:
+        line = f" {' '.join(text.lower().split())} "
+        grams = {line[i : i + n] for n in toxicity.SIZES for i in range(len(line) - n + 1)}
+        for bucket in {_bucket(g) for g in grams}:
+            plain[bucket, ("toxic" if label else "other") + str(int(share >= 0.5))] += 1
+    got = {(r.bucket, c): r[c] for r in counted for c in toxicity.CELLS if r[c]}
+    assert got == plain
+    toxic, other = np.array([10.0, 3, 0, 1]), np.array([0.0, 9, 30, 3])
+    ratio = toxicity._ratio(toxic, other, 10, 30)
+    assert ratio[0] > 0 > ratio[2] and abs(ratio[1]) < 0.2 and abs(ratio[3]) < 1e-12
+    evidence = toxicity._statistic(toxic, other, 10, 30, np.log, toxicity._array_positive)
+    for a, b, e in zip(toxic, other, evidence):
+        table, n = [(a, 10, a + b), (b, 30, a + b), (10 - a, 10, 40 - a - b), (30 - b, 30, 40 - a - b)], 40
+        assert e == pytest.approx(sum(2 * x * math.log(x * n / (r * c)) for x, r, c in table if x))
+
+
+def _bucket(gram):
+    """The hash of one n-gram by whole numbers."""
+    h = 0
+    for c in gram:
+        h = (h * int(toxicity.BASE) + ord(c)) % 2**64
+    return (h + len(gram)) * int(toxicity.MIX) % 2**64 >> 44
+
+
+def test_line_through_log_odds():
+    """Log-odds that are twice too sure and off by one are brought back."""
+    draw = np.random.default_rng(5)
+    true = draw.normal(size=20_000) * 2
+    y = (draw.random(20_000) < 1 / (1 + np.exp(-true))).astype(float)
+    a, b = toxicity._line(2 * true + 1, y)
+    assert a == pytest.approx(0.5, abs=0.03) and b == pytest.approx(-0.5, abs=0.06)
+    assert toxicity._line(np.zeros(4), np.array([0.0, 0, 1, 0]))[0] > 0
+
+
+def test_toxicity_of_a_long_text(monkeypatch):
+    """Parts of a text overlap by what the longest n-gram needs."""
+    text = prose(9, 300) + " é" * 50
+    whole = set(np.concatenate(list(toxicity._hashes(text))).tolist())
+    monkeypatch.setattr(toxicity, "CHUNK", 64)
+    assert set(np.concatenate(list(toxicity._hashes(text))).tolist()) == whole
+
+
 def test_language(spark, docs):
     got = {r.doc_id: r for r in language.identify(docs).collect()}
     assert sorted(got) == sorted(r[0] for r in ROWS)
