@@ -149,7 +149,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataF
         ), "aligned-documents",
     )
     keyed = docs.select(document_key(F.col("doc_id"), F.col("text")).alias("doc"), "text")
-    texts = small_join(keyed, by_doc, ["doc"])
+    # by shuffle at every size: the alignments grow with the documents
+    texts = keyed.join(by_doc.hint("merge"), "doc")
     texts = texts.select("doc", "alignments", words(F.col("text")).alias("all_words"))
     # the document's words beside those; `first` is the position of the first, before 0 if there is none
     beside = texts.select(
