@@ -1,4 +1,10 @@
-"""Removal of repeated passages by relative Lempel-Ziv factors.
+"""Removal of repeated passages by content-cut blocks and windows.
+
+This stands in for a relative Lempel-Ziv parse: there is no greedy longest match
+against reference blocks that runs from factor to factor.  Blocks are joined by
+the hash of their whole content, and windows are looked up where contents differ.
+Equal windows lie in equal blocks, or in blocks of one anchor, so the words found
+are those that a parse with checked factor boundaries would find.
 
 A passage counts as repeated in a document if a window of WINDOW consecutive
 words also starts in a document with a smaller doc_id.
@@ -9,8 +15,8 @@ a stretch of text cut by its content: wherever a passage occurs, its inner
 blocks are cut alike.  The table of all blocks of all documents (anchor, hash of
 the whole block, doc_id, place) is the index.
 
-Factors.  A document is parsed into the longest stretches known from smaller
-documents, block by block, by joins on the index:
+Known stretches, called factors below.  A document's blocks are looked up by joins
+on the index:
 - an anchor that only one document has cannot lie in a repeated window;
 - a block whose whole content is known from a smaller document is a factor, at
   once for all its windows;
