@@ -70,6 +70,12 @@ def fit_label_index(
     return index_of(column, _number(labels))
 
 
+def known_labels(df: DataFrame, column: str, labels: Sequence) -> LabelIndex:
+    """The index of a few labels that are known already, in their order."""
+    codes = {v: i for i, v in enumerate(labels)}
+    return LabelIndex(column, codes, _code_table(df, column, codes))
+
+
 def index_of(column: str, coded: DataFrame) -> LabelIndex:
     """The index of a table (value, code, n) that is written already."""
     few = coded.limit(INLINE_LABELS + 1).collect()
@@ -196,6 +202,12 @@ def fit_one_hot(
         if len(found) > most or len(values) > max_labels:
             raise ValueError(f"more than {max_labels} labels: encode {columns} as vectors instead")
         values.sort()
+    return checked_labels(labels)
+
+
+def checked_labels(labels: dict[str, list[str]]) -> dict[str, list[str]]:
+    """Labels whose indicator columns have names of their own."""
+    for c, values in labels.items():
         if len({column_label(v) for v in values}) < len(values):
             raise ValueError(f"labels of {c} give the same column name")
     return labels

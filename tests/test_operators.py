@@ -344,6 +344,29 @@ def test_scaling(spark):
         scale.fit_standard(df, ["x"], ddof=2)
 
 
+def test_composite_is_few_jobs(spark, folder):
+    """Medians, moments and vocabularies of all columns in a bounded number of jobs."""
+    df = spark.read.parquet(f"{folder}/part.parquet").withColumn(
+        "gap", F.when(F.col("p_size") % 3 > 0, F.col("p_retailprice"))
+    )
+    df = df.withColumns({"maker": F.substring("p_brand", 1, 7), "sort": F.substring("p_type", 1, 3)})
+    numeric, nominal, ordinal = ["p_size", "p_retailprice", "gap"], ["p_brand", "maker"], ["sort"]
+    spark.sparkContext.setJobGroup("composite", "composite")
+    fitted = vectors.fit_composite(df, numeric, nominal, ordinal)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("composite")
+    spark.sparkContext.setJobGroup("", "")
+    assert 0 < len(jobs) <= 12  # adaptive execution runs each map side as a job of its own
+    filled = impute.apply_fill(df, fitted.fills)
+    for c, (mean, sd) in scale.fit_standard(filled, numeric).items():
+        assert fitted.scaling[c] == (pytest.approx(mean), pytest.approx(sd))
+    assert fitted.labels == encode.fit_one_hot(df, nominal)
+    assert fitted.ordinals[0].codes == encode.fit_label_index(df, "sort", "alphabet").codes
+    df = df.withColumn("own", F.col("p_partkey").cast("string"))
+    many = vectors.fit_composite(df, ["p_size"], ["p_brand"], ["own"])
+    assert many.ordinals[0].codes is None and many.ordinals[0].table.count() == df.count()
+    assert vectors.fit_composite(df, [], [], []).labels == {}
+
+
 def test_composite_on_new_rows(spark):
     df = spark.createDataFrame([(1.0, "a", "p"), (3.0, None, "q"), (None, "b", None)], "x double, n string, o string")
     fitted = vectors.fit_composite(df, ["x"], ["n"], ["o"])
