@@ -369,7 +369,7 @@ def _(spark, d):
         F.count_if(F.col("rank_test_score") == F.col("ahead") + 1).cast("int").alias("rank_agrees"),
         F.count_if(
             (F.col("param_max_depth").cast("int") == given["max_depth"])
-            & (F.trim(F.lit('"'), F.col("param_criterion")) == given["criterion"])
+            & (F.regexp_replace("param_criterion", '"', "") == given["criterion"])
         ).cast("int").alias("parameters_agree"),
         F.count_if((F.col("mean_fit_time") > 0) & (F.col("mean_score_time") > 0)).cast("int").alias("timed"),
     )

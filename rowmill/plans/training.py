@@ -72,7 +72,8 @@ def train(
     if model_path:
         save_model(fitted, model_path)
     test = df.filter(F.col("split") == "test")
-    scored = score(test, fitted, features, [key, target])
+    # the metrics are of the rows that have a score
+    scored = score(test, fitted, features, [key, target]).filter(F.col("prediction").isNotNull())
     spent = time.perf_counter() - start
     # all metrics, and the rows, from one pass over the scored part
     cells = {(r[0], r[1]): r[2] for r in confusion_matrix(scored, target, "prediction").collect()}
