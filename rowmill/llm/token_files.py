@@ -42,7 +42,7 @@ from rowmill.llm.base import stage
 from rowmill.sources.workdir import new_path
 
 END_ID, END = 1, b" "
-CACHED_WORDS = 800_000
+CACHED_WORDS = 300_000
 CHUNK = 2_000
 TEXT_BYTES = 4 << 20
 # between an ASCII letter and the ASCII punctuation that ends its word
