@@ -15,8 +15,8 @@ the labels, corrects those of the final weights, which its own rows have made to
 sure.
 
 Learning takes at most SAMPLE labelled rows outside the held-out part (in the
-order of a hash); the driver gets the counts of 3 FEATURES n-grams and, as flat
-arrays, the kept features of those rows.  Every document is scored over its whole
+order of a hash); the driver gets the counts of FEATURES n-grams and, as flat
+32-bit arrays, the kept features of those rows.  Every document is scored over its whole
 text.
 
 Edge cases: a null or empty text has no features and gets the score of the
@@ -165,9 +165,9 @@ def _learn(held: dict, owner, column, y, rows: np.ndarray, halves) -> tuple[np.n
     other = sum(held[f"other{h}"] for h in halves).astype(np.float64)
     n_toxic, n_other = int(y[rows].sum()), int((1 - y[rows]).sum())
     chosen = _chosen(toxic, other, n_toxic, n_other)
-    place = np.full(len(toxic), -1)
+    place = np.full(len(toxic), -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-    number = np.cumsum(rows) - 1
+    number = (np.cumsum(rows) - 1).astype(np.int32)
     used = rows[owner] & (place[column] >= 0)
     ratio = _ratio(toxic[chosen], other[chosen], n_toxic, n_other)
     w, bias = _fit(number[owner[used]], place[column[used]], y[rows], ratio)
@@ -203,9 +203,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
         toxic.cast("double"), other.cast("double"), n_toxic, n_other, F.log, _column_positive
     )
     counted = _counts(sample).where(toxic + other >= MIN_TEXTS).withColumn("evidence", evidence)
-    # those that a half may choose by itself are among the most telling of both
-    best = counted.where(F.col("evidence") >= MIN_EVIDENCE / 2).orderBy(F.desc("evidence"), "bucket")
-    best = stage(best.limit(3 * FEATURES), "toxicity-features").toArrow()
+    # a half chooses among the most telling of both
+    best = counted.where(F.col("evidence") >= MIN_EVIDENCE).orderBy(F.desc("evidence"), "bucket")
+    best = stage(best.limit(FEATURES), "toxicity-features").toArrow()
     order = np.argsort(best["bucket"].to_numpy())
     buckets = best["bucket"].to_numpy()[order]
     held = {c: best[c].to_numpy()[order] for c in CELLS}
@@ -224,8 +224,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
 
     rows = sample.mapInArrow(run, "found array<int>, label int, share double").orderBy("share", "label", "found").toArrow()
     lists = rows["found"].combine_chunks()
-    owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
-    column = np.searchsorted(buckets, lists.flatten().to_numpy())
+    owner = np.repeat(np.arange(len(lists), dtype=np.int32), lists.value_lengths().to_numpy())
+    column = np.searchsorted(buckets, lists.flatten().to_numpy()).astype(np.int32)
     y = (rows["label"].to_numpy() == 1).astype(np.float64)
     half = _half(rows["share"].to_numpy()).astype(int)
     w, bias = _learn(held, owner, column, y, np.ones(len(y), bool), (0, 1))
