@@ -204,6 +204,15 @@ def test_fold_models_are_stored_and_let_go(spark, data, monkeypatch):
     assert tuning.score_best_fold(result, data.drop("label")).count() == data.count()
 
 
+def test_partitions_of_a_fit_follow_the_cores(spark):
+    """More rows make no more partitions until a task would hold too many."""
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(cores * 6)
+    sizes = {n: tuning.few_partitions(many, n).rdd.getNumPartitions() for n in (0, 1, 30_000, 900_000, 900_000 * cores)}
+    assert sizes == {0: 1, 1: 1, 30_000: 2, 900_000: cores, 900_000 * cores: -(-900_000 * cores // 500_000)}
+    assert sorted(r.id for r in tuning.few_partitions(many, 900_000).collect()) == list(range(1000))
+
+
 def test_model_round_trip(data, tmp_path):
     model, accuracy = tuning.fit(data, models.build_model("random_forest", n_estimators=5, max_depth=4))
     assert 0.8 < accuracy <= 1
