@@ -213,6 +213,19 @@ def test_partitions_of_a_fit_follow_the_cores(spark):
     assert sorted(r.id for r in tuning.few_partitions(many, 900_000).collect()) == list(range(1000))
 
 
+def test_models_score_in_a_session_that_observes(data):
+    """A summary would take the session along to the executors."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    assert data.observe(seen, F.count(F.lit(1)).alias("n")).count() == seen.get["n"]
+    for name in ("logistic_regression", "random_forest", "svm"):
+        model, accuracy = tuning.fit(data, models.build_model(name))
+        assert accuracy > 0.5 and model.transform(data).select("prediction").distinct().count() == 2
+    result = tuning.cross_validate(data, "logistic_regression")
+    assert sum(result.cells[0][0].values()) > 0
+
+
 def test_model_round_trip(data, tmp_path):
     model, accuracy = tuning.fit(data, models.build_model("random_forest", n_estimators=5, max_depth=4))
     assert 0.8 < accuracy <= 1
