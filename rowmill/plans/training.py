@@ -13,7 +13,7 @@ from rowmill.operators.evaluate import confusion_matrix, metrics_of
 from rowmill.operators.models import build_model
 from rowmill.operators.score import score
 from rowmill.operators.split import stratified_folds
-from rowmill.operators.tuning import fit, grid_search, save_model
+from rowmill.operators.tuning import few_partitions, fit, grid_search, save_model
 from rowmill.operators.vectors import assemble
 from rowmill.plans import preparation
 from rowmill.plans.scoring import Scorer, save_scorer
@@ -72,8 +72,8 @@ def train(
     if model_path:
         save_model(fitted, model_path)
     test = df.filter(F.col("split") == "test")
-    # the metrics are of the rows that have a score
-    scored = score(test, fitted, features, [key, target]).filter(F.col("prediction").isNotNull())
+    # the metrics are of the rows that have a score; every task reads the whole model
+    scored = score(few_partitions(test, rows), fitted, features, [key, target]).filter(F.col("prediction").isNotNull())
     spent = time.perf_counter() - start
     # all metrics, and the rows, from one pass over the scored part
     cells = {(r[0], r[1]): r[2] for r in confusion_matrix(scored, target, "prediction").collect()}

@@ -177,6 +177,41 @@ def test_rounds_share_a_fit(spark, data, monkeypatch):
     assert len(fitted) == 2 * 3 and {k["n_estimators"] for k in fitted} == {3}
 
 
+@pytest.mark.parametrize("name", ["decision_tree", "random_forest"])
+def test_upper_levels_are_the_shallower_model(data, name):
+    """A tree or forest cut at a depth gives what a fit of that depth gives."""
+    options = {"n_estimators": 7, "random_state": 5} if name == "random_forest" else {}
+    deep = models.build_model(name, max_depth=6, **options).fit(data)
+    for depth in (0, 1, 3, 5, 6):
+        short = models.build_model(name, max_depth=depth, **options).fit(data)
+        cut = models.cut_depth(deep, depth)
+        assert cut.getOrDefault("maxDepth") == depth
+        assert cut.toDebugString.split("\n")[1:] == short.toDebugString.split("\n")[1:]
+        both = [m.transform(data).orderBy("id").select("probability", "prediction").collect() for m in (short, cut)]
+        assert both[0] == both[1]
+
+
+@pytest.mark.parametrize("name", ["decision_tree", "random_forest", "logistic_regression"])
+def test_depths_and_limits_share_a_fit(spark, data, monkeypatch, name):
+    grid = {"max_iter": [3, 500, 900]} if name == "logistic_regression" else {
+        "max_depth": [2, 4], "criterion": ["gini", "entropy"]
+    }
+    options = {"n_estimators": 5} if name == "random_forest" else {}
+    alone = [
+        tuning.grid_search(data, name, {k: [v] for k, v in c.items()}, refit=False, **options).scores[0]
+        for c in tuning.grid_of(name, grid)
+    ]
+    fitted, cls = [], models.ESTIMATORS[name]
+    fit = cls.fit
+    monkeypatch.setattr(cls, "fit", lambda self, *a: fitted.append(self) or fit(self, *a))
+    monkeypatch.setattr(tuning, "SHARED_DEPTH_ROWS", 0)
+    result = tuning.grid_search(data, name, grid, refit=False, keep_fold_models=True, **options)
+    assert result.scores == alone
+    assert len(fitted) == 2 * 3  # folds
+    assert len(result.manifest) == 3 * len(alone)
+    assert tuning.best_fold_model(result)[1].transform(data).count() == data.count()
+
+
 def test_fold_models_are_stored_and_let_go(spark, data, monkeypatch):
     """No more models are alive than are being fitted; the best one scores other rows."""
     import gc
