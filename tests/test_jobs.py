@@ -248,6 +248,17 @@ def test_partitions_of_a_fit_follow_the_cores(spark):
     assert sorted(r.id for r in tuning.few_partitions(many, 900_000).collect()) == list(range(1000))
 
 
+@pytest.mark.parametrize("name", ["decision_tree", "random_forest"])
+def test_rows_keep_their_node_between_levels(data, name):
+    """A pass over a level does not take every row down from the root, and finds the same trees."""
+    options = {"n_estimators": 7, "random_state": 5} if name == "random_forest" else {}
+    kept = models.build_model(name, max_depth=6, **options)
+    assert kept.getCacheNodeIds()
+    sent = models.build_model(name, max_depth=6, **options).setCacheNodeIds(False)
+    found = [m.fit(data).toDebugString.split("\n")[1:] for m in (kept, sent)]
+    assert found[0] == found[1]
+
+
 def test_models_score_in_a_session_that_observes(data):
     """A summary would take the session along to the executors."""
     from pyspark.sql import Observation
