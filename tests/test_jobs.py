@@ -259,6 +259,19 @@ def test_rows_keep_their_node_between_levels(data, name):
     assert found[0] == found[1]
 
 
+def test_fits_at_once_share_the_cores(spark, data, monkeypatch):
+    """Fits that run together have two tasks a core between them; one alone has all cores."""
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(1000).repartition(cores * 6)
+    for at_once in (1, 2, 4, 8):
+        parts = tuning.few_partitions(many, 900_000, at_once).rdd.getNumPartitions()
+        assert parts == min(cores, -(-2 * cores // at_once))
+    asked, few = [], tuning.few_partitions
+    monkeypatch.setattr(tuning, "few_partitions", lambda d, n, k=1: asked.append(k) or few(d, n, k))
+    tuning.grid_search(data, "decision_tree", {"criterion": ["gini", "entropy"]}, parallelism=4, max_depth=2)
+    assert asked == [4, 1]  # the search, and the refit alone
+
+
 def test_models_score_in_a_session_that_observes(data):
     """A summary would take the session along to the executors."""
     from pyspark.sql import Observation
