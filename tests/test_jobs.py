@@ -177,6 +177,34 @@ def test_rounds_share_a_fit(spark, data, monkeypatch):
     assert len(fitted) == 2 * 3 and {k["n_estimators"] for k in fitted} == {3}
 
 
+def test_two_rounds_share_a_fit_at_any_learning_rate(spark, data, monkeypatch):
+    """The weights differ, the first two trees do not; from the third on they do."""
+    options = {"max_depth": 2, "subsample": 0.7, "colsample_bytree": 0.5}
+    given = models.build_model("boosted_trees", n_estimators=2, learning_rate=0.1, **options).fit(data)
+    other = models.build_model("boosted_trees", n_estimators=2, learning_rate=0.9, **options).fit(data)
+    cut = models.truncated(given, 2, 0.9)
+    assert cut.treeWeights == other.treeWeights == [1.0, 0.9]
+    both = [m.transform(data).orderBy("id").select("rawPrediction", "prediction").collect() for m in (cut, other)]
+    assert both[0] == both[1]
+    with pytest.raises(ValueError):
+        models.truncated(models.build_model("boosted_trees", n_estimators=3, max_depth=1).fit(data), 3, 0.9)
+
+    fitted, cls = [], models.ESTIMATORS["boosted_trees"]
+    fit = cls.fit
+    for rounds, fits in (([1, 2], 1), ([1, 3], 2)):
+        grid = {"n_estimators": rounds, "learning_rate": [0.1, 0.9]}
+        alone = [
+            tuning.grid_search(data, "boosted_trees", {k: [v] for k, v in c.items()}, refit=False, **options).scores[0]
+            for c in tuning.grid_of("boosted_trees", grid)
+        ]
+        monkeypatch.setattr(cls, "fit", lambda self, *a: fitted.append(self) or fit(self, *a))
+        result = tuning.grid_search(data, "boosted_trees", grid, refit=False, **options)
+        monkeypatch.setattr(cls, "fit", fit)
+        assert result.scores == alone
+        assert len(fitted) == fits * 3  # folds
+        fitted.clear()
+
+
 @pytest.mark.parametrize("name", ["decision_tree", "random_forest"])
 def test_upper_levels_are_the_shallower_model(data, name):
     """A tree or forest cut at a depth gives what a fit of that depth gives."""
