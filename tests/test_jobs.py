@@ -276,6 +276,22 @@ def test_partitions_of_a_fit_follow_the_cores(spark):
     assert sorted(r.id for r in tuning.few_partitions(many, 900_000).collect()) == list(range(1000))
 
 
+def test_a_fit_leaves_the_plan_of_its_rows(spark, data, monkeypatch):
+    """Each task of a fit would carry the plan along and answer with its counters; rows and partitions stay."""
+    seen = data.groupBy("id").agg(F.first("features").alias("features"), F.max("label").alias("label"))
+    seen = seen.join(data.select("id").distinct(), "id").sortWithinPartitions("id").persist()
+    estimator = models.build_model("gradient_boosting", n_estimators=2, max_depth=2)
+    given, real = [], type(estimator).fit
+    monkeypatch.setattr(type(estimator), "fit", lambda self, df, params=None: given.append(df) or real(self, df, params))
+    model, accuracy = tuning.fit(seen, estimator)
+    assert given[0]._jdf.queryExecution().executedPlan().toString().count("\n") == 1  # a scan
+    whole = tuning.few_partitions(seen, seen.count())
+    assert given[0].collect() == whole.collect() and len(given[0].collect()) > 0
+    assert given[0].rdd.getNumPartitions() == whole.rdd.getNumPartitions()
+    assert model.stages[0].toDebugString.split("\n")[1:] == real(estimator, whole).toDebugString.split("\n")[1:]
+    seen.unpersist()
+
+
 @pytest.mark.parametrize("name", ["decision_tree", "random_forest"])
 def test_rows_keep_their_node_between_levels(data, name):
     """A pass over a level does not take every row down from the root, and finds the same trees."""
