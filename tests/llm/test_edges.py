@@ -365,6 +365,28 @@ def test_many_vectors(spark, cell_rows, monkeypatch):
     assert found_vectors(embedding_dedup.near_duplicates(vectors(spark, listed))) == brute.vectors(listed)
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_visits_of_many_vectors_are_shuffled_in_rounds(spark, kind, monkeypatch):
+    """No shuffle takes more than its bytes, whatever the number of visits."""
+    monkeypatch.setattr(embedding_dedup, "CELL_ROWS", 16)
+    monkeypatch.setattr(embedding_dedup, "ROUND_BYTES", 250_000, raising=False)
+    draw, met, shuffled = np.random.default_rng(3), embedding_dedup._met, []
+
+    def seen(rows, *others):
+        shuffled.append(rows.count())
+        return met(rows, *others)
+
+    monkeypatch.setattr(embedding_dedup, "_met", seen)
+    hot = draw.normal(size=32) + draw.normal(size=(100, 32)) * 0.2
+    rows = np.concatenate([draw.normal(size=(60, 32)), hot, hot[:9]]).astype(np.float32)
+    listed = [(i, [float(x) for x in v]) for i, v in enumerate(rows)]
+    listed += [(500 + i, v) for i, (_, v) in enumerate(VECTORS)]
+    given = vectors(spark, listed).withColumn("embedding", F.col("embedding").cast(f"array<{kind}>"))
+    assert found_vectors(embedding_dedup.near_duplicates(given)) == brute.vectors(listed)
+    # a row has the vector, its turned coordinates and some numbers
+    assert len(shuffled) > 2 and max(shuffled) < 250_000 / (32 * (8 if kind == "float" else 12)) < sum(shuffled) / 2
+
+
 CHATS = [
     (1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", "hi"), (3, 0, "user", "hi"), (3, 0, "user", "hi"),
     (4, 5, "user", "hi"), (4, 9, "assistant", "yes"), (5, 0, "user", "hi"), (5, 1, "assistant", "no"),
