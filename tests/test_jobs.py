@@ -316,6 +316,33 @@ def test_fits_at_once_share_the_cores(spark, data, monkeypatch):
     assert asked == [4, 1]  # the search, and the refit alone
 
 
+def test_large_fits_do_not_run_at_once(spark, data, monkeypatch):
+    """What the driver holds of growing trees, and executors of rows, is bounded: one
+    unlimited tree of a large table at a time, as many as asked of a small one."""
+    memory = tuning.memory_for_rows(spark)
+    assert memory > 0
+    tree = tuning.fits_at_once("decision_tree", [{"max_depth": 3}, {}], 5_000_000, spark)
+    forest = tuning.fits_at_once("random_forest", [{"max_depth": 4}], memory // 2000, spark)
+    assert (tree, forest) == (1, 1)
+    assert tuning.fits_at_once("decision_tree", [{}], 15_000, spark) >= 8
+    assert tuning.fits_at_once("logistic_regression", [{}], 5_000_000, spark) >= 8
+    monkeypatch.setattr(tuning, "MOST_NODES", 1)
+    running, most = [], []
+
+    def fit(self, rows, *others):
+        running.append(1)
+        most.append(len(running))
+        try:
+            return plain(self, rows, *others)
+        finally:
+            running.pop()
+
+    plain = models.DecisionTreeClassifier._fit
+    monkeypatch.setattr(models.DecisionTreeClassifier, "_fit", fit)
+    tuning.cross_validate(data, "decision_tree", parallelism=4)
+    assert most == [1, 1, 1]
+
+
 def test_models_score_in_a_session_that_observes(data):
     """A summary would take the session along to the executors."""
     from pyspark.sql import Observation
