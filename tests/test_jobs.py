@@ -343,6 +343,26 @@ def test_large_fits_do_not_run_at_once(spark, data, monkeypatch):
     assert most == [1, 1, 1]
 
 
+def test_the_registered_boosted_grid_is_whole(spark, folder, monkeypatch):
+    """All combinations in all their rounds, on all rows and folds, with the refit."""
+    from rowmill.catalog import all_queries, learning
+
+    class Asked(Exception):
+        pass
+
+    def grid_search(df, model, grid=None, fold="fold", *, refit=True, **others):
+        raise Asked(tuning.grid_of(model, grid), refit, df.groupBy(fold).count().collect())
+
+    monkeypatch.setattr(tuning, "grid_search", grid_search)
+    query = all_queries()["trn_6_boosted_grid"]
+    with pytest.raises(Asked) as asked:
+        query.run(spark, folder)
+    combinations, refit, folds = asked.value.args
+    assert combinations == tuning.grid_of("boosted_trees", models.GRIDS["boosted_trees"])
+    assert {c["n_estimators"] for c in combinations} == {100, 200} and len(combinations) == 48
+    assert refit and len(folds) == 5 and sum(r["count"] for r in folds) == learning.kept(spark, folder).count()
+
+
 def test_models_score_in_a_session_that_observes(data):
     """A summary would take the session along to the executors."""
     from pyspark.sql import Observation
